@@ -84,9 +84,9 @@ def table_reconcile(a: DataFrame, b: DataFrame, keys) -> DataFrame:
     """
     keys = key_list(keys)
     compared = [c for c in a.columns if c in b.columns and c not in keys]
-    digest = (
-        F.xxhash64(*[F.struct(col(c)) for c in compared]) if compared else F.lit(0).cast("bigint")
-    )
+    # A null leaves the hash as it is, so its place is hashed as well.
+    parts = [part for c in compared for part in (col(c), col(c).isNull())]
+    digest = F.xxhash64(*parts) if parts else F.lit(0).cast("bigint")
 
     def side(df: DataFrame, first: bool) -> DataFrame:
         one, none = F.lit(1), F.lit(0)
