@@ -49,8 +49,9 @@ def plan_mappings(
     one row by a single aggregate instead of three joins.
     """
     sides = [
-        F.first(F.when(col("parameter") == label, F.struct(*[f"string{i}" for i in range(1, 6)])),
-                ignorenulls=True).alias(short)
+        F.min(
+            F.when(col("parameter") == label, F.struct(*[f"string{i}" for i in range(1, 6)]))
+        ).alias(short)
         for label, short in SIDES
     ]
     objects = (
