@@ -1,6 +1,6 @@
 """Registered queries over the test tables, each with the SQL it is checked against."""
 
-from tablemill.queries import joins, masking  # noqa: F401
+from tablemill.queries import calendar, cleansing, joins, masking  # noqa: F401
 from tablemill.queries.base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -75,7 +75,7 @@ def error_rows(t: Tables) -> DataFrame:
     "split_valid_error",
     f"""
     select case when o_orderkey is not null and o_custkey is not null then 'good' else 'bad' end as kind,
-        count(*) as n, cast(round(sum(o_totalprice), 2) * 100 as bigint) as cents
+        count(*) as n, cast(sum(cast(round(o_totalprice * 100) as bigint)) as bigint) as cents
     from {GAPPY} s group by 1
     """,
 )
@@ -83,7 +83,7 @@ def split_rows(t: Tables) -> DataFrame:
     good, bad = split_valid_error(gappy_orders(t), "o_orderkey,o_custkey", text=None)
     tagged = good.withColumn("kind", F.lit("good")).union(bad.withColumn("kind", F.lit("bad")))
     return tagged.groupBy("kind").agg(
-        F.count("*").alias("n"), (F.round(F.sum("o_totalprice"), 2) * 100).cast("bigint").alias("cents")
+        F.count("*").alias("n"), F.sum(F.round(F.col("o_totalprice") * 100).cast("bigint")).alias("cents")
     )
 
 
