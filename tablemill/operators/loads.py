@@ -105,8 +105,8 @@ def load_parameters(runs: DataFrame) -> DataFrame:
     return runs.select("wid", F.explode(values).alias("p")).select(
         "wid",
         F.lit("GLOBAL").alias("session_name"),
-        col("p.name").alias("parameter_name"),
-        col("p.value").alias("parameter_wert"),
+        F.col("p.name").alias("parameter_name"),
+        F.col("p.value").alias("parameter_wert"),
     )
 
 

@@ -78,7 +78,7 @@ def plan_mappings(
         .join(mappings.select("job_name"), "job_name", "left_anti")
     )
     columns = [
-        col(f"{short}.string{i}").alias(f"{short}_{name}")
+        F.col(f"{short}.string{i}").alias(f"{short}_{name}")
         for _, short in SIDES
         for i, name in enumerate(FIELDS, start=1)
     ]
