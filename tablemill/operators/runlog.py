@@ -25,10 +25,23 @@ def _last_month(log: DataFrame, as_of: datetime | Column) -> DataFrame:
     return log.where((col("status") == FINISHED) & (col("ts_ins") >= since))
 
 
-def _minutes_text(minutes: Column, short: str) -> Column:
-    number = F.lpad(minutes.cast("decimal(12,2)").cast("string"), 9, " ")
-    return F.when(minutes.isNull() | (minutes < 1), F.lit(short)).otherwise(
-        F.concat(number, F.lit(" Minuten"))
+def _totals() -> list[Column]:
+    """Seconds and runs as whole numbers: the order of adding does not show."""
+    return [F.sum("seconds_taken").alias("seconds"), F.count("seconds_taken").alias("runs")]
+
+
+def _minutes_text(short: str) -> Column:
+    """Average minutes, rounded half up to two decimals, or the short text below one."""
+    seconds, runs = col("seconds"), col("runs")
+    hundredths = F.expr("(200 * seconds + 60 * runs) div (120 * runs)")
+    number = F.concat(
+        F.floor(hundredths / 100).cast("string"),
+        F.lit("."),
+        F.lpad((hundredths % 100).cast("string"), 2, "0"),
+    )
+    short_run = seconds.isNull() | (seconds < runs * 60)
+    return F.when(short_run, F.lit(short)).otherwise(
+        F.concat(F.lpad(number, 9, " "), F.lit(" Minuten"))
     )
 
 
@@ -37,7 +50,7 @@ def runtime_stats_app(plan: DataFrame, log: DataFrame, as_of: datetime | Column)
     minutes = (
         _last_month(log, as_of)
         .groupBy("app_name")
-        .agg((F.avg("seconds_taken") / 60).alias("minutes"))
+        .agg(*_totals())
     )
     return (
         plan.select("app_name", "project", "subproject")
@@ -47,7 +60,7 @@ def runtime_stats_app(plan: DataFrame, log: DataFrame, as_of: datetime | Column)
             "app_name",
             "project",
             "subproject",
-            _minutes_text(col("minutes"), "< 1 minute").alias("laufzeit_letzter_monat"),
+            _minutes_text("< 1 minute").alias("laufzeit_letzter_monat"),
         )
     )
 
@@ -63,8 +76,8 @@ def runtime_stats_job(plan: DataFrame, log: DataFrame, as_of: datetime | Column)
     minutes = (
         _last_month(log, as_of)
         .groupBy(*group)
-        .agg((F.avg("seconds_taken") / 60).alias("minutes"))
-        .select("job_name", "prog_name", "minutes")
+        .agg(*_totals())
+        .select("job_name", "prog_name", "seconds", "runs")
     )
     return (
         plan.where(col("active") == 1)
@@ -78,7 +91,7 @@ def runtime_stats_job(plan: DataFrame, log: DataFrame, as_of: datetime | Column)
             "prog_name",
             "prog_args",
             "active",
-            _minutes_text(col("minutes"), "< 1 Minute").alias("laufzeit_letzter_monat"),
+            _minutes_text("< 1 Minute").alias("laufzeit_letzter_monat"),
         )
         .orderBy("app_name", "job_name")
     )

@@ -140,8 +140,9 @@ def run_log(t: Tables) -> DataFrame:
 
 
 def _minutes_sql(short: str) -> str:
-    return f"""case when m is null or m < 1 then '{short}'
-        else lpad(cast(cast(m as decimal(12, 2)) as varchar), 9, ' ') || ' Minuten' end as laufzeit_letzter_monat"""
+    return f"""case when s is null or s < n * 60 then '{short}' else
+        lpad(((200 * s + 60 * n) // (120 * n) // 100) || '.' || lpad(cast((200 * s + 60 * n) // (120 * n) % 100
+        as varchar), 2, '0'), 9, ' ') || ' Minuten' end as laufzeit_letzter_monat"""
 
 
 @query(
@@ -150,7 +151,7 @@ def _minutes_sql(short: str) -> str:
     with {LOG},
     p as (select distinct app_name, 'P1' as project, 'S' || length(app_name) as subproject from l
         union select distinct c_mktsegment, 'P2', 'S' from customer),
-    a as (select app_name, avg(seconds_taken) / 60 as m from l
+    a as (select app_name, sum(seconds_taken) as s, count(seconds_taken) as n from l
         where status = 2 and ts_ins >= timestamp '{AS_OF}' - interval 1 month group by 1)
     select app_name, project, subproject, {_minutes_sql('< 1 minute')} from p left join a using (app_name)
     """,
@@ -169,7 +170,7 @@ def app_stats(t: Tables) -> DataFrame:
     with {LOG},
     p as (select distinct app_name, job_name, 'P' as project, 'S' as subproject, job_type, prog_name, prog_args,
         case when job_name like '%5' then 0 else 1 end as active from l),
-    a as (select app_name, job_name, job_type, prog_name, prog_args, avg(seconds_taken) / 60 as m from l
+    a as (select app_name, job_name, job_type, prog_name, prog_args, sum(seconds_taken) as s, count(seconds_taken) as n from l
         where status = 2 and ts_ins >= timestamp '{AS_OF}' - interval 1 month group by all)
     select p.app_name, p.job_name, project, subproject, p.job_type, p.prog_name, p.prog_args, active,
         {_minutes_sql('< 1 Minute')}

@@ -68,7 +68,7 @@ _word_query("R10", 1, "b%", "wohnhaft", None)
     "mask_r03",
     """
     select o_orderkey, strftime(case
-        when o_orderpriority = '5-LOW' then o_orderdate
+        when o_orderpriority = '5-LOW' then o_orderdate - to_days(cast(greatest(day(o_orderdate) - 28, 0) as int))
         when day(o_orderdate) < 15 then o_orderdate - to_days(cast(day(o_orderdate) - 1 as int))
         else o_orderdate - to_days(cast(day(o_orderdate) - 15 as int)) end, '%m-%d %H:%M') as masked
     from orders
@@ -78,7 +78,7 @@ def mask_r03(t: Tables) -> DataFrame:
     df = t.orders.selectExpr(
         "o_orderkey",
         "case when o_orderpriority = '5-LOW' then make_timestamp_ntz(9999, month(o_orderdate), "
-        "day(o_orderdate), 0, 0, 0) else o_orderdate end as masked",
+        "least(day(o_orderdate), 28), 0, 0, 0) else o_orderdate end as masked",
     )
     rule = MaskRule("R03", ("masked",), format_string="DATE", default_1="1", default_2="15")
     return mask_table(df, [rule]).withColumn("masked", F.date_format("masked", "MM-dd HH:mm"))
