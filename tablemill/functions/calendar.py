@@ -92,7 +92,7 @@ STATE_HOLIDAYS_SINCE = 1949
 
 
 def _div(a: Column, b: int) -> Column:
-    return F.floor(a / b).cast("int")
+    return F.call_function("div", a, F.lit(b)).cast("int")
 
 
 def easter_sunday(year: Column) -> Column:

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tablemill.functions.formats import field_positions, spark_pattern
+from tablemill.functions.formats import field_positions, spark_pattern, value_shape
 from tablemill.functions.text import is_blank, rstrip, strip
 
 NUMBER_TYPE = "decimal(38,10)"
@@ -29,18 +29,11 @@ def clean_text(c: Column, delimiter: str = "|") -> Column:
     return F.nullif(strip(F.replace(c, F.lit(delimiter), F.lit(""))), F.lit(""))
 
 
-def _sign_first(c: Column) -> Column:
-    trailing = F.concat(F.lit("-"), F.left(c, F.length(c) - 1))
-    return F.when(c.endswith("-"), trailing).otherwise(c)
-
-
-def _plain_number(c: Column) -> tuple[Column, Column]:
-    """Number text without blanks and exponent leftovers; and whether an exponent counts."""
-    v = F.translate(c, ", ", ".")
-    exponent = v.rlike("[eE]") & v.try_cast("double").isNotNull()
-    mantissa = F.regexp_extract(v, "^([^eE]*)", 1)
-    v = F.translate(F.when(exponent, v).otherwise(mantissa), "+", "")
-    return _sign_first(v), exponent
+def _plain_number(c: Column) -> Column:
+    """Number text without blanks, plus signs and broken exponents, its sign in front."""
+    v = F.translate(c, ", +", ".")
+    v = F.regexp_replace(v, r"[eE](?!-?[0-9]+$).*$", "")
+    return F.regexp_replace(v, r"^(.+)-$", "-$1")
 
 
 def clean_number(c: Column, scale: int = 0, result_type: str = NUMBER_TYPE) -> Column:
@@ -50,23 +43,23 @@ def clean_number(c: Column, scale: int = 0, result_type: str = NUMBER_TYPE) -> C
     resolved. With a scale and no point, the last ``scale`` digits are decimals.
     Empty is 0 with a scale, else null; what is no number is null.
     """
-    v, exponent = _plain_number(c)
-    number = v.try_cast(result_type)
+    v = _plain_number(c)
     if scale > 0:
-        implied = (v.try_cast("decimal(38,0)").cast("decimal(38,10)") / F.lit(10**scale)).cast(
-            result_type
+        v = (
+            F.when(v == "", F.lit("0"))
+            .when(v.rlike("^-?[0-9]+$"), F.concat(v, F.lit(f"E-{scale}")))
+            .otherwise(v)
         )
-        number = F.when(exponent | v.contains("."), number).otherwise(implied)
-        number = F.when(v == "", F.lit(0).cast(result_type)).otherwise(number)
-    return number
+    return v.try_cast(result_type)
 
 
 def clean_number_sap(c: Column, kind: str = "numeric", result_type: str = NUMBER_TYPE) -> Column:
     """Number from an SAP extract: ``integer`` or ``numeric``; no implied point."""
     if kind == "integer":
-        return _sign_first(strip(c)).try_cast("decimal(38,0)").try_cast("bigint")
-    v, _ = _plain_number(c)
-    return F.when(v == "", F.lit(0).cast(result_type)).otherwise(v.try_cast(result_type))
+        signed = F.regexp_replace(strip(c), r"^(.+)-$", "-$1")
+        return signed.try_cast("decimal(38,0)").try_cast("bigint")
+    v = _plain_number(c)
+    return F.when(v == "", F.lit("0")).otherwise(v).try_cast(result_type)
 
 
 def clean_bool(c: Column) -> Column:
@@ -101,33 +94,34 @@ def _long_enough(c: Column, kind: str) -> Column:
     return length == 6 if kind == "time" else length >= 8
 
 
+def _strict(c: Column, fmt: str) -> Column:
+    """Parse by format; text of another shape is not handed to the parser, whose
+    failures are dear."""
+    shaped = c.rlike(value_shape(fmt))
+    return F.when(shaped, F.try_to_timestamp(c, F.lit(spark_pattern(fmt, parsing=True))))
+
+
+def _lazy(c: Column, fmt: str, wanted: str, pattern: str) -> Column:
+    fields = _lazy_fields(c, fmt, wanted)
+    text = F.concat(*[fields[f] for f in wanted])
+    return F.when(text.rlike("^[0-9]+$"), F.try_to_timestamp(text, F.lit(pattern)))
+
+
 def parse_date(c: Column, fmt: str = "%Y%m%d", lazy: bool = False) -> Column:
     """Date by a strptime format; null when too short or no date."""
-    if lazy:
-        f = _lazy_fields(c, fmt, "Ymd")
-        parsed = F.try_to_timestamp(F.concat(f["Y"], f["m"], f["d"]), F.lit("yyyyMMdd"))
-    else:
-        parsed = F.try_to_timestamp(c, F.lit(spark_pattern(fmt, parsing=True)))
+    parsed = _lazy(c, fmt, "Ymd", "yyyyMMdd") if lazy else _strict(c, fmt)
     return F.when(_long_enough(c, "date"), parsed.cast("date"))
 
 
 def parse_time(c: Column, fmt: str = "%H%M%S", lazy: bool = False) -> Column:
     """Time of day as HH:mm:ss text; null unless six characters form a time."""
-    if lazy:
-        f = _lazy_fields(c, fmt, "HMS")
-        parsed = F.try_to_timestamp(F.concat(f["H"], f["M"], f["S"]), F.lit("HHmmss"))
-    else:
-        parsed = F.try_to_timestamp(c, F.lit(spark_pattern(fmt, parsing=True)))
+    parsed = _lazy(c, fmt, "HMS", "HHmmss") if lazy else _strict(c, fmt)
     return F.when(_long_enough(c, "time"), F.date_format(parsed, "HH:mm:ss"))
 
 
 def parse_timestamp(c: Column, fmt: str = "%Y%m%d%H%M%S", lazy: bool = False) -> Column:
     """Timestamp without zone, to the second; null when too short or no timestamp."""
-    if lazy:
-        f = _lazy_fields(c, fmt, "YmdHMS")
-        parsed = F.try_to_timestamp(F.concat(*(f[x] for x in "YmdHMS")), F.lit("yyyyMMddHHmmss"))
-    else:
-        parsed = F.try_to_timestamp(c, F.lit(spark_pattern(fmt, parsing=True)))
+    parsed = _lazy(c, fmt, "YmdHMS", "yyyyMMddHHmmss") if lazy else _strict(c, fmt)
     return F.when(
         _long_enough(c, "timestamp"), F.date_trunc("second", parsed).cast("timestamp_ntz")
     )
@@ -197,5 +191,5 @@ def default_for_type(c: Column, data_type: str, now: datetime, sap: bool = False
 
 def high_date_fill(c: Column, fmt: str = "%Y-%m-%d %H:%M:%S") -> Column:
     """Timestamp, with 9999-12-31 in place of null and of text that is none."""
-    parsed = F.try_to_timestamp(c, F.lit(spark_pattern(fmt, parsing=True)))
+    parsed = _strict(c, fmt)
     return F.coalesce(parsed, F.lit("9999-12-31 00:00:00").cast("timestamp")).cast("timestamp_ntz")

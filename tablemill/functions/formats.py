@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 # Strftime directive -> (letter of the Spark pattern, digits).
 DIRECTIVES = {
     "Y": ("y", 4),
@@ -13,6 +15,25 @@ DIRECTIVES = {
     "f": ("S", 6),
 }
 
+# Strftime directive -> regular expression of its values, one digit
+# allowed where the field has room.
+SHAPES = {
+    "Y": "[0-9]{4}",
+    "m": "(0?[1-9]|1[0-2])",
+    "d": "(0?[1-9]|[12][0-9]|3[01])",
+    "H": "([01]?[0-9]|2[0-3])",
+    "M": "[0-5]?[0-9]",
+    "S": "[0-5]?[0-9]",
+    "f": "([0-9]{6})?",
+}
+
+
+def value_shape(fmt: str) -> str:
+    """Regular expression of the text a format can read."""
+    parts = split_format(fmt)
+    shapes = [SHAPES[v] if kind == "field" else re.escape(v) for kind, v in parts]
+    return "^" + "".join(shapes) + "$"
+
 
 def split_format(fmt: str) -> list[tuple[str, str]]:
     """Format as a list of ("field", directive) and ("text", literal)."""

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The characters Python's str.strip() removes; all of them lie below U+3001.
-WHITESPACE = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
+# The characters Python's str.strip() removes, the plain blank first; all of them lie
+# below U+3001.
+WHITESPACE = " " + "".join(chr(i) for i in range(0x3001) if chr(i).isspace() and i != 32)
 
 # Characters taken out of log texts.
 LOG_JUNK = "';§"
@@ -25,8 +26,12 @@ def rstrip(c: Column) -> Column:
 
 
 def is_blank(c: Column) -> Column:
-    """Null, empty or nothing but white space; never null itself."""
-    return F.coalesce(strip(c) == F.lit(""), F.lit(True))
+    """Null, empty or nothing but white space; never null itself.
+
+    The first character settles nearly all values without a copy of long text.
+    """
+    filled = strip(F.left(c, F.lit(1))) != ""
+    return F.when(filled, F.lit(False)).otherwise(F.coalesce(strip(c) == "", F.lit(True)))
 
 
 def blank_to_null(c: Column) -> Column:
@@ -54,7 +59,8 @@ def log_text(c: Column, limit: int = LOG_LIMIT, notice: str = LOG_NOTICE) -> Col
 def duration_hms(seconds: Column) -> Column:
     """Seconds as HH:MM:SS; hours may exceed 24."""
     s = seconds.cast("bigint")
-    hours, minutes = F.floor(s / 3600), F.floor(s / 60) % 60
+    hours = F.call_function("div", s, F.lit(3600))
+    minutes = F.call_function("div", s, F.lit(60)) % 60
 
     def two(c: Column) -> Column:
         text = c.cast("string")

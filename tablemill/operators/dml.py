@@ -47,14 +47,16 @@ def upsert(
     keys = key_list(keys)
     shared = intersect_columns(tgt.columns, src.columns)
     src = src.select([col(c) for c in dict.fromkeys([*shared, *key_list(order)])])
+    keyed = src.where(key_complete(keys))
     if unique_source:
         new = src
     else:
-        new = dedup_keep(src.where(key_complete(keys)), keys, order)
+        new = dedup_keep(keyed, keys, order)
         if any(src.schema[k].nullable for k in keys):
             new = new.unionByName(src.where(~key_complete(keys)))
     new = new.select([col(c) for c in shared])
-    changed = new.select([col(k).alias(f"__key_{i}") for i, k in enumerate(keys)])
+    # Repeated keys do not matter here, so this side needs no deduplication.
+    changed = keyed.select([col(k).alias(f"__key_{i}") for i, k in enumerate(keys)])
     match = reduce(and_, [col(k) == col(f"__key_{i}") for i, k in enumerate(keys)])
     missing = [c for c in tgt.columns if c not in shared]
     if missing:

@@ -25,17 +25,16 @@ COLUMNS = ["lid", "ltv", "ltb", "wid", "sta", "ttv", "ttb"]
 def current_load(history: DataFrame) -> DataFrame:
     """Per workflow the newest finished, the oldest planned and every open run.
 
-    Open runs are ranked 1 by definition. The two ranks keep one row per task and
-    workflow before the shuffle.
+    Finished and planned runs are ranked in one window, whose tasks keep one row per
+    workflow and status before the shuffle. Open runs are ranked 1 by definition and
+    stay out of it, as there may be many of them.
     """
     runs = history.select(COLUMNS)
-    newest = Window.partitionBy("wid").orderBy(col("lid").desc())
-    oldest = Window.partitionBy("wid").orderBy(col("lid"))
-    done = runs.where(col("sta") == DONE).withColumn("rank", F.rank().over(newest))
-    planned = runs.where(col("sta") == PLANNED).withColumn("rank", F.rank().over(oldest))
+    newest_first = F.when(col("sta") == DONE, -col("lid")).otherwise(col("lid"))
+    place = F.rank().over(Window.partitionBy("wid", "sta").orderBy(newest_first))
+    closed = runs.where(col("sta").isin(DONE, PLANNED)).withColumn("rank", place)
     is_open = runs.where(col("sta").isin(RUNNING, FAILED)).withColumn("rank", F.lit(1))
-    first = [done.where(col("rank") == 1), planned.where(col("rank") == 1), is_open]
-    return first[0].union(first[1]).union(first[2]).distinct()
+    return closed.where(col("rank") == 1).union(is_open).distinct()
 
 
 def next_load_window(

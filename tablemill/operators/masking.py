@@ -8,7 +8,8 @@ from dataclasses import replace
 
 from pyspark.sql import DataFrame
 
-from tablemill.operators.rules import RULES, MaskRule, RuleContext
+from tablemill.operators.rules import RULES, LookupJoin, MaskRule, RuleContext
+from tablemill.session import staged
 from tablemill.spec import char_length, col
 
 log = logging.getLogger(__name__)
@@ -57,15 +58,22 @@ def mask_table(
     rules: Iterable[MaskRule],
     lookups: Mapping[str, DataFrame] | None = None,
     target: DataFrame | None = None,
+    stage: bool = False,
 ) -> DataFrame:
     """All rules of a table as left joins with its lookups and one projection.
 
     Rows, columns and their order stay. A rule sees what the rules before it made
     of a column. Rules on columns the table lacks are dropped with a warning.
     Character lengths come from the rule, else from the schema of ``target``.
+
+    Whether a lookup is broadcast is Spark's decision by its size. That of a lookup
+    computed by a query is only guessed beforehand, and a guess too high shuffles
+    the table. ``stage=True`` writes the lookups, made unique, to the shared folder
+    first: their size is then known, and they are computed once.
     """
     current: dict = {}
-    joined = df
+    steps: list[tuple[list, dict]] = []
+    chained = False
     for number, rule_ in enumerate(rules):
         if rule_.rule.endswith("TODO"):
             continue
@@ -80,10 +88,23 @@ def mask_table(
                 char_length(target, a) if a in target.columns else None for a in rule_.attributes
             )
             rule_ = replace(rule_, lengths=lengths)
-        joins, columns = RULES[rule_.rule](
-            rule_, RuleContext(df, current, dict(lookups or {}), number)
-        )
+        context = RuleContext(df, current, dict(lookups or {}), number)
+        joins, columns = RULES[rule_.rule](rule_, context)
+        chained = chained or (bool(joins) and context.chained)
+        joins = [
+            LookupJoin(staged(j.frame, f"lookup-{rule_.rule}"), j.condition) if stage else j
+            for j in joins
+        ]
+        steps.append((joins, context.helpers))
+        current.update(columns)
+    # Helper columns come after all joins, so that no shuffle carries them, unless a
+    # lookup goes by a column an earlier rule has masked.
+    if not chained:
+        steps = [([j for joins, _ in steps for j in joins], {})] + [([], h) for _, h in steps]
+    joined = df
+    for joins, helpers in steps:
         for join in joins:
             joined = joined.join(join.frame, join.condition, "left")
-        current.update(columns)
+        for name, helper in helpers.items():
+            joined = joined.withColumn(name, helper)
     return joined.select([current.get(c, col(c)).alias(c) for c in df.columns])

@@ -71,11 +71,19 @@ class RuleContext:
         self._current = current
         self._lookups = lookups
         self.prefix = f"__r{number}_"
+        self.helpers: dict[str, Column] = {}
+        self.chained = False
 
     def value(self, name: str) -> Column:
         """The column as rules planned earlier leave it."""
+        self.chained = self.chained or name in self._current
         return self._current.get(name, col(name))
 
+    def bind(self, name: str, expression: Column) -> Column:
+        """Have an expression that is used several times computed once per row."""
+        self.helpers[f"{self.prefix}{name}"] = expression
+        return col(f"{self.prefix}{name}")
+
     def data_type(self, name: str) -> str:
         return self._df.schema[name].dataType.typeName()
 
@@ -164,7 +172,7 @@ def mask_date(rule_: MaskRule, ctx: RuleContext) -> Planned:
     fmt = rule_.format_string
     year_at, day_at = fmt.index("YY"), fmt.index("DD")
     year_len, day_len = fmt.count("Y"), fmt.count("D")
-    day = F.substring(value, day_at + 1, day_len)
+    day = ctx.bind("day", F.substring(value, day_at + 1, day_len))
     lowered = F.when(day < high, F.lit(low)).otherwise(day)
     new_day = F.when(lowered >= high, F.lit(high)).otherwise(lowered)
     rebuilt = F.concat(
@@ -362,13 +370,16 @@ def mask_social_security(rule_: MaskRule, ctx: RuleContext) -> Planned:
     lowered = F.when(day < high, F.lit(low)).otherwise(day)
     new_day = F.when(lowered >= high, F.lit(high)).otherwise(lowered)
     serial = F.substring(value, 10, 2)
-    checked = F.concat(
-        F.substring(value, 1, 2), new_day, F.substring(value, 5, 4), F.lit(position), serial
+    checked = ctx.bind(
+        "checked",
+        F.concat(
+            F.substring(value, 1, 2), new_day, F.substring(value, 5, 4), F.lit(position), serial
+        ),
     )
     total = F.lit(0)
     for i, weight in enumerate(CHECK_WEIGHTS):
         product = F.coalesce(F.substring(checked, i + 1, 1).try_cast("int"), F.lit(0)) * weight
-        total = total + F.floor(product / 10) + product % 10
+        total = total + F.call_function("div", product, F.lit(10)) + product % 10
     masked = F.concat(
         F.substring(checked, 1, 8), F.lit(initial), serial, (total % 10).cast("string")
     )
@@ -384,9 +395,9 @@ PLATE_CLASSES = ((100, 137, 99, 1), (1000, 1117, 900, 100), (10000, 3367, 9000,
 def mask_plate(rule_: MaskRule, ctx: RuleContext) -> Planned:
     """Licence plate: the number is recomputed from itself and the first letter."""
     value = ctx.value(rule_.attribute)
-    run = F.regexp_extract(value, "([0-9]+)", 1)
-    rest = F.replace(value, run, F.lit(""))
-    number, letter = run.try_cast("bigint"), F.ascii(rest)
+    run = ctx.bind("run", F.regexp_extract(value, "([0-9]+)", 1))
+    rest = ctx.bind("rest", F.replace(value, run, F.lit("")))
+    number, letter = ctx.bind("number", run.try_cast("bigint")), F.ascii(rest)
     mask = F.when(number <= 0, F.lit(0))
     for bound, factor, modulus, offset in PLATE_CLASSES:
         mask = mask.when(number < bound, (number * factor + letter) % modulus + offset)
@@ -402,16 +413,26 @@ VEHICLE_POSITIONS = (1, 2, 4, 5, 7, 8, 10, 11, 13, 14, 16)
 @rule("R24")
 def mask_vehicle(rule_: MaskRule, ctx: RuleContext) -> Planned:
     """Vehicle id: fixed positions replaced, the rest kept; under three characters XX."""
-    value = ctx.value(rule_.attribute)
-    size = F.length(value)
-    parts = []
-    for i in range(max(VEHICLE_POSITIONS) + 1):
-        if i in VEHICLE_POSITIONS:
-            parts.append(F.when(size > i, F.lit(rule_.default_1)).otherwise(F.lit("")))
-        else:
-            parts.append(F.substring(value, i + 1, 1))
-    tail = F.substring(value, max(VEHICLE_POSITIONS) + 2, 2**31 - 1)
-    masked = F.when(size < 3, F.lit("XX")).otherwise(F.concat(*parts, tail))
+    value, mark = ctx.value(rule_.attribute), rule_.default_1
+    size, last = F.length(value), max(VEHICLE_POSITIONS)
+    parts, i = [], 0
+    while i <= last:
+        run = 1
+        replaced = i in VEHICLE_POSITIONS
+        while i + run <= last and (i + run in VEHICLE_POSITIONS) == replaced:
+            run += 1
+        parts.append(F.lit(mark * run) if replaced else F.substring(value, i + 1, run))
+        i += run
+    full = F.concat(*parts, F.substring(value, last + 2, 2**31 - 1))
+    # Marks past the end of a short value are cut off again: each position before it
+    # has one character, or a mark of known length.
+    marks = F.lit(0)
+    if len(mark) != 1:
+        for i in VEHICLE_POSITIONS:
+            marks = marks + F.when(size > i, F.lit(len(mark) - 1)).otherwise(F.lit(0))
+    masked = F.when(size < 3, F.lit("XX")).when(size > last, full).otherwise(
+        F.left(full, size + marks)
+    )
     return [], _masked(rule_, value, masked)
 
 
@@ -522,8 +543,8 @@ def mask_process_parameter(rule_: MaskRule, ctx: RuleContext) -> Planned:
     """Third field of a process parameter: every name in it becomes anonymous."""
     value = ctx.value(rule_.attribute)
     process = ctx.value(rule_.lookup_columns[0])
-    fields = F.split(value, ";", -1)
-    names = F.get(fields, F.lit(2))
+    fields = ctx.bind("fields", F.split(value, ";", -1))
+    names = ctx.bind("names", F.get(fields, F.lit(2)))
     count = F.length(names) - F.length(F.translate(names, "|", "")) + 1
     anonymous = F.when(
         F.coalesce(names, F.lit("")) != "",
@@ -563,7 +584,7 @@ def mask_high_date(rule_: MaskRule, ctx: RuleContext) -> Planned:
     else:
         parsed = value
     low, high = (F.lit(x).cast("timestamp_ntz") for x in HIGH_DATE_RANGE)
-    parsed = parsed.cast("timestamp_ntz")
+    parsed = ctx.bind("parsed", parsed.cast("timestamp_ntz"))
     text = F.date_format(parsed, spark_pattern(rule_.format_string))
     inside = parsed.between(low, high)
     return [], {rule_.attribute: F.when(inside, text).otherwise(F.lit(rule_.default_1))}

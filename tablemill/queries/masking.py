@@ -629,7 +629,7 @@ def line_lookups(t: Tables) -> dict[str, DataFrame]:
     """,
 )
 def mask_lines(t: Tables) -> DataFrame:
-    return mask_table(line_persons(t), LINE_RULES, line_lookups(t))
+    return mask_table(line_persons(t), LINE_RULES, line_lookups(t), stage=True)
 
 
 def reduced_masked_orders(t: Tables) -> DataFrame:

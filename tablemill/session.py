@@ -6,7 +6,18 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+
+# Settings every session should have, on a cluster as well. A projection of many
+# rules can become a method the JVM does not compile; below this size of byte code
+# Spark generates one, above it many small ones.
+RECOMMENDED = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    "spark.sql.session.timeZone": "UTC",
+}
 
 
 def local_session(cpus: int | None = None, partitions: int = 8, **conf: str) -> SparkSession:
@@ -15,12 +26,10 @@ def local_session(cpus: int | None = None, partitions: int = 8, **conf: str) ->
         SparkSession.builder.master(f"local[{cpus or '*'}]")
         .appName("tablemill")
         .config("spark.sql.shuffle.partitions", str(partitions))
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.adaptive.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
     )
-    for key, value in conf.items():
+    for key, value in {**RECOMMENDED, **conf}.items():
         builder = builder.config(key.replace("__", "."), value)
     return builder.getOrCreate()
 
@@ -43,3 +52,11 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder."""
     return os.path.join(scratch_root(spark), f"{name}-{uuid.uuid4().hex}")
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """The frame written to the shared folder and read back: computed once, of known
+    size, and safe from lost executors."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -21,7 +21,7 @@ from tablemill.functions.cleanse import (
     parse_timestamp,
 )
 from tablemill.functions.text import LOG_LIMIT, is_blank, log_text, rstrip, strip
-from tablemill.spec import col
+from tablemill.spec import col, computed_once
 
 # SAP type -> kind of value.
 SAP_KINDS = {
@@ -232,26 +232,31 @@ def ingest_tagged(
     ``_invalid`` is empty for good rows. Write the frame partitioned by it to get
     good and faulty rows from a single pass.
     """
+    # Three steps, so that each value is stripped and parsed once though it is used
+    # for the result, the check and the error row.
+    names = [f.name for f in fields]
+    stripped = computed_once(raw, [strip(col(n)).alias(n) for n in names])
     cleansed, invalid = [], []
     for f in fields:
-        value = strip(col(f.name))
+        value, clean = col(f.name), F.col(f"_clean.`{f.name}`")
         if f.kind == "text":
-            clean = clean_text(value, formats.delimiter)
-        elif f.kind == "number":
-            clean = clean_number(value, f.scale)
-            bad = ~is_blank(value) & clean.isNull()
+            cleansed.append(clean_text(value, formats.delimiter).alias(f.name))
+            continue
+        if f.kind == "number":
+            cleansed.append(clean_number(value, f.scale).alias(f.name))
+            bad = (value != "") & clean.isNull()
         else:
-            clean = PARSERS[f.kind](value, getattr(formats, f.kind), lazy)
+            parsed = PARSERS[f.kind](value, getattr(formats, f.kind), lazy)
+            cleansed.append(parsed.alias(f.name))
             bad = is_invalid(value, clean, f.kind)
-        cleansed.append(clean.alias(f.name))
-        if f.kind != "text":
-            invalid.append(F.when(bad, F.lit(f.name)))
-    raw_text = F.struct(*[strip(col(f.name)).alias(f.name) for f in fields]).alias("_raw")
-    if not invalid:
-        problems = F.array().cast("array<string>")
-    else:
-        problems = F.array_compact(F.array(*invalid))
-    return raw.select(*cleansed, raw_text, problems.alias("_invalid"))
+        invalid.append(F.when(bad, F.lit(f.name)))
+    problems = F.array_compact(F.array(*invalid)) if invalid else F.array().cast("array<string>")
+    parsed = computed_once(stripped, [*[col(n) for n in names], F.struct(*cleansed).alias("_clean")])
+    return parsed.select(
+        *[F.col(f"_clean.`{n}`").alias(n) for n in names],
+        F.struct(*[col(n) for n in names]).alias("_raw"),
+        problems.alias("_invalid"),
+    )
 
 
 def ingest_file(

@@ -62,3 +62,13 @@ def intersect_columns(source: list[str], target: list[str]) -> list[str]:
     """Columns that are moved: those of the source the target has, in source order."""
     wanted = set(target)
     return [c for c in source if c in wanted]
+
+
+def computed_once(df: DataFrame, columns: list[Column]) -> DataFrame:
+    """A select whose results later steps use as they are.
+
+    Spark merges projections and pushes filters below them, and thereby repeats an
+    expression wherever its column is used. It does neither across a generator, so
+    parsing that feeds a check, a filter and the result runs once per row.
+    """
+    return df.select(F.inline(F.array(F.struct(*columns))))
