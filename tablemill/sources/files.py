@@ -74,18 +74,31 @@ def read_fixed_width(
     encoding: str = "UTF-8",
     offset: int = 0,
 ) -> DataFrame:
-    """Lines cut into text columns by their lengths; ``offset=1`` skips separators."""
-    lines = (
-        spark.read.schema("line string")
-        .option("sep", "\x01")
-        .option("quote", "")
-        .option("escape", "")
-        .option("header", header)
-        .option("encoding", encoding)
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-        .csv(path)
-    )
+    """Lines cut into text columns by their lengths; ``offset=1`` skips separators.
+
+    Every line is a row, empty ones too. Only Spark's CSV reader can leave out the
+    first line of each file, so files with a header go through it; it passes over
+    blank lines.
+    """
+    if header:
+        lines = (
+            spark.read.schema("line string")
+            .option("sep", "\x01")
+            .option("quote", "")
+            .option("escape", "")
+            .option("header", True)
+            .option("encoding", encoding)
+            .option("ignoreLeadingWhiteSpace", False)
+            .option("ignoreTrailingWhiteSpace", False)
+            .csv(path)
+        )
+    else:
+        text = spark.read.text(path)
+        # The reader keeps the bytes of a line as they are.
+        value = F.col("value")
+        if encoding.upper() not in ("UTF-8", "UTF8", "US-ASCII"):
+            value = F.decode(value.cast("binary"), encoding)
+        lines = text.select(value.alias("line"))
     return cut_fixed_width(lines, "line", fields, offset)
 
 
