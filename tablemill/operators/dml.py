@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tablemill.operators.dedup import dedup_keep
 from tablemill.operators.filters import ERROR_COLUMN, key_complete
+from tablemill.operators.joins import distinct_keys
 from tablemill.spec import col, intersect_columns, key_list
 
 
@@ -55,8 +56,7 @@ def upsert(
         if any(src.schema[k].nullable for k in keys):
             new = new.unionByName(src.where(~key_complete(keys)))
     new = new.select([col(c) for c in shared])
-    # Repeated keys do not matter here, so this side needs no deduplication.
-    changed = keyed.select([col(k).alias(f"__key_{i}") for i, k in enumerate(keys)])
+    changed = distinct_keys(keyed, [(k, f"__key_{i}") for i, k in enumerate(keys)])
     match = reduce(and_, [col(k) == col(f"__key_{i}") for i, k in enumerate(keys)])
     missing = [c for c in tgt.columns if c not in shared]
     if missing:

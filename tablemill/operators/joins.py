@@ -13,7 +13,28 @@ from operator import and_, or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablemill.spec import MappingError, col, key_list
+from tablemill.spec import MappingError, col, computed_once, key_list
+
+
+def own_exchange(df: DataFrame) -> DataFrame:
+    """An aggregate that is to be joined on its key, so that the join shuffles again.
+
+    AQE splits a hot partition only where both join inputs come straight from a
+    shuffle made for the join. An aggregate on the same key would otherwise lend the
+    join its own shuffle, and the rows of a hot key would stay in one task. Only the
+    aggregated side is moved twice, and not at all if it is broadcast.
+    """
+    return computed_once(df, [col(c) for c in df.columns])
+
+
+def distinct_keys(df: DataFrame, names: list[tuple[str, str]]) -> DataFrame:
+    """Distinct complete keys of a frame under new names, for semi- and anti-joins.
+
+    Each task drops repeats before the shuffle, so a hot key on this side is one row.
+    """
+    complete = reduce(and_, [col(old).isNotNull() for old, _ in names])
+    keys = df.where(complete).select([col(old).alias(new) for old, new in names]).distinct()
+    return own_exchange(keys)
 
 
 def _key_pairs(src_keys, fil_keys) -> list[tuple[str, str]]:
@@ -34,7 +55,10 @@ def filter_join(
     each row once and needs no column of the filter table but its keys.
     """
     pairs = _key_pairs(src_keys, fil_keys)
-    keys = fil.select([col(f).alias(f"__fil_{i}") for i, (_, f) in enumerate(pairs)])
+    if semi:
+        keys = distinct_keys(fil, [(f, f"__fil_{i}") for i, (_, f) in enumerate(pairs)])
+    else:
+        keys = fil.select([col(f).alias(f"__fil_{i}") for i, (_, f) in enumerate(pairs)])
     condition = reduce(and_, [col(s) == col(f"__fil_{i}") for i, (s, _) in enumerate(pairs)])
     joined = src.join(keys, condition, "left_semi" if semi else "inner")
     return joined.select([col(c) for c in src.columns])
@@ -56,12 +80,7 @@ def union_join(
         raise MappingError(MappingError.KEY_COUNT_DIFFERS, "source and filter key differ in length")
     flagged = src
     for i, (s, f) in enumerate(pairs):
-        keys = (
-            fil.select(col(f).alias(f"__fil_{i}"))
-            .where(col(f"__fil_{i}").isNotNull())
-            .distinct()
-            .withColumn(f"__hit_{i}", F.lit(True))
-        )
+        keys = distinct_keys(fil, [(f, f"__fil_{i}")]).withColumn(f"__hit_{i}", F.lit(True))
         flagged = flagged.join(keys, col(s) == col(f"__fil_{i}"), "left")
     hit = reduce(or_, [col(f"__hit_{i}").isNotNull() for i in range(len(pairs))])
     rows = flagged.where(hit).select([col(c) for c in src.columns])
@@ -79,11 +98,10 @@ def unique_lookup(lookup: DataFrame, keys: list[Column], masks: list[Column], pr
         *[m.alias(f"{prefix}m{i}") for i, m in enumerate(masks)],
     ).groupBy(*names)
     if len(masks) == 1:
-        return picked.agg(F.min(f"{prefix}m0").alias(f"{prefix}m0"))
+        return own_exchange(picked.agg(F.min(f"{prefix}m0").alias(f"{prefix}m0")))
     best = F.min(F.struct(*[col(f"{prefix}m{i}") for i in range(len(masks))]))
-    return picked.agg(best.alias(f"{prefix}s")).select(
-        *names, *[F.col(f"{prefix}s.{prefix}m{i}").alias(f"{prefix}m{i}") for i in range(len(masks))]
-    )
+    companions = [F.col(f"{prefix}s.{prefix}m{i}").alias(f"{prefix}m{i}") for i in range(len(masks))]
+    return own_exchange(picked.agg(best.alias(f"{prefix}s")).select(*names, *companions))
 
 
 def lookup_left(
@@ -109,6 +127,6 @@ def missing_entities(repo: DataFrame, registered: DataFrame, keys, registered_ke
     """Distinct key values of the repository that are not registered yet."""
     left = key_list(keys)
     right = key_list(registered_keys) or left
-    known = registered.select([col(r).alias(f"__reg_{i}") for i, r in enumerate(right)])
+    known = distinct_keys(registered, [(r, f"__reg_{i}") for i, r in enumerate(right)])
     condition = reduce(and_, [col(k) == col(f"__reg_{i}") for i, k in enumerate(left)])
     return repo.select([col(k) for k in left]).distinct().join(known, condition, "left_anti")

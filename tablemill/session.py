@@ -9,12 +9,14 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-# Settings every session should have, on a cluster as well. A projection of many
+# Settings every session should have, on a cluster as well. Hot partitions of a join
+# are split even where a later join then has to shuffle again. A projection of many
 # rules can become a method the JVM does not compile; below this size of byte code
 # Spark generates one, above it many small ones.
 RECOMMENDED = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.session.timeZone": "UTC",
 }
