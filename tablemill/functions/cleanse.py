@@ -97,8 +97,14 @@ def _long_enough(c: Column, kind: str) -> Column:
 def _strict(c: Column, fmt: str) -> Column:
     """Parse by format; text of another shape is not handed to the parser, whose
     failures are dear."""
-    shaped = c.rlike(value_shape(fmt))
-    return F.when(shaped, F.try_to_timestamp(c, F.lit(spark_pattern(fmt, parsing=True))))
+    shaped, text = c.rlike(value_shape(fmt)), c
+    if fmt.endswith("%f"):
+        # Results go to the second, and a fraction right after other digits would
+        # make the parser take them for a longer year.
+        fmt = fmt.removesuffix("%f")
+        body = value_shape(fmt).removeprefix("^").removesuffix("$")
+        text = F.regexp_extract(c, f"^({body})([0-9]{{6}})?$", 1)
+    return F.when(shaped, F.try_to_timestamp(text, F.lit(spark_pattern(fmt, parsing=True))))
 
 
 def _lazy(c: Column, fmt: str, wanted: str, pattern: str) -> Column:

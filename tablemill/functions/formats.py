@@ -69,9 +69,6 @@ def spark_pattern(fmt: str, parsing: bool = False) -> str:
         )
         if parsing and width == 2 and not touches:
             width = 1
-        if parsing and value == "f":
-            out.append("[" + "S" * width + "]")
-            continue
         out.append(letter * width)
     return "".join(out)
 

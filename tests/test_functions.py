@@ -1,5 +1,6 @@
 """Column functions on rows worked out by hand."""
 
+import base64
 from datetime import date, datetime
 from decimal import Decimal
 
@@ -109,7 +110,7 @@ def test_encryption_known_values(spark):
     """AES-128 of the FIPS 197 example, which fills its block and so gets no padding."""
     key, plain = "AAECAwQFBgcICQoLDA0ODw==", bytes.fromhex("00112233445566778899aabbccddeeff").decode("latin-1")
     sealed = column(spark, [plain], lambda v: encrypt_column(v, key, "ECB", "ISO-8859-1"))
-    assert sealed == ["acTg2GprBDDYzbeAcLTFWg=="]
+    assert base64.b64decode(sealed[0]).hex() == "69c4e0d86a7b0430d8cdb78070b4c55a"
     padded = column(spark, ["abc"], lambda v: encrypt_column(v, KEY, "ECB", "ISO-8859-1", zero_pad=True))
     assert column(spark, padded, lambda v: decrypt_column(v, KEY, "ECB", "ISO-8859-1")) == ["abc"]
     assert len(column(spark, ["abc"], lambda v: encrypt_column(v, KEY, truncate=7))[0]) == 7
