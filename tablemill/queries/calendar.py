@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tablemill.functions.calendar import easter_sunday, is_holiday
 from tablemill.operators import calendar_dims as dims
-from tablemill.queries.base import Tables, query
+from tablemill.queries.base import ORACLES, Tables, query
 
 AS_OF = date(1998, 7, 15)
 NOW = datetime(2024, 2, 1, 12, 30, 45)
@@ -222,3 +222,15 @@ _dimension(
         cast(trunc(date_diff('day', date '{AS_OF}', d) / 7.0) as int) as SEQUENZ""",
     "isodow(d) = 1",
 )
+
+
+@query(
+    "unknown_member",
+    ORACLES["dim_date"]
+    + """
+    union all select '-1', '9999-12-31 23:59:59', 0, '-1', '-1', '-1', '-1', 'n.r.', 0, 'n.r.', '-', '-', 0, '-', '-',
+        '-1', '-1', '-1', '-1', '-1', '9999999999', 999999
+    """,
+)
+def dim_date_unknown(t: Tables) -> DataFrame:
+    return dims.unknown_member(dims.dim_date(dims.days_of(t.orders, "o_orderdate"), AS_OF), "dim_date")
