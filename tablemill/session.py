@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -39,11 +40,15 @@ def local_session(cpus: int | None = None, partitions: int = 8, **conf: str) ->
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and staged tables.
 
-    A cluster names it in ``spark.checkpoint.dir``. Only where that is unset
-    (tests on one machine) a temporary folder is made and put into the setting.
+    A cluster names it in ``spark.checkpoint.dir``. Only a local master (tests on one
+    machine) may leave it unset: then a temporary folder is made and put into the
+    setting. On a cluster that would be a folder executors cannot see, so it is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise ValueError(f"spark.checkpoint.dir must name a shared folder on {master}")
         root = tempfile.mkdtemp(prefix="tablemill-")
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -56,9 +61,34 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(scratch_root(spark), f"{name}-{uuid.uuid4().hex}")
 
 
+STAGED = r"-[0-9a-f]{32}$"
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """The frame written to the shared folder and read back: computed once, of known
     size, and safe from lost executors."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove_staged(df: DataFrame) -> int:
+    """Delete the staged tables a frame reads; the frame cannot be read afterwards.
+
+    Only folders below the shared folder that ``staged`` made are touched. Returns how
+    many were deleted.
+    """
+    spark = df.sparkSession
+    root = scratch_root(spark)
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    top = jvm.org.apache.hadoop.fs.Path(root).toUri().getPath().rstrip("/") + "/"
+    folders = set()
+    for name in df.inputFiles():
+        parent = jvm.org.apache.hadoop.fs.Path(name).getParent()
+        if parent.toUri().getPath().startswith(top) and re.search(STAGED, parent.getName()):
+            folders.add(parent.toString())
+    for name in folders:
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(conf).delete(path, True)
+    return len(folders)
