@@ -38,14 +38,12 @@ PART_LINES = 5_000
 
 def tokens(line: Column) -> Column:
     """Tokens between white space, those with a digit as variable fields."""
-    return F.transform(
-        F.filter(F.split(line, r"\s+", -1), lambda t: t != ""),
-        lambda t: F.when(t.rlike("[0-9]"), F.lit(FIELD)).otherwise(t),
-    )
+    fields = F.when(line.rlike("[0-9]"), F.regexp_replace(line, r"\S*[0-9]\S*", FIELD)).otherwise(line)
+    return F.filter(F.split(fields, r"\s+", -1), lambda t: t != "")
 
 
-def masked(line: Column) -> Column:
-    return F.array_join(tokens(line), " ")
+def leaf_of(t: Column) -> Column:
+    return F.xxhash64(F.size(t), F.slice(t, 1, DEPTH))
 
 
 class Leaf:
@@ -120,13 +118,13 @@ def _lines(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
         col(id_column).alias("doc"),
         F.transform(lines, lambda x: tokens(x)).alias("t"),
     )
-    hashes = F.transform("t", lambda t: F.xxhash64(F.array_join(t, " ")))
+    hashes = F.transform("t", lambda t: F.xxhash64(t))
     each = each.select("doc", "t", F.concat(F.array(F.lit(0).cast("long")), hashes, F.array(F.lit(1).cast("long"))).alias("h"))
     rows = F.transform(
         "t",
         lambda t, i: F.struct(
             F.get("h", i + 1).alias("h"),
-            F.xxhash64(F.size(t), F.slice(t, 1, DEPTH)).alias("leaf"),
+            leaf_of(t).alias("leaf"),
             F.xxhash64(F.get("h", i), F.get("h", i + 2)).alias("around"),
             F.size(t).alias("n"),
         ),
@@ -142,33 +140,34 @@ def recurring_lines(
     agree: float = AGREE,
     part_lines: int = PART_LINES,
 ) -> DataFrame:
-    """Masked lines to drop: ``h`` (hash of the masked line), ``template``, ``n_docs``,
-    ``n_contexts`` and ``keeper``, the smallest document of the template."""
+    """Lines to drop: ``doc``, ``h`` (hash of the tokens), ``template``, ``n_docs``,
+    ``n_contexts``. Where the document is the smallest of the template, they stay."""
     lines = staged(_lines(df, id_column, text_column), "lines")
-    # Leaves that two documents share; the line's own text is read for these only.
-    shared = (
-        lines.groupBy("leaf").agg(F.min("doc").alias("a"), F.max("doc").alias("b"))
-        .where("a != b").select("leaf")
+    # A template can only recur if its leaf does: other lines are not read again.
+    around = lines.where("doc is not null").groupBy("leaf", "around").agg(F.min("doc").alias("a"), F.max("doc").alias("b"))
+    shared = staged(
+        around.groupBy("leaf").agg(F.min("a").alias("a"), F.max("b").alias("b"), F.count("*").alias("n"))
+        .where((F.col("n") >= contexts) & (F.col("a") != F.col("b"))).select("leaf"),
+        "shared",
+    )
+    wanted = staged(
+        lines.join(own_exchange(shared), "leaf", "left_semi").select("doc", "h", "leaf", "around").distinct(), "wanted"
     )
-    wanted = lines.join(own_exchange(shared), "leaf", "left_semi")
-    wanted = wanted.where("doc is not null")
-    wanted = staged(wanted.groupBy("h", "leaf", "doc", "around").agg(F.count("*").alias("times")), "shared")
     texts = df.select(
-        F.explode(F.split(F.coalesce(col(text_column), F.lit("")), "\n", -1)).alias("x")
-    ).select(tokens(F.col("x")).alias("t")).where(F.size("t") > 0)
-    texts = texts.select(F.array_join("t", " ").alias("line"), F.xxhash64(F.size("t"), F.slice("t", 1, DEPTH)).alias("leaf"))
-    texts = texts.withColumn("h", F.xxhash64("line"))
-    distinct = (
-        texts.join(own_exchange(shared), "leaf", "left_semi").distinct()
+        F.explode(F.transform(F.split(F.coalesce(col(text_column), F.lit("")), "\n", -1), tokens)).alias("t")
+    ).where(F.size("t") > 0)
+    distinct = staged(
+        texts.select("t", leaf_of(F.col("t")).alias("leaf")).join(shared, "leaf", "left_semi")
+        .select("leaf", F.xxhash64("t").alias("h"), F.array_join("t", " ").alias("line")).distinct(),
+        "distinct",
     )
     templates = staged(leaf_templates(distinct.select("leaf", "line"), agree, part_lines), "leaves")
-    named = templates.select(F.xxhash64("line").alias("h"), "leaf", "template")
-    seen = wanted.join(own_exchange(named), ["h", "leaf"])
-    counts = _counted(seen)
+    named = distinct.join(own_exchange(templates), ["leaf", "line"]).select("leaf", "h", "template")
+    seen = staged(wanted.join(own_exchange(named), ["h", "leaf"]), "seen")
+    counts = _counted(seen.where("doc is not null"))
     recurring = counts.where((F.col("n_docs") >= contexts) & (F.col("n_contexts") >= contexts))
-    return named.join(own_exchange(recurring), ["leaf", "template"]).select(
-        "h", "template", "n_docs", "n_contexts", "keeper"
-    )
+    found = seen.join(own_exchange(recurring), ["leaf", "template"]).where(~F.col("doc").eqNullSafe(F.col("keeper")))
+    return found.select("doc", "h", "template", "n_docs", "n_contexts")
 
 
 def _counted(seen: DataFrame) -> DataFrame:
@@ -193,30 +192,29 @@ def drop_recurring_lines(
     a token are never dropped. The other columns are kept. Rows that share an id are one
     document; rows without an id lose recurring lines but neither count nor keep them.
     """
-    dropped = recurring_lines(df, id_column, text_column, **options)
-    names = df.columns
-    numbered = df.select(
-        *[col(c).alias(f"c{i}") for i, c in enumerate(names)],
-        col(id_column).alias("doc"),
-        F.split(F.coalesce(col(text_column), F.lit("")), "\n", -1).alias("lines"),
-    )
-    lines = _lines(df.select(col(id_column), col(text_column)), id_column, text_column)
-    # Which lines go, per document: a short list of hashes.
     gone = (
-        lines.select("doc", "h").distinct().join(own_exchange(dropped.select("h", "keeper").distinct()), "h")
-        .where(~F.col("doc").eqNullSafe(F.col("keeper")))
+        recurring_lines(df, id_column, text_column, **options)
         .groupBy("doc").agg(F.collect_set("h").alias("gone"))
     )
-    joined = numbered.alias("a").join(
-        own_exchange(gone).alias("b"), F.col("a.doc").eqNullSafe(F.col("b.doc")), "left"
+    names = df.columns
+    place = f"c{names.index(text_column)}"
+    plain = df.select([col(c).alias(f"c{i}") for i, c in enumerate(names)])
+    ident = F.col(f"c{names.index(id_column)}")
+    joined = plain.join(own_exchange(gone), ident.eqNullSafe(F.col("doc")), "left")
+    lines = F.split(F.coalesce(F.col(place), F.lit("")), "\n", -1)
+    # Only documents that lose a line are taken apart.
+    kept = F.when(
+        F.col("gone").isNotNull(),
+        F.filter(lines, lambda x: ~F.array_contains("gone", F.xxhash64(tokens(x)))),
     )
-    kept = F.filter(
-        "lines", lambda x: ~F.array_contains(F.coalesce("gone", F.array().cast("array<long>")), F.xxhash64(masked(x)))
+    done = joined.select(
+        *plain.columns,
+        F.when(F.col(place).isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n"),
+        kept.alias("kept"),
     )
-    text = F.when(F.col("gone").isNull(), F.col(f"c{names.index(text_column)}")).otherwise(F.array_join(kept, "\n"))
-    total = F.when(F.col(f"c{names.index(text_column)}").isNull(), 0).otherwise(F.size("lines"))
-    return joined.select(
+    text = F.when(F.col("kept").isNull(), F.col(place)).otherwise(F.array_join("kept", "\n"))
+    return done.select(
         *[text.alias(c) if c == text_column else F.col(f"c{i}").alias(c) for i, c in enumerate(names)],
-        total.cast("long").alias("n_lines"),
-        F.when(F.col("gone").isNull(), 0).otherwise(F.size("lines") - F.size(kept)).cast("long").alias("n_dropped"),
+        F.col("n").alias("n_lines"),
+        F.when(F.col("kept").isNull(), 0).otherwise(F.col("n") - F.size("kept")).cast("long").alias("n_dropped"),
     )
