@@ -53,6 +53,18 @@ def clean_number(c: Column, scale: int = 0, result_type: str = NUMBER_TYPE) -> C
     return v.try_cast(result_type)
 
 
+def loses_digits(value: Column, clean: Column, scale: int = 0) -> Column:
+    """Whether a number read as ``NUMBER_TYPE`` had more decimals than that keeps.
+
+    Only text with a point, a comma or an exponent can; the others pay no second cast.
+    """
+    exact = clean_number(value, scale, "decimal(38,28)")
+    return F.when(
+        value.rlike("[.,eE]"),
+        F.coalesce(exact != clean, (clean == 0) & value.rlike("^[^eE]*[1-9]")),
+    ).otherwise(F.lit(False))
+
+
 def clean_number_sap(c: Column, kind: str = "numeric", result_type: str = NUMBER_TYPE) -> Column:
     """Number from an SAP extract: ``integer`` or ``numeric``; no implied point."""
     if kind == "integer":

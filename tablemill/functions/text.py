@@ -48,9 +48,15 @@ def string_scrub(c: Column, chars: str = '";') -> Column:
     return F.translate(c, chars, "")
 
 
-def log_text(c: Column, limit: int = LOG_LIMIT, notice: str = LOG_NOTICE) -> Column:
-    """Session log as it is stored: scrubbed, and cut at ``limit`` with a notice."""
+def log_text(c: Column, limit: int | None = None, notice: str = LOG_NOTICE) -> Column:
+    """Session log as it is stored: scrubbed, and cut at ``limit`` with a notice.
+
+    There is no cut unless one is asked for; ``LOG_LIMIT`` is that of a column of a
+    database that needs it.
+    """
     scrubbed = string_scrub(c, LOG_JUNK)
+    if limit is None:
+        return scrubbed
     return F.when(
         F.length(scrubbed) > limit, F.concat(F.substring(scrubbed, 1, limit), F.lit(notice))
     ).otherwise(scrubbed)

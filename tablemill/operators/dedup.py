@@ -19,7 +19,10 @@ def dedup_keep(df: DataFrame, keys, order, keep: str = "last") -> DataFrame:
         raise ValueError("keep is first or last")
     keys, order = key_list(keys), key_list(order)
     rest = [c for c in df.columns if c not in keys and c not in order]
-    by = [col(c).desc() if keep == "last" else col(c).asc() for c in (*order, *rest)]
+    # Maps have no order; their text does.
+    plain = {f.name: "map<" not in f.dataType.simpleString() for f in df.schema.fields}
+    values = [col(c) if plain[c] else col(c).cast("string") for c in (*order, *rest)]
+    by = [v.desc() if keep == "last" else v.asc() for v in values]
     place = F.row_number().over(Window.partitionBy([col(k) for k in keys]).orderBy(*by))
     return df.withColumn("__place", place).where(col("__place") == 1).drop("__place")
 

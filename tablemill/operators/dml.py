@@ -63,6 +63,8 @@ def upsert(
         old = tgt.join(changed, match, "left_semi").select(
             *[col(k).alias(f"__key_{i}") for i, k in enumerate(keys)], *[col(c) for c in missing]
         )
+        # A key the target holds twice must not multiply the new rows.
+        old = dedup_keep(old, [f"__key_{i}" for i in range(len(keys))], ())
         new = new.join(old, match, "left").select([col(c) for c in tgt.columns])
     return tgt.join(changed, match, "left_anti").unionByName(new)
 

@@ -6,7 +6,7 @@ import logging
 from collections.abc import Iterable, Mapping
 from dataclasses import replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from tablemill.operators.rules import RULES, LookupJoin, MaskRule, RuleContext
 from tablemill.session import staged
@@ -19,32 +19,37 @@ def rules_from_config(rows: Iterable[Mapping]) -> list[MaskRule]:
     """Rules of one table from its configuration rows, in their order.
 
     Rows whose rule name ends in TODO are left out; the last row of an attribute
-    counts. Rows of a rule with the flag FLG_RULE_OVER and lookup columns are one
-    rule over several attributes, where it stood first.
+    counts. A rule that has FLG_RULE_OVER and lookup columns in any row is one rule
+    over the attributes of all its rows, where it stood first.
     """
     by_attribute: dict[str, Mapping] = {}
     for row in rows:
         if not row["rule_name"].endswith("TODO"):
             by_attribute[row["attribut"]] = row
+    joint = {
+        r["rule_name"]
+        for r in by_attribute.values()
+        if r.get("flg_rule_over") == 1 and r.get("lkp_cols") is not None
+    }
     rules: dict[tuple, MaskRule] = {}
     for attribute, row in by_attribute.items():
-        lookup_columns = row.get("lkp_cols")
-        joint = row.get("flg_rule_over") == 1 and lookup_columns is not None
-        if joint and (row["rule_name"],) in rules:
-            known = rules[(row["rule_name"],)]
-            rules[(row["rule_name"],)] = replace(
+        lookup_columns, name = row.get("lkp_cols"), row["rule_name"]
+        if name in joint and (name,) in rules:
+            known = rules[(name,)]
+            rules[(name,)] = replace(
                 known,
                 attributes=(*known.attributes, attribute),
                 lookup_columns=(*known.lookup_columns, lookup_columns),
             )
             continue
-        columns = (lookup_columns,) if joint else tuple((lookup_columns or "").split(","))
-        rules[(row["rule_name"],) if joint else (row["rule_name"], attribute)] = MaskRule(
-            rule=row["rule_name"],
+        columns = (lookup_columns,) if name in joint else tuple((lookup_columns or "").split(","))
+        rules[(name,) if name in joint else (name, attribute)] = MaskRule(
+            rule=name,
             attributes=(attribute,),
-            lookup_columns=columns if lookup_columns else (),
+            lookup_columns=columns if lookup_columns or name in joint else (),
             lookup=row.get("lkp_obj"),
             lookup_id=row.get("lkp_id"),
+            expression=row.get("translate_expression"),
             default_1=row.get("default_value_1"),
             default_2=row.get("default_value_2"),
             default_3=row.get("default_value_3"),
@@ -53,6 +58,16 @@ def rules_from_config(rows: Iterable[Mapping]) -> list[MaskRule]:
     return list(rules.values())
 
 
+def expression_lookups(spark: SparkSession, rules: Iterable[MaskRule]) -> dict[str, DataFrame]:
+    """Lookup frames of the rules that select their own, by that statement.
+
+    The statements run on tables and views of the session; closing semicolons go.
+    Add the result to the lookups of ``mask_table``.
+    """
+    statements = {r.expression for r in rules if r.expression}
+    return {x: spark.sql(x.strip().rstrip(";")) for x in sorted(statements)}
+
+
 def mask_table(
     df: DataFrame,
     rules: Iterable[MaskRule],

@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
+import logging
 from datetime import datetime
 from functools import reduce
 from operator import and_
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tablemill.operators.dedup import dedup_keep
 from tablemill.operators.dml import merge
 from tablemill.spec import col, key_list
 
+log = logging.getLogger(__name__)
+
 # Technical columns that are not compared or migrated.
 TECHNICAL_COLUMNS = ("SID", "LIV", "LIB", "LTV", "LTB", "TTV", "TTB")
 
@@ -75,15 +81,35 @@ def catalog_diff(
     )
 
 
+def common_type(a: DataFrame, b: DataFrame, name: str) -> T.DataType:
+    """The type in which a column of two frames is compared: the one Spark widens both
+    to, or text if there is none."""
+    kinds = {type(df.schema[name].dataType) for df in (a, b)}
+    if T.StringType in kinds and len(kinds) > 1:
+        return T.StringType()
+    try:
+        return a.select(col(name)).union(b.select(col(name))).schema[0].dataType
+    except AnalysisException:
+        return T.StringType()
+
+
 def table_reconcile(a: DataFrame, b: DataFrame, keys) -> DataFrame:
     """Per key whether the rows of two tables agree.
 
-    Status is same, changed, only_a or only_b; row counts per side are given. One
+    Status is same, changed, only_a or only_b; row counts per side are given. Columns
+    of different types are compared in the type that holds both, else as text. One
     aggregate over both tables: counts and sums of row hashes are combined before
     the shuffle, so repeated keys do not weigh and only keys and hashes travel.
     """
     keys = key_list(keys)
+    one_sided = set(a.columns) ^ set(b.columns)
+    if one_sided:
+        log.warning("columns of one table only are not compared: %s", sorted(one_sided))
     compared = [c for c in a.columns if c in b.columns and c not in keys]
+    types = {c: common_type(a, b, c) for c in (*keys, *compared)}
+    a, b = (
+        df.select([col(c).cast(types[c]).alias(c) for c in (*keys, *compared)]) for df in (a, b)
+    )
     # A null leaves the hash as it is, so its place is hashed as well.
     parts = [part for c in compared for part in (col(c), col(c).isNull())]
     digest = F.xxhash64(*parts) if parts else F.lit(0).cast("bigint")
@@ -191,7 +217,9 @@ def hash_change_detect(
     are not checked do not appear.
     """
     keys, now = key_list(keys), F.lit(as_of).cast("timestamp_ntz")
-    stored = known.select(
+    # A signature stored twice counts once: the one updated last.
+    known = known.select(*[col(k) for k in keys], "signature", "ts_ins", "ts_upd")
+    stored = dedup_keep(known, keys, "ts_upd").select(
         *[col(k).alias(f"__k_{k}") for k in keys],
         col("signature").alias("__old"),
         col("ts_ins").alias("__ins"),

@@ -31,7 +31,8 @@ class MaskRule:
 
     ``attributes`` are the masked columns; only the address rule has several, and
     then ``lookup_columns`` names their roles. ``lookup`` is the name of the
-    lookup frame, ``length`` the character length per attribute.
+    lookup frame, ``expression`` the statement that selects it if it has its own,
+    ``length`` the character length per attribute.
     """
 
     rule: str
@@ -39,6 +40,7 @@ class MaskRule:
     lookup_columns: tuple[str | None, ...] = ()
     lookup: str | None = None
     lookup_id: int | None = None
+    expression: str | None = None
     default_1: str | None = None
     default_2: str | None = None
     default_3: str | None = None
@@ -91,8 +93,13 @@ class RuleContext:
         return name in self._df.columns
 
     def lookup(self, rule: MaskRule, part: str | None = None) -> DataFrame:
+        if rule.expression in self._lookups and not part:
+            return self._lookups[rule.expression]
         name = rule.lookup or rule.rule
-        name = f"{name}_{part}" if part else name
+        # The two address lookups belong to the rule, whatever object a row names.
+        if part:
+            own = f"{rule.rule}_{part}"
+            name = own if own in self._lookups else f"{name}_{part}"
         if name not in self._lookups:
             raise KeyError(f"rule {rule.rule} needs the lookup {name!r}")
         return self._lookups[name]

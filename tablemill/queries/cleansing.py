@@ -82,6 +82,24 @@ def number(t: Tables) -> DataFrame:
     return _numbers(t, clean_number(F.col("v")))
 
 
+@query(
+    "clean_number_float",
+    """
+    select l_orderkey, l_linenumber, case l_linenumber when 1 then cast(l_partkey || 'E-15' as double)
+        when 2 then -cast(l_partkey || 'E30' as double) else l_partkey / 4 end as n
+    from lineitem
+    """,
+)
+def number_float(t: Tables) -> DataFrame:
+    """Floating point fields keep what does not fit into a decimal."""
+    texts = t.lineitem.selectExpr(
+        "l_orderkey", "l_linenumber",
+        "case l_linenumber when 1 then concat(l_partkey, 'E-15') when 2 then concat('-', l_partkey, 'E30') "
+        "else replace(cast(l_partkey / 4 as string), '.', ',') end as v",
+    )
+    return texts.select("l_orderkey", "l_linenumber", clean_number(F.col("v"), result_type="double").alias("n"))
+
+
 @query(
     "clean_number_implied",
     number_sql(
@@ -445,3 +463,8 @@ def bad_rows(t: Tables) -> DataFrame:
 )
 def log_ingest(t: Tables) -> DataFrame:
     return session_log_ingest(t.documents, key="doc_id", text="text", limit=2000)
+
+@query("session_log_full", "select doc_id, translate(text, ';§''', '') as text from documents")
+def log_full(t: Tables) -> DataFrame:
+    """Whole texts, which is the default."""
+    return session_log_ingest(t.documents, key="doc_id", text="text")

@@ -159,6 +159,29 @@ def reconciled(t: Tables) -> DataFrame:
     return table_reconcile(a, b, "l_orderkey,l_linenumber")
 
 
+@query(
+    "table_reconcile_types",
+    """
+    select o_orderkey, 1 as rows_a, 1 as rows_b,
+        case when o_orderkey % 10 = 3 then 'changed' else 'same' end as status
+    from orders
+    """,
+)
+def reconciled_types(t: Tables) -> DataFrame:
+    """Equal content in other types: bigint and int, decimals of two scales, time stamp
+    and date, number and text; a tenth of the prices differ."""
+    a = t.orders.selectExpr(
+        "o_orderkey", "cast(o_custkey as int) as cust", "cast(o_totalprice as decimal(12, 2)) as price",
+        "date_trunc('day', o_orderdate) as day", "cast(o_custkey as string) as code", "1 as only_here",
+    )
+    b = t.orders.selectExpr(
+        "cast(o_orderkey as int) as o_orderkey", "o_custkey as cust",
+        "cast(cast(if(o_orderkey % 10 = 3, o_totalprice + 1, o_totalprice) as decimal(12, 2)) as decimal(14, 3)) as price",
+        "cast(o_orderdate as date) as day", "o_custkey as code",
+    )
+    return table_reconcile(a, b, "o_orderkey")
+
+
 def migration(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Order prices as the delivering view, customers as history, orders as target."""
     ods = t.orders.where("o_orderstatus <> 'F'").selectExpr(
@@ -240,7 +263,18 @@ def changed_lately(t: Tables) -> DataFrame:
     return _text_stamps(recent_changes(found, AS_OF))
 
 
-@query("hash_change_detect_512")
+@query(
+    "hash_change_detect_512",
+    """
+    select source as job_name, 'doc' || doc_id as obj_name, 128 as digits,
+        case lang when 'fr' then 'new' else 'changed' end as status,
+        case lang when 'fr' then '2024-02-01 12:00:00' else '2023-12-01 00:00:00' end as ts_ins,
+        '2024-02-01 12:00:00' as ts_upd
+    from documents
+    """,
+)
 def changes_512(t: Tables) -> DataFrame:
+    """Known signatures of 256 bits, each twice: all known objects have changed."""
     current, known = signatures(t)
-    return _text_stamps(hash_change_detect(current, known, AS_OF))
+    found = _text_stamps(hash_change_detect(current, known.unionByName(known), AS_OF))
+    return found.withColumn("digits", F.length("signature")).drop("signature")

@@ -47,6 +47,25 @@ def quoted_round_trip(t: Tables) -> DataFrame:
     return typed(read_delimited(t.spark, path, fields, sep=";", multi_line=True), t.documents)
 
 
+@query(
+    "read_delimited_ragged",
+    """
+    select cast(o_orderkey as varchar) as k, case when o_orderkey % 4 > 0 then o_orderpriority end as p,
+        case o_orderkey % 4 when 2 then 'x' when 3 then o_orderkey || '|' || o_orderpriority || '|x|y' end as surplus
+    from orders
+    """,
+)
+def ragged(t: Tables) -> DataFrame:
+    """Lines with a field too few, one and two too many."""
+    path = scratch_path(t.spark, "ragged")
+    t.orders.selectExpr(
+        "concat(o_orderkey, case o_orderkey % 4 when 0 then '' else concat('|', o_orderpriority) end, "
+        "case o_orderkey % 4 when 2 then '|x' when 3 then '|x|y' else '' end) as value"
+    ).write.text(path)
+    fields = [DdicField("k", "text", 0), DdicField("p", "text", 0)]
+    return read_delimited(t.spark, path, fields, header=False, surplus="surplus")
+
+
 @query(
     "read_fixed_width",
     f"""

@@ -27,6 +27,16 @@ def binary_as_hex(df: DataFrame) -> DataFrame:
     )
 
 
+def _unquoted(f: T.StructField, sep: str) -> Column:
+    if not isinstance(f.dataType, T.StringType):
+        return col(f.name)
+    bad = F.lit(False)
+    for char in (sep, '"', "\n", "\r"):
+        bad = bad | F.contains(col(f.name), F.lit(char))
+    message = F.concat(F.lit(f"{f.name} needs quoting: "), col(f.name))
+    return F.when(bad, F.raise_error(message)).otherwise(col(f.name)).alias(f.name)
+
+
 def write_csv(
     df: DataFrame,
     path: str,
@@ -37,9 +47,16 @@ def write_csv(
     mode: str = "errorifexists",
     max_rows: int = 0,
 ) -> int:
-    """Delimited text; ``quoting`` is minimal, all or none."""
+    """Delimited text; ``quoting`` is minimal, all or none.
+
+    Without quoting, a value that would need it (separator, quote, line break) is an
+    error, as it could not be read again.
+    """
     if quoting not in ("minimal", "all", "none"):
         raise ValueError("quoting is minimal, all or none")
+    if quoting == "none":
+        df = binary_as_hex(df)
+        df = df.select([_unquoted(f, sep) for f in df.schema.fields])
     writer_options = {
         "sep": sep,
         "header": header,

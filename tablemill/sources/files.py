@@ -16,16 +16,18 @@ from tablemill.functions.cleanse import (
     clean_number,
     clean_text,
     is_invalid,
+    loses_digits,
     parse_date,
     parse_time,
     parse_timestamp,
 )
-from tablemill.functions.text import LOG_LIMIT, is_blank, log_text, rstrip, strip
+from tablemill.functions.text import is_blank, log_text, rstrip, strip
 from tablemill.spec import col, computed_once
 
 # SAP type -> kind of value.
 SAP_KINDS = {
-    **dict.fromkeys(("CURR", "DEC", "FLTP", "INT2", "INT4", "QUAN"), "number"),
+    **dict.fromkeys(("CURR", "DEC", "INT2", "INT4", "QUAN"), "number"),
+    "FLTP": "float",
     "DATS": "date",
     "TIMS": "time",
     "TIMESTAMP": "timestamp",
@@ -121,11 +123,20 @@ def read_delimited(
     header: bool = True,
     encoding: str = "UTF-8",
     multi_line: bool = False,
+    surplus: str | None = None,
 ) -> DataFrame:
-    """Quoted delimited text as text columns; missing trailing columns are null."""
-    schema = T.StructType([T.StructField(f.name, T.StringType()) for f in fields])
-    return (
+    """Quoted delimited text as text columns; missing trailing columns are null.
+
+    A line with more fields than the dictionary has fails the read. With ``surplus``
+    such a line is a row as well, and the column of that name holds it (the one
+    surplus field, or the whole line where there are more); it is null elsewhere.
+    """
+    names = [f.name for f in fields]
+    extra = ["__surplus"] if surplus else []
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in (*names, *extra, "__line")])
+    rows = (
         spark.read.schema(schema)
+        .option("columnNameOfCorruptRecord", "__line")
         .option("sep", sep)
         .option("quote", '"')
         .option("escape", '"')
@@ -135,6 +146,16 @@ def read_delimited(
         .option("enforceSchema", True)
         .csv(path)
     )
+    if surplus:
+        more = F.when(F.col("__surplus").isNotNull(), F.coalesce("__line", "__surplus"))
+        return rows.select(*[col(n) for n in names], more.alias(surplus))
+    # A line is told to be malformed with too few fields as well; those are null.
+    last = col(names[-1])
+    checked = F.when(
+        F.col("__line").isNotNull() & last.isNotNull(),
+        F.raise_error(F.concat(F.lit("more fields than the dictionary has: "), F.col("__line"))),
+    ).otherwise(last)
+    return rows.select(*[col(n) for n in names[:-1]], checked.alias(names[-1]))
 
 
 def load_blank_to_null(
@@ -145,7 +166,8 @@ def load_blank_to_null(
 ) -> DataFrame:
     """Bulk-load rules per column.
 
-    ``types`` gives text, number, date or timestamp. Blank text is null, other text
+    ``types`` gives text, number, float, date or timestamp, or a decimal type such as
+    ``decimal(38,20)`` for numbers of more digits. Blank text is null, other text
     loses trailing blanks; numbers and dates that cannot be read are null.
     """
 
@@ -156,6 +178,8 @@ def load_blank_to_null(
             return F.when(~is_blank(c), rstrip(c))
         if kind == "number":
             return strip(c).try_cast(NUMBER_TYPE)
+        if kind == "float" or kind.startswith("decimal("):
+            return strip(c).try_cast("double" if kind == "float" else kind)
         if kind == "date":
             return F.try_to_timestamp(strip(c), F.lit(date_fmt)).cast("timestamp_ntz")
         if kind == "timestamp":
@@ -182,8 +206,8 @@ def file_manifest(spark: SparkSession, path: str) -> DataFrame:
 
 def session_log_ingest(source: SparkSession | DataFrame, path: str | None = None,
                        key: str = "job_id", text: str = "report",
-                       limit: int = LOG_LIMIT) -> DataFrame:
-    """Session logs as a table of key and text, scrubbed and cut at a length.
+                       limit: int | None = None) -> DataFrame:
+    """Session logs as a table of key and text, scrubbed, and cut only at a given length.
 
     Takes a frame with those columns, or reads whole files whose path is the key.
     """
@@ -255,9 +279,12 @@ def ingest_tagged(
         if f.kind == "text":
             cleansed.append(clean_text(value, formats.delimiter).alias(f.name))
             continue
-        if f.kind == "number":
-            cleansed.append(clean_number(value, f.scale).alias(f.name))
+        if f.kind in ("number", "float"):
+            kind = "double" if f.kind == "float" else NUMBER_TYPE
+            cleansed.append(clean_number(value, f.scale, kind).alias(f.name))
             bad = (value != "") & clean.isNull()
+            if f.kind == "number":
+                bad = bad | loses_digits(value, clean, f.scale)
         else:
             parsed = PARSERS[f.kind](value, getattr(formats, f.kind), lazy)
             cleansed.append(parsed.alias(f.name))
@@ -285,7 +312,8 @@ def ingest_file(
 ) -> tuple[DataFrame, DataFrame]:
     """Good rows, typed and with metadata columns, and faulty rows as they were read.
 
-    A row is faulty when a date, time, timestamp or number in it cannot be read;
+    A row is faulty when a date, time, timestamp or number in it cannot be read, or a
+    number would lose digits;
     ``_invalid`` names the columns.
     """
     tagged = ingest_tagged(raw, fields, formats, lazy)

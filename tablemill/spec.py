@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -46,9 +47,19 @@ def key_list(keys: str | list[str] | tuple[str, ...] | None) -> list[str]:
     return list(keys)
 
 
+# Where Spark keeps the declared type of a char or varchar column it reads as text.
+DECLARED_TYPE = "__CHAR_VARCHAR_TYPE_STRING"
+
+
 def char_length(df: DataFrame, name: str) -> int | None:
-    """Character length of a column as kept in the schema metadata."""
-    return df.schema[name].metadata.get("length")
+    """Character length of a column: from the schema metadata, else of its char or
+    varchar type."""
+    field = df.schema[name]
+    if "length" in field.metadata:
+        return field.metadata["length"]
+    declared = field.metadata.get(DECLARED_TYPE) or field.dataType.simpleString()
+    found = re.fullmatch(r"(?:var)?char\((\d+)\)", declared)
+    return int(found[1]) if found else None
 
 
 def with_lengths(df: DataFrame, lengths: dict[str, int]) -> DataFrame:
