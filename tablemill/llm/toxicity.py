@@ -282,6 +282,7 @@ def fit(texts: list[str], labels: list[int], landmarks: int = LANDMARKS) -> Mode
             stands.append(ids[int(np.argmax(closest[ids]))])
             owners.append(d)
     stands, owners = np.array(stands), np.array(owners)
+    del documents, shared
     toxic = y[owners] == 1
     clean, clean_times = np.unique(stands[~toxic], return_counts=True)
     hard = np.argsort(-closest[clean], kind="stable")[:HARD_SENTENCES]
@@ -303,7 +304,10 @@ def fit(texts: list[str], labels: list[int], landmarks: int = LANDMARKS) -> Mode
         )
         value = space @ w + b
     model = fold(marks, root @ w, float(b))
-    features = np.array([document_features(v) for v in Scorer(model).values(texts)]).reshape(-1, 5)
+    scorer = Scorer(model)
+    features = np.array([
+        document_features(v) for i in range(0, len(texts), ROWS_AT_ONCE) for v in scorer.values(texts[i : i + ROWS_AT_ONCE])
+    ]).reshape(-1, 5)
     model.mean, model.scale, model.layer, model.base = logistic_layer(features, y)
     return model
 
