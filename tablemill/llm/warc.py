@@ -10,6 +10,7 @@ lost executor leaves nothing behind. Reading cuts the files by Content-Length.
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 
 import pyarrow as pa
@@ -23,7 +24,7 @@ CRLF = "\r\n"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 # Payloads below this size are not worth a revisit record.
 SMALLEST_REVISIT = 100
-# Bytes of an archive aimed at: a task reads one whole file at a time.
+# Bytes of an archive aimed at, before compression: a task reads one whole file at a time.
 FILE_BYTES = 16_000_000
 RECORD = (
     "page_id long, record_type string, uri string, date string, payload_bytes long, "
@@ -113,13 +114,14 @@ def write_warc(
     """Deduplicated archives of ``pages`` (page_id, url, html) below ``path``.
 
     A null html is an empty payload, a null url is ``urn:none``. A file gets as many
-    records as the mean size allows.
+    records as the mean size allows, and is compressed as a whole.
     """
     resolved = resolve_revisits(pages, smallest).select(record(date).alias("value"))
     sizes = pages.agg(F.sum(F.octet_length("html")).alias("bytes"), F.count("*").alias("rows")).first()
     mean = (sizes["bytes"] or 0) / max(1, sizes["rows"]) + 400
     per_file = max(1, int(file_bytes / mean))
-    resolved.write.option("lineSep", CRLF * 2).option("maxRecordsPerFile", per_file).text(path)
+    writer = resolved.write.option("lineSep", CRLF * 2).option("compression", "gzip")
+    writer.option("maxRecordsPerFile", per_file).text(path)
 
 
 def parse_records(data: bytes):
@@ -151,7 +153,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for content in batch.column(0):
                 rows = []
-                for headers, payload in parse_records(content.as_py()):
+                for headers, payload in parse_records(gzip.decompress(content.as_py())):
                     revisit = headers["WARC-Type"] == "revisit"
                     digest = headers["WARC-Payload-Digest"].removeprefix("sha256:")
                     if not revisit and hashlib.sha256(payload).hexdigest() != digest:
