@@ -29,7 +29,7 @@ from tablemill.session import staged
 from tablemill.spec import col
 
 COSINE = 0.95
-TREES = 10
+TREES = 8
 # Vectors the trees are fitted on at most, and residents of a leaf aimed at.
 SAMPLE = 20_000
 LEAF = 512
@@ -216,7 +216,11 @@ def _forest(classes: DataFrame, d: int, count: int, cosine: float, trees: int, s
         width = (int(first[-1]) + 7) // 8
         for batch in (b.slice(i, ROWS_AT_ONCE) for b in batches for i in range(0, b.num_rows, ROWS_AT_ONCE)):
             n = batch.num_rows
-            vectors = unit(np.array(batch.column(2).to_pylist(), np.float64))
+            given = np.array(batch.column(2).to_pylist(), np.float64)
+            vectors = unit(given)
+            # Sent as they came, in single precision if that is what they came in.
+            narrow = given.astype(np.float32)
+            given = narrow if (narrow == given).all() else given
             homes = np.zeros((n, len(forest)), np.int32)
             seen = np.zeros((n, width * 8), bool)
             who, where = [], []
@@ -236,7 +240,7 @@ def _forest(classes: DataFrame, d: int, count: int, cosine: float, trees: int, s
                         pa.array(w.astype(np.int32)), pa.array(homes[r, tree_of[start : start + 20_000]] == w),
                         batch.column(0).take(pa.array(r)), batch.column(1).take(pa.array(r)),
                         batch.column(3).take(pa.array(r)),
-                        pa.array([vectors[i].tobytes() for i in r], pa.binary()),
+                        pa.array([given[i].tobytes() for i in r], pa.binary()),
                         pa.array([homes[i].tobytes() for i in r], pa.binary()),
                         pa.array([packed[i].tobytes() for i in r], pa.binary()),
                     ],
@@ -266,7 +270,11 @@ def _forest(classes: DataFrame, d: int, count: int, cosine: float, trees: int, s
             def table_of(t, name, kind):
                 return np.frombuffer(b"".join(t.column(name).to_pylist()), kind).reshape(t.num_rows, -1)
 
-            x, y = table_of(a, "x", np.float64), table_of(b, "x", np.float64)
+            def units(t):
+                kind = {4 * d: np.float32, 8 * d: np.float64}
+                return unit(np.array([np.frombuffer(v, kind[len(v)]) for v in t.column("x").to_pylist()], np.float64))
+
+            x, y = units(a), units(b)
             seen = np.unpackbits(table_of(a, "seen", np.uint8), axis=1, bitorder="little")
             homes = table_of(b, "homes", np.int32)
             other, others, copies = (b.column(c).to_numpy() for c in ("key", "node", "copies"))
