@@ -58,10 +58,12 @@ def loses_digits(value: Column, clean: Column, scale: int = 0) -> Column:
 
     Only text with a point, a comma or an exponent can; the others pay no second cast.
     """
-    exact = clean_number(value, scale, "decimal(38,28)")
+    fine = "decimal(38,28)"
+    finer = clean_number(value, scale, fine) != clean.try_cast(fine)
+    decimals = F.length(F.regexp_extract(value, r"^[^eE]*[.,]([0-9]*?)0*[- ]*$", 1))
+    vanished = (clean == 0) & value.rlike("^[^eE]*[1-9]")
     return F.when(
-        value.rlike("[.,eE]"),
-        F.coalesce(exact != clean, (clean == 0) & value.rlike("^[^eE]*[1-9]")),
+        value.rlike("[.,eE]"), F.coalesce(finer, F.lit(False)) | (decimals > 10) | F.coalesce(vanished, F.lit(False))
     ).otherwise(F.lit(False))
 
 
