@@ -169,13 +169,15 @@ def mask_date(rule_: MaskRule, ctx: RuleContext) -> Planned:
     value = ctx.value(rule_.attribute)
     low, high = rule_.default_1, rule_.default_2
     if rule_.format_string == "DATE":
-        new_day = F.when(F.day(value) < int(high), F.lit(int(low))).otherwise(F.lit(int(high)))
-        shift = new_day - F.day(value)
+        date = ctx.bind("date", value.cast("date"))
+        day = ctx.bind("day", F.day(date))
+        new_day = F.when(day < int(high), F.lit(int(low))).otherwise(F.lit(int(high)))
+        shift = new_day - day
         if ctx.data_type(rule_.attribute) == "date":
             moved = F.date_add(value, shift)
         else:
             moved = value + F.make_dt_interval(shift)
-        return [], {rule_.attribute: F.when(F.year(value) == 9999, value).otherwise(moved)}
+        return [], {rule_.attribute: F.when(F.year(date) == 9999, value).otherwise(moved)}
     fmt = rule_.format_string
     year_at, day_at = fmt.index("YY"), fmt.index("DD")
     year_len, day_len = fmt.count("Y"), fmt.count("D")
@@ -200,8 +202,9 @@ def mask_po_box(rule_: MaskRule, ctx: RuleContext) -> Planned:
     The modulus divides 100, so the last two digits of a number of any length do.
     """
     value = ctx.value(rule_.attribute)
-    tail = F.right(F.regexp_replace(value, "[^0-9]", ""), F.lit(2))
-    return [], _masked(rule_, value, (tail.try_cast("int") % 20 + 505000).cast("string"))
+    tail = F.right(F.regexp_replace(value, "[^0-9]+", ""), F.lit(2))
+    number = ctx.bind("number", tail.try_cast("int"))
+    return [], _masked(rule_, value, (number % 20 + 505000).cast("string"))
 
 
 @rule("R12")

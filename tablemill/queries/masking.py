@@ -10,6 +10,7 @@ from tablemill.operators.joins import filter_join
 from tablemill.operators.masking import mask_table
 from tablemill.operators.rules import CONSTANT_RULES, MaskRule, address_lookups, caesar
 from tablemill.queries.base import Tables, query
+from tablemill.session import spread
 from tablemill.spec import with_lengths
 
 
@@ -563,7 +564,8 @@ def decode_prefixed(t: Tables) -> DataFrame:
 
 def line_persons(t: Tables) -> DataFrame:
     """Order lines with personal columns, one for each of ten rules."""
-    joined = t.lineitem.join(t.part, F.expr("l_partkey = p_partkey"))
+    lines = spread(t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"))
+    joined = lines.join(t.part, F.expr("l_partkey = p_partkey"))
     return joined.selectExpr(
         "l_orderkey", "l_linenumber", "p_name as last_name", "p_type as birthplace",
         "replace(p_name, ' ', '@') as mail",

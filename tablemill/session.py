@@ -37,6 +37,16 @@ def local_session(cpus: int | None = None, partitions: int = 8, **conf: str) ->
     return builder.getOrCreate()
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The rows of a table dealt over all cores where it has fewer files than cores.
+
+    A file of one row group is one task, however much the steps behind the scan have to
+    do. Tables of many files, so all large ones, are left alone: no shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and staged tables.
 

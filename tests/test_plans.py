@@ -32,7 +32,7 @@ def nodes(df, name):
 
 
 EAGER = {"write_csv", "read_delimited", "read_fixed_width", "write_parquet", "write_xml", "xml_validate", "replicate_table",
-         "file_manifest", "mask_stream", "number_new_entities", "load_parameters", "mask_table"}
+         "file_manifest", "mask_stream", "number_new_entities", "load_parameters"}
 
 
 @pytest.mark.parametrize("name", [n for n in QUERIES if n not in EAGER])
