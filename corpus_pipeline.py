@@ -19,6 +19,11 @@ from tablemill.spec import col
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+def _plain(docs: DataFrame) -> DataFrame:
+    """The columns of documents alone: others could clash with what a stage adds."""
+    return docs.select(*COLUMNS)
+
+
 def _kept(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """Rows of ``docs`` whose id is in ``ids``."""
     marked = ids.select(F.col("doc_id").alias("__doc")).distinct()
@@ -29,13 +34,13 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the model rejects go. It learns from the labelled rows of ``docs``."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = toxicity.train_toxicity(docs, labels)
-    scored = toxicity.score_toxicity(docs, model, keep=list(docs.columns))
+    scored = toxicity.score_toxicity(docs, model, keep=list(COLUMNS))
     return scored.where("predicted = 0").select(*COLUMNS)
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines of recurring templates go; ``n_chars`` follows the text."""
-    kept = line_templates.drop_recurring_lines(docs)
+    kept = line_templates.drop_recurring_lines(_plain(docs))
     return kept.select(
         "doc_id", "text", "lang", "source",
         F.when(F.col("n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")).alias("n_chars"),
@@ -45,13 +50,13 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates the document with the smallest id stays."""
     found = fast_similarity.near_duplicates(docs)
-    return _kept(docs, found.where("kept")).select(*COLUMNS)
+    return _kept(_plain(docs), found.where("kept"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a window of a benchmark item go."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return contamination.decontaminate(docs, benchmark).select(*COLUMNS)
+    return contamination.decontaminate(_plain(docs), benchmark)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -186,11 +186,13 @@ def decontaminate(
         .select(col(id_column).alias("__doc"), F.col("key").alias("__key"), F.col("hit_words").alias("__hits"))
         .dropDuplicates(["__doc", "__key"])
     )
-    same = [row_key(id_column, text_column) == F.col("__key"), col(id_column).eqNullSafe(F.col("__doc"))]
+    names = documents.columns
+    doc, text = (F.col(f"c{names.index(c)}") for c in (id_column, text_column))
+    plain = documents.select([col(c).alias(f"c{i}") for i, c in enumerate(names)])
+    same = [F.xxhash64(doc, text) == F.col("__key"), doc.eqNullSafe(F.col("__doc"))]
+    given = [F.col(f"c{i}").alias(c) for i, c in enumerate(names)]
     if remove == "documents":
-        return documents.join(own_exchange(hits), same, "left_anti")
-    cleaned = F.when(F.col("__key").isNull(), col(text_column)).otherwise(
-        without_hits(col(text_column), F.col("__hits"))
-    )
-    columns = [cleaned.alias(c) if c == text_column else col(c) for c in documents.columns]
-    return documents.join(own_exchange(hits), same, "left").select(columns)
+        return plain.join(own_exchange(hits), same, "left_anti").select(given)
+    cleaned = F.when(F.col("__key").isNull(), text).otherwise(without_hits(text, F.col("__hits")))
+    given[names.index(text_column)] = cleaned.alias(text_column)
+    return plain.join(own_exchange(hits), same, "left").select(given)

@@ -189,14 +189,15 @@ def drop_recurring_lines(
     ``n_dropped``.
 
     A null text stays null and has no line; an empty one has one empty line. Lines without
-    a token are never dropped. The other columns are kept. Rows that share an id are one
+    a token are never dropped. The other columns are kept, but for those named like the
+    two counts. Rows that share an id are one
     document; rows without an id lose recurring lines but neither count nor keep them.
     """
     gone = (
         recurring_lines(df, id_column, text_column, **options)
         .groupBy("doc").agg(F.collect_set("h").alias("gone"))
     )
-    names = df.columns
+    names = [c for c in df.columns if c not in ("n_lines", "n_dropped")]
     place = f"c{names.index(text_column)}"
     plain = df.select([col(c).alias(f"c{i}") for i, c in enumerate(names)])
     ident = F.col(f"c{names.index(id_column)}")
