@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tablemill.functions.formats import field_positions, spark_pattern, value_shape
+from tablemill.functions.formats import field_positions, impossible_day, spark_pattern, value_shape
 from tablemill.functions.text import is_blank, rstrip, strip
 
 NUMBER_TYPE = "decimal(38,10)"
@@ -109,9 +109,12 @@ def _long_enough(c: Column, kind: str) -> Column:
 
 
 def _strict(c: Column, fmt: str) -> Column:
-    """Parse by format; text of another shape is not handed to the parser, whose
-    failures are dear."""
+    """Parse by format; text of another shape, or with a day its month lacks, is not
+    handed to the parser, whose failures are dear."""
     shaped, text = c.rlike(value_shape(fmt)), c
+    impossible = impossible_day(fmt)
+    if impossible is not None:
+        shaped = shaped & ~c.rlike(impossible)
     if fmt.endswith("%f"):
         # Results go to the second, and a fraction right after other digits would
         # make the parser take them for a longer year.

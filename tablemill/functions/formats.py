@@ -35,6 +35,42 @@ def value_shape(fmt: str) -> str:
     return "^" + "".join(shapes) + "$"
 
 
+# Regular expression of the years of four digits that have no 29th of February.
+LEAP = "([0-9]{2}(0[48]|[2468][048]|[13579][26])|([02468][048]|[13579][26])00)"
+COMMON_YEAR = f"(?!{LEAP})[0-9]{{4}}"
+
+
+def impossible_day(fmt: str) -> str | None:
+    """Regular expression of text of the right shape whose day its month lacks; none if
+    the format has no day and month.
+
+    The parser finds those too, but by throwing an exception, which costs far more.
+    """
+    parts = split_format(fmt)
+    if not {"m", "d"} <= {v for kind, v in parts if kind == "field"}:
+        return None
+    cases = [{"m": "0?2", "d": "3[01]"}, {"m": "(0?[469]|11)", "d": "31"}]
+    if ("field", "Y") in parts:
+        cases.append({"Y": COMMON_YEAR, "m": "0?2", "d": "29"})
+    shapes = [
+        "".join({**SHAPES, **case}[v] if kind == "field" else re.escape(v) for kind, v in parts)
+        for case in cases
+    ]
+    return "^(" + "|".join(shapes) + ")$"
+
+
+def digit_shape(pattern: str) -> str | None:
+    """Regular expression of the text a Spark pattern of numeric fields can read, None for
+    other patterns."""
+    if re.search(r"[^yMdHmsS0-9:./ -]|(?<!M)MMM", pattern):
+        return None
+
+    def digits(run: re.Match) -> str:
+        return "[0-9]+" if len(run[0]) == 1 else f"[0-9]{{{len(run[0])}}}"
+
+    return "^" + re.sub(r"([yMdHmsS])\1*", digits, re.sub(r"[./-]", r"[\g<0>]", pattern)) + "$"
+
+
 def split_format(fmt: str) -> list[tuple[str, str]]:
     """Format as a list of ("field", directive) and ("text", literal)."""
     parts: list[tuple[str, str]] = []

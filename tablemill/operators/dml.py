@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tablemill.operators.dedup import dedup_keep
 from tablemill.operators.filters import ERROR_COLUMN, key_complete
 from tablemill.operators.joins import distinct_keys
+from tablemill.session import staged
 from tablemill.spec import col, intersect_columns, key_list
 
 
@@ -36,7 +37,7 @@ def truncate_load(tgt: DataFrame, src: DataFrame) -> DataFrame:
 
 
 def upsert(
-    tgt: DataFrame, src: DataFrame, keys, order=(), unique_source: bool = False
+    tgt: DataFrame, src: DataFrame, keys, order=(), unique_source: bool = False, stage: bool = False
 ) -> DataFrame:
     """Target rows updated by key, and source rows without a partner added.
 
@@ -44,19 +45,26 @@ def upsert(
     keep their old value. The target is read by an anti-join against the source
     keys, so a small source is broadcast and the target not shuffled. Rows with a
     gap in the key match nothing and are all added.
+
+    The new rows and their keys are two reads of the source. ``stage`` writes the
+    new rows to the shared folder first, so that a source that is dear to compute (masked,
+    joined) is computed once.
     """
     keys = key_list(keys)
     shared = intersect_columns(tgt.columns, src.columns)
     src = src.select([col(c) for c in dict.fromkeys([*shared, *key_list(order)])])
-    keyed = src.where(key_complete(keys))
     if unique_source:
         new = src
+    elif any(src.schema[k].nullable for k in keys):
+        # A row with a gap in its key is a group of its own: one pass keeps them all.
+        alone = F.when(~key_complete(keys), F.monotonically_increasing_id())
+        new = dedup_keep(src.withColumn("__gap", alone), [*keys, "__gap"], order)
     else:
-        new = dedup_keep(keyed, keys, order)
-        if any(src.schema[k].nullable for k in keys):
-            new = new.unionByName(src.where(~key_complete(keys)))
+        new = dedup_keep(src, keys, order)
     new = new.select([col(c) for c in shared])
-    changed = distinct_keys(keyed, [(k, f"__key_{i}") for i, k in enumerate(keys)])
+    if stage:
+        src = new = staged(new, "upsert")
+    changed = distinct_keys(src.where(key_complete(keys)), [(k, f"__key_{i}") for i, k in enumerate(keys)])
     match = reduce(and_, [col(k) == col(f"__key_{i}") for i, k in enumerate(keys)])
     missing = [c for c in tgt.columns if c not in shared]
     if missing:
@@ -77,6 +85,7 @@ def merge(
     error_text: str | None = None,
     order=(),
     unique_source: bool = False,
+    stage: bool = False,
 ) -> DataFrame:
     """MERGE: matched rows take all source values, others are inserted.
 
@@ -87,7 +96,7 @@ def merge(
         src = src.where(filter)
     if error_text is not None:
         src = src.withColumn(ERROR_COLUMN, F.lit(error_text))
-    return upsert(tgt, src, keys, order, unique_source)
+    return upsert(tgt, src, keys, order, unique_source, stage)
 
 
 def merge_into(src: DataFrame, table: str, keys) -> None:

@@ -190,8 +190,10 @@ def migrate_table(
     lookup,
     tgt_tech,
     id_column: str = "ID",
+    stage: bool = False,
 ) -> tuple[DataFrame, bool]:
-    """New content of the target, and whether its columns stay as they are.
+    """New content of the target, and whether its columns stay as they are. ``stage``
+    computes the migrated rows once (see ``upsert``).
 
     With equal columns the migrated rows are merged into the target by id, otherwise
     they make up a new table.
@@ -199,7 +201,7 @@ def migrate_table(
     rows = history_migrate(ods, history, tgt, src_tech, lookup, tgt_tech, id_column)
     if rows.columns == tgt.columns:
         order = [c for c in rows.columns if c != id_column]
-        return merge(tgt, rows, id_column, order=order), True
+        return merge(tgt, rows, id_column, order=order, stage=stage), True
     return rows, False
 
 

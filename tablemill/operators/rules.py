@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablemill.functions.formats import spark_pattern
+from tablemill.functions.formats import digit_shape, spark_pattern
 from tablemill.functions.text import (
     cut,
     decode_len_prefixed,
@@ -590,7 +590,15 @@ def mask_high_date(rule_: MaskRule, ctx: RuleContext) -> Planned:
     if ctx.data_type(rule_.attribute) == "string":
         formats = rule_.options.get("formats", HIGH_DATE_FORMATS)
         text = strip(value)
-        parsed = F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in formats])
+        # By shape first: a format that does not fit costs an exception.
+        shapes = {f: digit_shape(f) for f in formats}
+        parsed = F.coalesce(
+            *[
+                F.try_to_timestamp(text, F.lit(f)) if shape is None
+                else F.when(text.rlike(shape), F.try_to_timestamp(text, F.lit(f)))
+                for f, shape in shapes.items()
+            ]
+        )
     else:
         parsed = value
     low, high = (F.lit(x).cast("timestamp_ntz") for x in HIGH_DATE_RANGE)

@@ -124,8 +124,10 @@ class Mapping:
         filter: DataFrame | None = None,
         lookups: Dict[str, DataFrame] | None = None,
         views: Dict[str, DataFrame] | None = None,
+        stage: bool = False,
     ) -> DataFrame:
-        """New content of the target after all target actions."""
+        """New content of the target after all target actions; ``stage`` computes the
+        rows of an upsert or merge once (see ``upsert``)."""
         if self.ignored:
             log.info("mapping %s is ignored", self.name)
             if target is None:
@@ -154,10 +156,10 @@ class Mapping:
                 )
                 text = ERROR_TEXT if is_error_table else None
                 content = merge(
-                    content, moved, self.target_keys, error_text=text, order=self._order(moved)
+                    content, moved, self.target_keys, error_text=text, order=self._order(moved), stage=stage
                 )
             else:
-                content = upsert(content, moved, self.target_keys, self._order(moved))
+                content = upsert(content, moved, self.target_keys, self._order(moved), stage=stage)
         return content
 
     def _order(self, rows: DataFrame) -> list[str]:

@@ -23,6 +23,7 @@ from tablemill.functions.cleanse import (
 from tablemill.functions.crypt import decrypt_column, encrypt_column
 from tablemill.functions.text import duration_hms, hex_to_base64, string_scrub
 from tablemill.queries.base import Tables, query
+from tablemill.session import spread
 from tablemill.sources.files import (
     DdicField,
     cut_fixed_width,
@@ -122,6 +123,22 @@ def number_sap(t: Tables) -> DataFrame:
     return _numbers(t, clean_number_sap(F.col("v")))
 
 
+@query(
+    "clean_number_sap_integer",
+    """
+    select l_orderkey, l_linenumber, case l_linenumber when 1 then -l_partkey when 2 then null
+        when 3 then l_partkey * 100 else l_partkey end as n
+    from lineitem
+    """,
+)
+def number_sap_integer(t: Tables) -> DataFrame:
+    v = F.expr(
+        "case l_linenumber when 1 then concat(' ', l_partkey, '- ') when 2 then concat('x', l_partkey) "
+        "when 3 then concat(l_partkey, 'E2') else cast(l_partkey as string) end"
+    )
+    return t.lineitem.select("l_orderkey", "l_linenumber", clean_number_sap(v, "integer").alias("n"))
+
+
 @query(
     "clean_bool",
     """
@@ -270,6 +287,28 @@ def sap(t: Tables) -> DataFrame:
     return t.events.select("event_id", parse_sap_datetime(v).alias("v"))
 
 
+@query(
+    "parse_sap_datetime_typed",
+    """
+    select event_id, case when event_type <> 'signup' then strftime(ts, '%Y-%m-%d') end as d,
+        case when event_type <> 'signup' then strftime(ts, '%H:%M:%S.000000') end as h,
+        strftime(ts, '%Y-%m-%d') || ' ' ||
+            case event_type when 'signup' then '00:00:00' else strftime(ts, '%H:%M:%S') end || '.000000' as s
+    from events
+    """,
+)
+def sap_typed(t: Tables) -> DataFrame:
+    """Columns of a known type; sign-ups have values too short for it."""
+    short = F.col("event_type") == "signup"
+    day, clock = F.date_format("ts", "yyyyMMdd"), F.date_format("ts", "HHmmss")
+    return t.events.select(
+        "event_id",
+        parse_sap_datetime(F.when(short, clock).otherwise(day), "date").alias("d"),
+        parse_sap_datetime(F.when(short, F.lit("00000")).otherwise(clock), "time").alias("h"),
+        parse_sap_datetime(F.when(short, day).otherwise(F.concat(day, clock)), "timestamp").alias("s"),
+    )
+
+
 @query(
     "default_for_type",
     """
@@ -374,6 +413,21 @@ def encrypted(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    "encrypt_column_text",
+    """
+    select c_custkey, case c_mktsegment when 'AUTOMOBILE' then 'lsbljoh9NnyGxe0zvirK8g=='
+        when 'BUILDING' then 'ym5Ex+Dwq2E7oJWKV9F9BA==' when 'FURNITURE' then 'rAzUFManzQmXPxUuGUlD6A=='
+        when 'HOUSEHOLD' then 'eucB2Q3V96418onypufPGw==' when 'MACHINERY' then 'mGgYY2N9TP5I/jifi9LKXg==' end as sealed
+    from customer
+    """,
+)
+def encrypted_text(t: Tables) -> DataFrame:
+    """The ciphertext itself; that of the SQL was made with another program."""
+    sealed = encrypt_column(F.col("c_mktsegment"), "MDEyMzQ1Njc4OWFiY2RlZg==")
+    return t.customer.select("c_custkey", sealed.alias("sealed"))
+
+
 FILE_FIELDS = (
     DdicField("BELNR", "text", 10, nullable=False),
     DdicField("BUDAT", "date", 8),
@@ -408,7 +462,7 @@ FILE_SQL = """
 
 
 def ingested(t: Tables) -> tuple[DataFrame, DataFrame]:
-    raw = cut_fixed_width(file_lines(t), "line", FILE_FIELDS)
+    raw = cut_fixed_width(spread(file_lines(t)), "line", FILE_FIELDS)
     return ingest_file(
         raw, FILE_FIELDS, "p01", "bkpf", "20240131235959", NOW,
         ["TA_CHDATE", "TA_CHTIME", "TA_LADE_ID", "TA_QUELLSYSTEM", "TA_QUELLSTRUKTUR", "TS_EXTRAKTION"],

@@ -220,7 +220,7 @@ def migrated(t: Tables) -> DataFrame:
     """,
 )
 def migrated_table(t: Tables) -> DataFrame:
-    content, unchanged = migrate_table(*migration(t), SOURCE_TECH, LOOKUP, TARGET_TECH)
+    content, unchanged = migrate_table(*migration(t), SOURCE_TECH, LOOKUP, TARGET_TECH, stage=True)
     assert unchanged
     return content
 

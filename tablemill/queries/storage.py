@@ -23,7 +23,7 @@ from tablemill.sinks.files import (
     xml_validate,
 )
 from tablemill.sources.files import DdicField, file_manifest, read_delimited, read_fixed_width
-from tablemill.streaming.jobs import mask_stream, stream_parquet
+from tablemill.streaming.jobs import ingest_stream, mask_stream, stream_parquet
 
 
 def typed(df: DataFrame, like: DataFrame) -> DataFrame:
@@ -79,6 +79,35 @@ def fixed_round_trip(t: Tables) -> DataFrame:
     return read_fixed_width(t.spark, path, FILE_FIELDS)
 
 
+@query(
+    "read_fixed_width_header",
+    f"""
+    select left(line, 10) as BELNR, substr(line, 11, 8) as BUDAT, substr(line, 19, 6) as UZEIT,
+        substr(line, 25, 10) as WRBTR, substr(line, 35) as "TEXT" from {FILE_SQL} s
+    """,
+)
+def fixed_with_header(t: Tables) -> DataFrame:
+    """Files with a first line of titles, and a separator between the fields."""
+    path = scratch_path(t.spark, "fixed")
+    at, parts = 1, []
+    for f in FILE_FIELDS:
+        parts.append(F.substring("line", at, f.length))
+        at += f.length
+    lines = file_lines(t).select(F.concat_ws("|", *parts).alias("titles"))
+    blanks = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    lines.write.options(header=True, sep="\x01", quote="", **blanks).csv(path)
+    return read_fixed_width(t.spark, path, FILE_FIELDS, header=True, offset=1)
+
+
+@query("write_csv_nonnumeric", "select doc_id, text, lang, source, n_chars from documents")
+def nonnumeric_round_trip(t: Tables) -> DataFrame:
+    """Everything quoted but numbers."""
+    path = scratch_path(t.spark, "nonnumeric")
+    write_csv(t.documents, path, sep=";", quoting="nonnumeric", max_rows=1000)
+    fields = [DdicField(c, "text", 0) for c in t.documents.columns]
+    return typed(read_delimited(t.spark, path, fields, sep=";", multi_line=True), t.documents)
+
+
 @query(
     "write_parquet",
     "select l.*, o_orderstatus from lineitem l join orders on l_orderkey = o_orderkey",
@@ -183,6 +212,41 @@ def manifest(t: Tables) -> DataFrame:
     return file_manifest(t.spark, path)
 
 
+@query(
+    "file_manifest_bytes",
+    """
+    select sum(octet_length(encode(coalesce(text, ''))) + 1)::bigint as bytes, true as digests from documents
+    """,
+)
+def manifest_bytes(t: Tables) -> DataFrame:
+    """Sizes of all files of a table of texts, whose files differ from run to run."""
+    path = scratch_path(t.spark, "manifest")
+    t.documents.select(F.coalesce("text", F.lit(""))).write.option("maxRecordsPerFile", 1000).text(path)
+    return file_manifest(t.spark, path).agg(
+        F.sum("length").alias("bytes"), F.every(F.col("md5").rlike("^[0-9a-f]{32}$")).alias("digests")
+    )
+
+
+@query(
+    "ingest_stream",
+    f"""
+    select trim(left(line, 10)) as BELNR, case when substr(line, 15, 4) = '0230' then 'BUDAT'
+        when line like '%n/a%' then 'WRBTR' else '' end as invalid,
+        substr(line, 19, 2) || ':59:59' as UZEIT, trim(substr(line, 11, 8)) as raw_date
+    from {FILE_SQL} s
+    """,
+)
+def ingested_stream(t: Tables) -> DataFrame:
+    """Good and faulty lines of files as they arrive."""
+    source, path = scratch_path(t.spark, "arriving"), scratch_path(t.spark, "ingested")
+    file_lines(t).withColumnRenamed("line", "value").write.text(source)
+    lines = t.spark.readStream.text(source)
+    ingest_stream(lines, FILE_FIELDS, path, scratch_path(t.spark, "ingest-state")).awaitTermination()
+    return t.spark.read.parquet(path).select(
+        "BELNR", F.array_join("_invalid", ",").alias("invalid"), "UZEIT", F.col("_raw.BUDAT").alias("raw_date")
+    )
+
+
 @query(
     "mask_stream",
     """

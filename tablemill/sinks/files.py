@@ -37,6 +37,28 @@ def _unquoted(f: T.StructField, sep: str) -> Column:
     return F.when(bad, F.raise_error(message)).otherwise(col(f.name)).alias(f.name)
 
 
+def _quoted_lines(df: DataFrame, sep: str, header: bool, max_rows: int) -> DataFrame:
+    """Rows as lines in which all but numbers are quoted; the first line of each file
+    brings the header along."""
+
+    def quote(text: Column) -> Column:
+        return F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"'))
+
+    fields = []
+    for f in df.schema.fields:
+        text = col(f.name).cast("string")
+        shown = text if isinstance(f.dataType, T.NumericType) else quote(text)
+        fields.append(F.coalesce(shown, F.lit("")))
+    line = F.concat_ws(sep, *fields)
+    if header:
+        names = sep.join('"' + c.replace('"', '""') + '"' for c in df.columns)
+        # The lower 33 bits count the rows of a task.
+        row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+        first = row % max_rows == 0 if max_rows else row == 0
+        line = F.concat(F.when(first, F.lit(names + "\n")).otherwise(F.lit("")), line)
+    return df.select(line.alias("value"))
+
+
 def write_csv(
     df: DataFrame,
     path: str,
@@ -47,13 +69,21 @@ def write_csv(
     mode: str = "errorifexists",
     max_rows: int = 0,
 ) -> int:
-    """Delimited text; ``quoting`` is minimal, all or none.
+    """Delimited text; ``quoting`` is minimal, all, nonnumeric or none.
 
     Without quoting, a value that would need it (separator, quote, line break) is an
-    error, as it could not be read again.
+    error, as it could not be read again. ``nonnumeric`` quotes everything but numbers, and
+    null is empty without quotes; it writes UTF-8, and an empty table has no header.
     """
-    if quoting not in ("minimal", "all", "none"):
-        raise ValueError("quoting is minimal, all or none")
+    if quoting not in ("minimal", "all", "nonnumeric", "none"):
+        raise ValueError("quoting is minimal, all, nonnumeric or none")
+    if quoting == "nonnumeric":
+        if encoding.upper() not in ("UTF-8", "UTF8"):
+            raise ValueError("nonnumeric quoting writes UTF-8")
+        lines = _quoted_lines(binary_as_hex(df), sep, header, max_rows)
+        return observed_write(
+            lines, lambda d: d.write.mode(mode).option("maxRecordsPerFile", max_rows).text(path)
+        )
     if quoting == "none":
         df = binary_as_hex(df)
         df = df.select([_unquoted(f, sep) for f in df.schema.fields])
@@ -160,8 +190,15 @@ def write_xml(
     max_rows: int = 0,
     compress: bool = False,
     mode: str = "errorifexists",
+    max_bytes: int = 0,
 ) -> int:
-    """Records as XML; ``max_rows`` bounds the size of a file."""
+    """Records as XML; ``max_rows`` bounds the rows of a file, ``max_bytes`` its size
+    before compression, by the mean size of all rows (one more pass)."""
+    if max_bytes:
+        record = F.to_xml(F.struct(*[col(c) for c in df.columns]), {"rowTag": row_tag})
+        mean = df.select(F.avg(F.octet_length(record)).alias("mean")).first()["mean"] or 1.0
+        fitting = max(1, int(max_bytes / mean))
+        max_rows = min(max_rows, fitting) if max_rows else fitting
     options = {"rowTag": row_tag, "rootTag": root_tag, "maxRecordsPerFile": max_rows}
     if compress:
         options["compression"] = "gzip"

@@ -95,6 +95,8 @@ def read_fixed_width(
             .csv(path)
         )
     else:
+        if "\n".encode(encoding) != b"\n":
+            raise ValueError(f"lines in {encoding} can be told apart with header=True only")
         text = spark.read.text(path)
         # The reader keeps the bytes of a line as they are.
         value = F.col("value")
@@ -222,9 +224,10 @@ def session_log_ingest(source: SparkSession | DataFrame, path: str | None = None
 
 # Metadata columns a file may be given.
 META_COLUMNS = (
-    "TA_CHDATE TA_CHTIME TA_EXTRAKTIONSDATUM TA_LADEDATUM TA_LADE_DATUM TA_LADE_ID "
-    "TA_QUELLSYSTEM TA_QUELLSTRUKTUR TA_QUELLSTRUKTUR_VERSION TA_DWH_ID QUELLSYSTEM TS_EXTRAKTION"
-).split()
+    "TA_CHDATE", "TA_CHTIME", "TA_EXTRAKTIONSDATUM", "TA_LADEDATUM", "TA_LADE_DATUM", "TA_LADE_ID",
+    "TA_QUELLSYSTEM", "TA_QUELLSTRUKTUR", "TA_QUELLSTRUKTUR_VERSION", "TA_DWH_ID", "QUELLSYSTEM",
+    "TS_EXTRAKTION",
+)
 
 
 def _meta(name: str, system: str, table: str, extraction_ts: str, load_ts: datetime) -> Column:

@@ -59,10 +59,15 @@ def scan_jdbc(
     spec: TableSpec,
     query: str | None = None,
     bounds: Bounds | None = None,
+    single_task: bool = False,
     **options,
 ) -> DataFrame:
     """A table or query of a database, in slices of its bounds.
 
+    Without bounds one task reads everything, which must be asked for by ``single_task``.
+
     Filters and columns of later steps are pushed into the database by Spark.
     """
+    if bounds is None and not single_task:
+        raise ValueError(f"{spec.name}: give bounds, or single_task=True for a small table")
     return spark.read.format("jdbc").options(**jdbc_options(url, spec, query, bounds, **options)).load()

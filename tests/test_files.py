@@ -20,7 +20,7 @@ from tablemill.sources.files import (
     read_fixed_width,
     session_log_ingest,
 )
-from tablemill.sources.jdbc import Bounds, fetch_size, jdbc_options
+from tablemill.sources.jdbc import Bounds, fetch_size, jdbc_options, scan_jdbc
 from tablemill.spec import TableSpec
 from tablemill.streaming.jobs import ingest_stream
 
@@ -67,12 +67,14 @@ def test_delimited_fills_missing_columns(spark, tmp_path):
     assert [tuple(r) for r in got] == [("a|b", "20240131", "1"), ("c", None, None)]
 
 
-@pytest.mark.parametrize("quoting", ["minimal", "all", "none"])
+@pytest.mark.parametrize("quoting", ["minimal", "all", "nonnumeric", "none"])
 def test_csv(spark, tmp_path, quoting):
     df = spark.createDataFrame([(1, "plain", bytearray(b"\xca\xfe")), (2, None, None)], "i int, s string, b binary").coalesce(1)
     assert sinks.write_csv(df, str(tmp_path / "o"), quoting=quoting) == 2
     text = "".join(r.value + "\n" for r in spark.read.text(str(tmp_path / "o")).collect())
-    assert ('"plain"' in text) == (quoting == "all") and "CAFE" in text
+    assert ('"plain"' in text) == (quoting in ("all", "nonnumeric")) and "CAFE" in text
+    if quoting == "nonnumeric":
+        assert text == '"i"|"s"|"b"\n1|"plain"|"CAFE"\n2||\n'
     with pytest.raises(ValueError):
         sinks.write_csv(df, str(tmp_path / "p"), quoting="some")
 
@@ -88,6 +90,28 @@ def test_xml_leaves_out_blanks_and_empty_groups(spark, tmp_path):
     assert any(f.endswith(".gz") for f in os.listdir(tmp_path / "z"))
 
 
+def test_xml_files_by_size(spark, tmp_path):
+    df = spark.range(100).selectExpr("id", "repeat('x', 100) as text").coalesce(1)
+    assert sinks.write_xml(df, str(tmp_path / "x"), "R", "Rs", max_bytes=2000) == 100
+    sizes = [os.path.getsize(tmp_path / "x" / f) for f in os.listdir(tmp_path / "x") if f.startswith("part")]
+    assert len(sizes) > 5 and max(sizes) < 2500
+
+
+def test_csv_header_in_every_file(spark, tmp_path):
+    df = spark.range(5).withColumn("a;b", F.lit('x"\ny')).coalesce(1)
+    assert sinks.write_csv(df, str(tmp_path / "o"), sep=";", quoting="nonnumeric", max_rows=2) == 5
+    files = sorted(f for f in os.listdir(tmp_path / "o") if f.startswith("part"))
+    texts = [(tmp_path / "o" / f).read_text() for f in files]
+    assert texts[2] == '"id";"a;b"\n4;"x""\ny"\n' and len(texts) == 3
+    with pytest.raises(ValueError):
+        sinks.write_csv(df, str(tmp_path / "p"), quoting="nonnumeric", encoding="UTF-16")
+
+
+def test_lines_of_wide_characters_are_refused(spark, tmp_path):
+    with pytest.raises(ValueError, match="UTF-16LE"):
+        read_fixed_width(spark, str(tmp_path), FIELDS, encoding="UTF-16LE")
+
+
 def test_manifest(spark, tmp_path):
     path = put(tmp_path / "m", "a.txt", "hello")
     row = file_manifest(spark, path).first()
@@ -131,6 +155,11 @@ def test_jdbc_options():
     assert got["dbtable"] == "(select 1) q" and got["numPartitions"] == "4" and got["fetchsize"] == "100000"
 
 
+def test_jdbc_in_one_task_must_be_asked_for(spark):
+    with pytest.raises(ValueError, match="single_task"):
+        scan_jdbc(spark, "jdbc:x", TableSpec("s.t"))
+
+
 def test_jdbc_column_check(tables):
     check_columns(tables.region, ["R_REGIONKEY", "R_NAME"])
     with pytest.raises(ValueError, match="r_name"):

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tablemill.functions import cleanse as c
 from tablemill.functions.calendar import easter_sunday, holiday, is_holiday
 from tablemill.functions.crypt import decrypt_column, encrypt_column
-from tablemill.functions.formats import spark_pattern
+from tablemill.functions.formats import digit_shape, spark_pattern
 from tablemill.functions.text import duration_hms, is_blank, log_text
 
 
@@ -146,3 +146,26 @@ def test_holidays(spark, day, flag, text, region):
 def test_days_off(spark):
     days = [date(2024, 12, 24), date(2024, 12, 23), date(2024, 5, 9), date(2024, 5, 19), date(2024, 5, 20)]
     assert column(spark, days, is_holiday, "date") == [True, False, True, False, True]
+
+
+@pytest.mark.parametrize("fmt", ["%Y%m%d", "%d.%m.%Y", "%Y%m%d%H%M%S"])
+def test_every_day_and_none_that_is_not(spark, fmt):
+    """Days 0 to 32 of months 0 to 13 of years with and without a 29th of February."""
+    text, want = [], []
+    for y in (1600, 1900, 2000, 2023, 2024, 2100, 2400):
+        for m in range(14):
+            for d in range(33):
+                clock = "235959" if "%H" in fmt else ""
+                text.append(f"{d:02}.{m:02}.{y}" if fmt[1] == "d" else f"{y}{m:02}{d:02}{clock}")
+                try:
+                    want.append(date(y, m, d))
+                except ValueError:
+                    want.append(None)
+    assert column(spark, text, lambda v: c.parse_date(v, fmt)) == want
+    assert sum(w is not None for w in want) == 4 * 366 + 3 * 365
+
+
+def test_shape_of_a_pattern():
+    assert digit_shape("dd.MM.yyyy") == "^[0-9]{2}[.][0-9]{2}[.][0-9]{4}$"
+    assert digit_shape("d/M/yyyy") == "^[0-9]+[/][0-9]+[/][0-9]{4}$"
+    assert digit_shape("dd MMM yyyy") is None and digit_shape("yyyy-MM-dd'T'HH") is None

@@ -32,7 +32,8 @@ def nodes(df, name):
 
 
 EAGER = {"write_csv", "read_delimited", "read_fixed_width", "write_parquet", "write_xml", "xml_validate", "replicate_table",
-         "file_manifest", "mask_stream", "number_new_entities", "load_parameters"}
+         "file_manifest", "mask_stream", "read_fixed_width_header", "write_csv_nonnumeric",
+         "file_manifest_bytes", "ingest_stream", "number_new_entities", "load_parameters"}
 
 
 @pytest.mark.parametrize("name", [n for n in QUERIES if n not in EAGER])
@@ -69,6 +70,22 @@ def test_upsert_of_a_small_source_does_not_shuffle_the_target(tables):
     assert nodes(df, "BroadcastHashJoin") == 1 and nodes(df, "SortMergeJoin") == 0
 
 
+def test_staged_upsert_reads_its_source_once(spark, tables):
+    """The plan behind the staging reads the staged rows alone, and the target."""
+    source = tables.orders.where("o_orderstatus = 'P'").unionByName(tables.orders.where("o_orderkey < 50"))
+    df = upsert(tables.orders.where("o_custkey > 0"), source, "o_orderkey", "o_orderdate", stage=True)
+    reads = re.findall(r"Location: InMemoryFileIndex \[(\S+?)[\],]", plan(df))
+    assert sum("orders.parquet" in r for r in reads) == 1 and sum("upsert-" in r for r in reads) == 2
+
+
+def test_upsert_keeps_rows_without_a_key(spark, tables):
+    source = spark.createDataFrame([(None, 1), (None, 1), (None, 2), (1, 3), (1, 4), (9, 5)], "k int, v int")
+    target = spark.createDataFrame([(1, 0), (2, 0), (None, 0)], "k int, v int")
+    for stage in (False, True):
+        got = sorted((tuple(r) for r in upsert(target, source, "k", "v", stage=stage).collect()), key=str)
+        assert got == sorted([(1, 4), (2, 0), (9, 5), (None, 0), (None, 1), (None, 1), (None, 2)], key=str)
+
+
 @pytest.fixture
 def no_broadcast(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
@@ -110,6 +127,16 @@ def test_hot_key_is_split_in_a_join(spark, no_broadcast):
             spark.conf.unset(key)
 
 
+def test_null_keys_of_a_third_of_the_rows(spark, no_broadcast):
+    df = hot(spark).selectExpr("if(k = -1, null, k) as k", "id", "v")
+    changed = upsert(df.where("k is null or k < 300"), df, "k", "id")
+    # The source's rows without a key come on top of the target's.
+    assert changed.count() == 20000 + 2 * 10000
+    assert dedup_keep(df, "k", "id").count() == 20001
+    lookup = unique_lookup(df, [F.col("k")], [F.col("v")], "l_")
+    assert df.join(lookup, F.col("k") == F.col("l_k0"), "left").count() == 30000
+
+
 def test_hot_keys_give_whole_results(spark):
     df = hot(spark)
     assert dedup_keep(df, "k", "id").count() == 20001
