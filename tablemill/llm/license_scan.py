@@ -1,19 +1,23 @@
 """Licence detection by sparse TF-IDF cosine, in native expressions only.
 
-Every line of a file, and for licence files the whole of it, is compared with licence
-templates as sparse vectors of terms. A line similar to a template is a header; a file that
-is similar as a whole is a licence file and speaks for its directory. Files without a
+Files are compared with licence templates (whole licence texts and the notices that stand
+in file headers) as sparse vectors of terms: every line, every run of terms as long as a
+template wherever it begins, and the whole file. A line or run similar to a template is a
+header, so a notice may be wrapped, set in comment signs or part of a longer line. A file
+that is similar as a whole is a licence file and speaks for its directory. Files without a
 header inherit from the licence file of the nearest ancestor directory: their ancestor
 paths are joined with the directories that have one, and the longest match wins.
 
-The templates are few and fixed by the caller, so their term weights are broadcast. A line
-can only reach the threshold if it has one of the terms that make up most of a template's
-weight (the others together cannot), so all other lines are passed over exactly.
+The templates are few and fixed by the caller, so their term weights are broadcast. A text
+can only reach the threshold if the template's terms it has make up enough of the
+template's weight (Cauchy-Schwarz), so all other files and runs are passed over exactly.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,18 +27,62 @@ from tablemill.session import staged
 from tablemill.spec import col
 
 SIMILAR = 0.8
-# Short forms of public licence notices and their SPDX identifiers.
-TEMPLATES = {
-    "Apache-2.0": "Licensed under the Apache License, Version 2.0",
-    "BSD-3-Clause": "Redistribution and use in source and binary forms, with or without modification, are permitted",
-    "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License",
-    "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0",
-    "GPL-3.0": "This work is licensed under the GNU General Public License, version 3",
-    "LGPL-3.0": "Licensed under the GNU Lesser General Public License, version 3",
-    "MIT": "Released under the MIT License",
-    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
-    "Proprietary": "All rights reserved",
+# Runs of a template's length begin at every term, in long templates at this share of it.
+STEPS = 32
+# A bare reservation of rights names no licence: it counts where nothing else does.
+BARE = "Proprietary"
+_FREE = (
+    "This {what} is free software: you can redistribute it and/or modify it under the terms of the GNU {name} "
+    "as published by the Free Software Foundation, either version {version} of the License, or (at your option) any later version"
+)
+_GPL, _LGPL, _AGPL = "General Public License", "Lesser General Public License", "Affero General Public License"
+_CC = "This work is licensed under a Creative Commons {} 4.0 International License"
+# Public licence notices and their SPDX identifiers.
+NOTICES = {
+    "AGPL-3.0": (_FREE.format(what="program", name=_AGPL, version="3"),),
+    "Apache-2.0": ("Licensed under the Apache License, Version 2.0",),
+    "BSD-3-Clause": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted",
+        "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file",
+    ),
+    "CC-BY-4.0": (_CC.format("Attribution"), "Licensed under CC BY 4.0"),
+    "CC-BY-NC-4.0": (_CC.format("Attribution-NonCommercial"), "Licensed under CC BY-NC 4.0"),
+    "CC-BY-SA-4.0": (_CC.format("Attribution-ShareAlike"), "Licensed under CC BY-SA 4.0"),
+    "GPL-2.0": (
+        "This work is licensed under the GNU General Public License, version 2",
+        *(_FREE.format(what=w, name=_GPL, version="2") for w in ("program", "file")),
+    ),
+    "GPL-3.0": (
+        "This work is licensed under the GNU General Public License, version 3",
+        *(_FREE.format(what=w, name=_GPL, version="3") for w in ("program", "file")),
+    ),
+    "LGPL-2.1": (
+        "Licensed under the GNU Lesser General Public License, version 2.1",
+        _FREE.format(what="library", name=_LGPL, version="2.1"),
+    ),
+    "LGPL-3.0": (
+        "Licensed under the GNU Lesser General Public License, version 3",
+        _FREE.format(what="library", name=_LGPL, version="3"),
+    ),
+    "MIT": (
+        "Released under the MIT License",
+        "Licensed under the MIT License",
+        "Use of this source code is governed by an MIT-style license that can be found in the LICENSE file",
+    ),
+    "MPL-2.0": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",),
+    BARE: ("All rights reserved",),
 }
+TEXTS = Path(__file__).parent / "license_texts"
+
+
+def _public_templates() -> dict[str, tuple[str, ...]]:
+    """Notices and whole texts per licence; the files are read by the driver alone."""
+    texts = {p.stem: (p.read_text(),) for p in sorted(TEXTS.glob("*.txt"))}
+    return {name: NOTICES.get(name, ()) + texts.get(name, ()) for name in sorted({*NOTICES, *texts})}
+
+
+TEMPLATES = _public_templates()
+
 SPLIT = r"[^\p{L}\p{N}.]+"
 
 
@@ -44,57 +92,56 @@ def terms(text: Column) -> Column:
     return F.filter(parts, lambda t: t != "")
 
 
-def template_table(spark, templates: dict[str, str]) -> DataFrame:
-    """``license``, ``term``, ``tf`` of the templates."""
-    rows = spark.createDataFrame(sorted(templates.items()), "license string, text string")
+def template_table(spark, templates: dict[str, str | Sequence[str]]) -> DataFrame:
+    """``template`` (a number), ``license``, ``term``, ``tf`` of the templates."""
+    each = [(name, t) for name, texts in sorted(templates.items()) for t in ([texts] if isinstance(texts, str) else texts)]
+    rows = spark.createDataFrame([(i, *x) for i, x in enumerate(each)], "template int, license string, text string")
     return (
-        rows.select("license", F.explode(terms(F.col("text"))).alias("term"))
-        .groupBy("license", "term").agg(F.count("*").alias("tf"))
+        rows.select("template", "license", F.explode(terms(F.col("text"))).alias("term"))
+        .groupBy("template", "license", "term").agg(F.count("*").alias("tf"))
     )
 
 
-def term_weights(files: DataFrame, templates: dict[str, str]) -> tuple[dict[str, float], float]:
-    """Inverse document frequency of the templates' terms over all files, and that of a
-    term that is in no template (counted as if one file had it). The result has as many
-    entries as the templates have terms."""
-    spark = files.sparkSession
-    vocabulary = sorted(r["term"] for r in template_table(spark, templates).select("term").distinct().collect())
-    known = F.array([F.lit(t) for t in vocabulary])
-    counted = (
-        files.select(F.explode(F.concat(F.array(F.lit("")), F.array_intersect(terms(F.coalesce("text", F.lit(""))), known))).alias("term"))
-        .groupBy("term").count().collect()
-    )
+def term_weights(known: DataFrame, vocabulary: list[str]) -> tuple[dict[str, float], float]:
+    """Inverse document frequency of the templates' terms over all files (rows ``known``,
+    the terms of the vocabulary a file has), and that of a term that is in no template
+    (counted as if one file had it)."""
+    counted = known.select(F.explode(F.concat(F.array(F.lit("")), "known")).alias("term")).groupBy("term").count().collect()
     found = {r["term"]: r["count"] for r in counted}
     n = found.get("", 0)
     idf = {t: math.log((1 + n) / (1 + found.get(t, 0))) + 1 for t in vocabulary}
     return idf, math.log((1 + n) / 2) + 1
 
 
-def telling_terms(weights: dict[str, dict[str, float]], similar: float) -> list[str]:
-    """Terms one of which every text of that cosine to some template must have: the rest
-    of each template is too light (Cauchy-Schwarz)."""
-    chosen = set()
-    for vector in weights.values():
-        norm = math.sqrt(sum(w * w for w in vector.values()))
-        rest = sorted(vector.items(), key=lambda x: (x[1], x[0]))
-        light = 0.0
-        for i, (_, w) in enumerate(rest):
-            if math.sqrt(light + w * w) >= similar * norm * (1 - 1e-9):
-                chosen.update(t for t, _ in rest[i:])
-                break
-            light += w * w
-    return sorted(chosen)
+def needed_terms(weights: dict[int, dict[str, float]], idf: dict[str, float], similar: float) -> list[tuple[int, str, float, float]]:
+    """``template``, ``term``, ``share``, ``need``: a text of that cosine to the template
+    has listed terms whose shares sum up to ``need``. The most frequent terms are not
+    listed but counted as if every text had them."""
+    rows = []
+    for template, vector in weights.items():
+        total = sum(w * w for w in vector.values())
+        free, listed = 0.0, []
+        for term, w in sorted(vector.items(), key=lambda x: (idf[x[0]], x[0])):
+            share = w * w / total
+            if not listed and free + share <= similar * similar / 2:
+                free += share
+            else:
+                listed.append((template, term, share))
+        rows.extend((*x, similar * similar - free - 1e-6) for x in listed)
+    return rows
 
 
-def best_templates(texts: DataFrame, weights: dict[str, dict[str, float]], unknown: float, idf: dict[str, float], similar: float) -> DataFrame:
+def best_templates(
+    texts: DataFrame, weights: dict[int, dict[str, float]], names: dict[int, str], unknown: float, idf: dict[str, float], similar: float
+) -> DataFrame:
     """``key``, ``license``, ``cosine`` of rows ``key``, ``t`` (terms) that reach the
-    threshold: the most similar template, ties by name."""
+    threshold: the most similar template, ties by name, a bare reservation last."""
     spark = texts.sparkSession
     entries = [
-        (name, term, w / math.sqrt(sum(x * x for x in vector.values())))
-        for name, vector in sorted(weights.items()) for term, w in sorted(vector.items())
+        (template, names[template], term, w / math.sqrt(sum(x * x for x in vector.values())))
+        for template, vector in sorted(weights.items()) for term, w in sorted(vector.items())
     ]
-    table = spark.createDataFrame(entries, "license string, term string, w double")
+    table = spark.createDataFrame(entries, "template int, license string, term string, w double")
     frequency = spark.createDataFrame(sorted(idf.items()), "term string, idf double")
     counted = texts.select("key", F.explode("t").alias("term")).groupBy("key", "term").agg(F.count("*").alias("tf"))
     # Both tables are as small as the templates.
@@ -103,14 +150,37 @@ def best_templates(texts: DataFrame, weights: dict[str, dict[str, float]], unkno
     )
     norms = weighed.groupBy("key").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))
     dots = (
-        weighed.join(F.broadcast(table), "term").groupBy("key", "license")
+        weighed.join(F.broadcast(table), "term").groupBy("key", "template", "license")
         .agg(F.sum(F.col("x") * F.col("w")).alias("dot"))
     )
     cosine = F.round(F.col("dot") / F.col("norm"), 6)
     return (
         dots.join(norms, "key").select("key", "license", cosine.alias("cosine")).where(F.col("cosine") >= similar)
-        .groupBy("key").agg(F.min(F.struct((-F.col("cosine")).alias("c"), "license")).alias("best"))
-        .select("key", "best.license", (-F.col("best.c")).alias("cosine"))
+        .groupBy("key").agg(_best()).select("key", "best.license", (-F.col("best.c")).alias("cosine"))
+    )
+
+
+def _best(*before: str) -> Column:
+    order = [*before, (F.col("license") == BARE).alias("bare"), (-F.col("cosine")).alias("c"), "license"]
+    return F.min(F.struct(*order)).alias("best")
+
+
+def similar_runs(texts: DataFrame, candidates: DataFrame, needed: DataFrame) -> DataFrame:
+    """``key``, ``start``, ``n``: runs as long as a template that have enough of its weight.
+
+    Of ``texts`` (``key``, ``t``) only files that have enough of it somewhere come in here
+    (``candidates``: ``key``, ``template``, ``n``, ``step``), each for its templates."""
+    placed = (
+        texts.select("key", F.posexplode("t").alias("pos", "term")).join(F.broadcast(needed), "term")
+        .join(own_exchange(candidates), ["key", "template"])
+    )
+    first = F.greatest(F.lit(0).cast("long"), F.ceil((F.col("pos") - F.col("n") + 1) / F.col("step")))
+    run = F.explode(F.sequence(first, F.floor(F.col("pos") / F.col("step")))).alias("run")
+    return (
+        placed.select("key", "template", "n", "step", "need", "share", "term", run).distinct()
+        .groupBy("key", "template", "n", "step", "need", "run").agg(F.sum("share").alias("share"))
+        .where("share >= need")
+        .select("key", (F.col("run") * F.col("step")).cast("int").alias("start"), "n").distinct()
     )
 
 
@@ -119,16 +189,17 @@ def scan_licenses(
     id_column: str = "doc_id",
     path_column: str = "path",
     text_column: str = "text",
-    templates: dict[str, str] | None = None,
+    templates: dict[str, str | Sequence[str]] | None = None,
     similar: float = SIMILAR,
 ) -> DataFrame:
     """Per file row: id, ``license``, ``cosine``, ``origin`` (``header``, ``file``,
     ``inherited`` or null) and ``source_dir`` of an inherited licence.
 
     A licence file takes its own licence; of several in a directory the most similar
-    counts, then the first by name. Of several headers the most similar counts. A null
-    text is empty, a null path has no ancestors. Rows that repeat id and text have equal
-    results each. Other columns are not read.
+    counts, then the first by name. Of several headers the most similar counts; a bare
+    reservation of rights only counts where nothing else is found. A null text is empty,
+    a null path has no ancestors. Rows that repeat id and text have equal results each.
+    Other columns are not read.
     """
     templates = TEMPLATES if templates is None else templates
     path = F.rtrim(F.coalesce(col(path_column), F.lit("")), F.lit("/"))
@@ -140,39 +211,78 @@ def scan_licenses(
     directory = F.when(F.instr("path", "/") > 0, F.regexp_replace("path", "/[^/]*$", ""))
     if not templates:
         return rows.select(F.col("id").alias(id_column), *_nothing())
-    idf, unknown = term_weights(rows, templates)
-    table = template_table(files.sparkSession, templates).collect()
-    weights: dict[str, dict[str, float]] = {}
+    spark = files.sparkSession
+    table = template_table(spark, templates).collect()
+    vocabulary = sorted({r["term"] for r in table})
+    if not vocabulary:
+        return rows.select(F.col("id").alias(id_column), *_nothing())
+    # No term has a blank.
+    vocabulary_array = F.split(F.lit(" ".join(vocabulary)), " ")
+    known = staged(
+        rows.select("key", F.array_intersect(terms(F.coalesce("text", F.lit(""))), vocabulary_array).alias("known")), "known"
+    )
+    idf, unknown = term_weights(known, vocabulary)
+    weights: dict[int, dict[str, float]] = {}
+    names: dict[int, str] = {}
+    lengths: dict[int, int] = {}
     for r in table:
-        weights.setdefault(r["license"], {})[r["term"]] = r["tf"] * idf[r["term"]]
-    telling = F.array([F.lit(t) for t in telling_terms(weights, similar)])
-    lines = rows.select("key", F.explode(F.split(F.coalesce("text", F.lit("")), "\n", -1)).alias("x"))
-    lines = lines.select("key", terms(F.col("x")).alias("t")).where(F.arrays_overlap("t", telling))
-    # Lines of equal terms have equal results: a notice that a third of all files carry
-    # is compared once.
-    lines = staged(lines.select("key", "t", F.xxhash64("t").alias("line")).distinct(), "notices")
-    distinct = lines.groupBy("line").agg(F.first("t").alias("t")).select(F.col("line").alias("key"), "t")
-    of_line = best_templates(distinct, weights, unknown, idf, similar)
+        weights.setdefault(r["template"], {})[r["term"]] = r["tf"] * idf[r["term"]]
+        names[r["template"]] = r["license"]
+        lengths[r["template"]] = lengths.get(r["template"], 0) + r["tf"]
+    # As small as the templates, as are their lengths.
+    needed = spark.createDataFrame(
+        needed_terms(weights, idf, similar), "template int, term string, share double, need double"
+    )
+    sizes = spark.createDataFrame(
+        [(i, n, max(1, n // STEPS)) for i, n in sorted(lengths.items())], "template int, n int, step int"
+    )
+    candidates = staged(
+        known.select("key", F.explode("known").alias("term")).join(F.broadcast(needed), "term")
+        .groupBy("key", "template", "need").agg(F.sum("share").alias("share")).where("share >= need")
+        .join(F.broadcast(sizes), "template").select("key", "template", "n", "step"),
+        "candidates",
+    )
+    by_line = F.transform(F.split(F.coalesce("text", F.lit("")), "\n", -1), lambda x: terms(x))
+    texts = staged(
+        rows.join(own_exchange(candidates.select("key").distinct()), "key", "left_semi").dropDuplicates(["key"])
+        .select("key", by_line.alias("lines")),
+        "candidate_texts",
+    )
+    whole = texts.select("key", F.flatten("lines").alias("t"))
+    # Lines and runs of equal terms have equal results: a notice that a third of all files
+    # carry is compared once.
+    lines = texts.select("key", F.explode("lines").alias("t")).where(F.size("t") > 0)
+    lines = staged(lines.select("key", F.xxhash64("t").alias("piece"), "t").distinct(), "notices")
+    run = F.slice("t", F.col("start") + 1, F.col("n"))
+    runs = staged(
+        similar_runs(whole, candidates, needed).join(own_exchange(whole), "key")
+        .select("key", "start", "n", F.xxhash64(run).alias("piece")),
+        "runs",
+    )
+    run_texts = (
+        runs.groupBy("piece").agg(F.min(F.struct("key", "start", "n")).alias("at")).select("piece", "at.*")
+        .join(own_exchange(whole), "key").select("piece", run.alias("t"))
+    )
+    distinct = lines.select("piece", "t").unionByName(run_texts).groupBy("piece").agg(F.first("t").alias("t"))
+    distinct = distinct.select(F.col("piece").alias("key"), "t")
+    pieces = lines.select("key", "piece").unionByName(runs.select("key", "piece")).distinct()
+    of_piece = best_templates(distinct, weights, names, unknown, idf, similar)
     headers = (
-        lines.select("key", "line").join(own_exchange(of_line.withColumnRenamed("key", "line")), "line")
-        .groupBy("key").agg(F.min(F.struct((-F.col("cosine")).alias("c"), "license")).alias("best"))
-        .select("key", "best.license", (-F.col("best.c")).alias("cosine"))
-    )
-    whole = rows.select("key", terms(F.coalesce("text", F.lit(""))).alias("t"))
-    # A file as a whole can only reach it if one of its lines has a telling term.
-    whole = whole.where(F.arrays_overlap("t", telling)).dropDuplicates(["key"])
-    of_file = best_templates(whole, weights, unknown, idf, similar)
+        pieces.join(own_exchange(of_piece.withColumnRenamed("key", "piece")), "piece")
+        .groupBy("key").agg(_best()).select("key", "best.license", (-F.col("best.c")).alias("cosine"))
+    )
+    of_file = best_templates(whole, weights, names, unknown, idf, similar)
     found = staged(
         headers.select("key", "license", "cosine", F.lit("header").alias("origin"))
         .unionByName(of_file.select("key", "license", "cosine", F.lit("file").alias("origin")))
-        .groupBy("key").agg(F.min(F.struct("origin", (-F.col("cosine")).alias("c"), "license")).alias("best"))
+        .groupBy("key").agg(_best("origin"))
         .select("key", "best.license", (-F.col("best.c")).alias("cosine"), "best.origin"),
         "licences",
     )
     marked = rows.select("key", "id", directory.alias("dir")).join(own_exchange(found), "key", "left")
     speaking = (
         marked.where("origin = 'file' and dir is not null").groupBy("dir")
-        .agg(F.min(F.struct((-F.col("cosine")).alias("c"), "license")).alias("best"))
+        .agg(_best())
         .select(F.col("dir").alias("up"), F.col("best.license").alias("inherited"))
     )
     # Directories, not files, are joined with their ancestors: one row per directory and level.

@@ -300,6 +300,36 @@ def test_licenses(spark):
     assert license_scan.scan_licenses(files.limit(0)).count() == 0
 
 
+def test_licenses_whole_wrapped_and_inner(spark):
+    texts = license_scan.TEXTS
+    filler = " ".join(f"word{i}" for i in range(300))
+    gpl = """\
+# This program is free software: you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by
+# the Free Software Foundation, either version 3 of the License, or
+# (at your option) any later version.
+x = 1
+""" + filler
+    mit = (texts / "MIT.txt").read_text()
+    rows = [
+        (1, "/m/LICENSE", "MIT License\n\nCopyright (c) 2020 X\n\n" + mit, "MIT", "file"),
+        (2, "/m/src/x.py", "code", "MIT", "inherited"),
+        (3, "/g/COPYING", (texts / "GPL-3.0.txt").read_text(), "GPL-3.0", "file"),
+        (4, "/h/a.py", gpl, "GPL-3.0", "header"),
+        (5, "/h/b.py", gpl.replace("version 3", "version 2"), "GPL-2.0", "header"),
+        (6, "/h/c.js", "// Released under the MIT License. See LICENSE for details.\n" + filler, "MIT", "header"),
+        (7, "/h/d.js", "Copyright (c) 2020 X. Released under the MIT License.\n" + filler, "MIT", "header"),
+        (8, "/h/e.js", filler + " Licensed under the MIT license. " + filler, "MIT", "header"),
+        (9, "/h/f.js", filler + "\n/* Licensed under the Apache\n * License, Version 2.0 */\n" + filler, "Apache-2.0", "header"),
+        (10, "/h/g.c", f"/*\n * {filler}\n" + "".join(f" * {x}\n" for x in mit.splitlines()) + filler, "MIT", "header"),
+        (11, "/b/LICENSE", "Copyright X.\nAll rights reserved.\n" + (texts / "BSD-3-Clause.txt").read_text(), "BSD-3-Clause", "file"),
+        (12, "/h/h.c", filler, None, None),
+    ]
+    files = spark.createDataFrame([r[:3] for r in rows], "doc_id long, path string, text string")
+    got = {r.doc_id: (r.license, r.origin) for r in license_scan.scan_licenses(files).collect()}
+    assert got == {r[0]: r[3:] for r in rows}
+
+
 # 10
 
 
