@@ -39,8 +39,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines of recurring templates go; ``n_chars`` follows the text."""
-    kept = line_templates.drop_recurring_lines(_plain(docs))
+    """Lines of recurring templates go, by their neighbourhoods alone (open: inner lines of
+    blocks stay); ``n_chars`` follows the text."""
+    kept = line_templates.drop_recurring_lines(_plain(docs), by_text=False)
     return kept.select(
         "doc_id", "text", "lang", "source",
         F.when(F.col("n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")).alias("n_chars"),

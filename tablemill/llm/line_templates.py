@@ -10,10 +10,11 @@ by leaf. Only leaves that lines of two documents share are parsed, and equal lin
 as one. A leaf too large for one task is parsed in parts whose templates are then merged
 the same way, hot or not.
 
-A template counts as recurring by the surroundings of its lines: it is dropped where it
-has ``contexts`` different neighbourhoods (the line before and after, variable fields
-masked) in at least as many documents. A document that is a copy of another as a whole has
-the same neighbourhoods, so copies are left to the operators for duplicates. The document
+A template counts as recurring where it stands in ``contexts`` documents that are not
+copies: with as many different texts, or as many neighbourhoods (the line before and
+after, variable fields masked). An inner line of a block has one neighbourhood wherever
+the block stands, so the texts decide there. Documents whose whole text is equal have one
+text, so copies are left to the operators for duplicates. The document
 with the smallest id keeps its lines of a template, so nothing vanishes from the corpus.
 """
 
@@ -112,14 +113,15 @@ def leaf_templates(distinct: DataFrame, agree: float, part_lines: int) -> DataFr
 
 def _lines(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """One row per line that has a token: ``doc``, ``h`` (of the masked line), ``leaf``,
-    ``around`` (hash of the neighbourhood)."""
+    ``around`` (hash of the neighbourhood), ``body`` (hash of the whole text)."""
     lines = F.split(F.coalesce(col(text_column), F.lit("")), "\n", -1)
     each = df.select(
         col(id_column).alias("doc"),
+        F.xxhash64(col(text_column)).alias("body"),
         F.transform(lines, lambda x: tokens(x)).alias("t"),
     )
     hashes = F.transform("t", lambda t: F.xxhash64(t))
-    each = each.select("doc", "t", F.concat(F.array(F.lit(0).cast("long")), hashes, F.array(F.lit(1).cast("long"))).alias("h"))
+    each = each.select("doc", "body", "t", F.concat(F.array(F.lit(0).cast("long")), hashes, F.array(F.lit(1).cast("long"))).alias("h"))
     rows = F.transform(
         "t",
         lambda t, i: F.struct(
@@ -129,7 +131,7 @@ def _lines(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
             F.size(t).alias("n"),
         ),
     )
-    return each.select("doc", F.inline(rows)).where("n > 0")
+    return each.select("doc", "body", F.inline(rows)).where("n > 0")
 
 
 def recurring_lines(
@@ -139,19 +141,25 @@ def recurring_lines(
     contexts: int = CONTEXTS,
     agree: float = AGREE,
     part_lines: int = PART_LINES,
+    by_text: bool = True,
 ) -> DataFrame:
     """Lines to drop: ``doc``, ``h`` (hash of the tokens), ``template``, ``n_docs``,
-    ``n_contexts``. Where the document is the smallest of the template, they stay."""
+    ``n_contexts`` (different texts or neighbourhoods, whichever are more;
+    neighbourhoods alone without ``by_text``). Where the document is the smallest of the template, they stay."""
     lines = staged(_lines(df, id_column, text_column), "lines")
     # A template can only recur if its leaf does: other lines are not read again.
-    around = lines.where("doc is not null").groupBy("leaf", "around").agg(F.min("doc").alias("a"), F.max("doc").alias("b"))
-    shared = staged(
-        around.groupBy("leaf").agg(F.min("a").alias("a"), F.max("b").alias("b"), F.count("*").alias("n"))
-        .where((F.col("n") >= contexts) & (F.col("a") != F.col("b"))).select("leaf"),
-        "shared",
-    )
+    def leaves_with(name: str) -> DataFrame:
+        """Leaves in two documents, with enough values of a column."""
+        each = lines.where("doc is not null").groupBy("leaf", name).agg(F.min("doc").alias("a"), F.max("doc").alias("b"))
+        return (
+            each.groupBy("leaf").agg(F.min("a").alias("a"), F.max("b").alias("b"), F.count("*").alias("n"))
+            .where((F.col("n") >= contexts) & (F.col("a") != F.col("b"))).select("leaf")
+        )
+
+    found = leaves_with("around")
+    shared = staged(found.unionByName(leaves_with("body")).distinct() if by_text else found, "shared")
     wanted = staged(
-        lines.join(own_exchange(shared), "leaf", "left_semi").select("doc", "h", "leaf", "around").distinct(), "wanted"
+        lines.join(own_exchange(shared), "leaf", "left_semi").select("doc", "h", "leaf", "around", "body").distinct(), "wanted"
     )
     texts = df.select(
         F.explode(F.transform(F.split(F.coalesce(col(text_column), F.lit("")), "\n", -1), tokens)).alias("t")
@@ -164,22 +172,24 @@ def recurring_lines(
     templates = staged(leaf_templates(distinct.select("leaf", "line"), agree, part_lines), "leaves")
     named = distinct.join(own_exchange(templates), ["leaf", "line"]).select("leaf", "h", "template")
     seen = staged(wanted.join(own_exchange(named), ["h", "leaf"]), "seen")
-    counts = _counted(seen.where("doc is not null"))
+    counts = _counted(seen.where("doc is not null"), by_text)
     recurring = counts.where((F.col("n_docs") >= contexts) & (F.col("n_contexts") >= contexts))
     found = seen.join(own_exchange(recurring), ["leaf", "template"]).where(~F.col("doc").eqNullSafe(F.col("keeper")))
     return found.select("doc", "h", "template", "n_docs", "n_contexts")
 
 
-def _counted(seen: DataFrame) -> DataFrame:
-    """Documents and neighbourhoods per template, each counted after a distinct, so that
+def _counted(seen: DataFrame, by_text: bool) -> DataFrame:
+    """Documents, neighbourhoods and texts per template, each counted after a distinct, so that
     no set of a hot template is held in one place."""
     docs = seen.select("leaf", "template", "doc").distinct().groupBy("leaf", "template").agg(
         F.count("*").alias("n_docs"), F.min("doc").alias("keeper")
     )
-    around = seen.select("leaf", "template", "around").distinct().groupBy("leaf", "template").agg(
-        F.count("*").alias("n_contexts")
-    )
-    return docs.join(own_exchange(around), ["leaf", "template"])
+    def different(name: str) -> DataFrame:
+        return seen.select("leaf", "template", name).distinct().groupBy("leaf", "template").agg(F.count("*").alias("n"))
+
+    counts = different("around").unionByName(different("body")) if by_text else different("around")
+    most = counts.groupBy("leaf", "template").agg(F.max("n").alias("n_contexts"))
+    return docs.join(own_exchange(most), ["leaf", "template"])
 
 
 def drop_recurring_lines(

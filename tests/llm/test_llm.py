@@ -166,6 +166,16 @@ def test_recurring_lines(spark):
     assert line_templates.parse(["a b c d x", "a b c d y", "q r s t u"], 0.8) == ["a b c d <*>"] * 2 + ["q r s t u"]
 
 
+def test_recurring_blocks(spark):
+    footer = "\n".join(f"{w} line of the common footer" for w in ("first", "second", "third", "fourth", "fifth"))
+    own = [" ".join(chr(97 + i) * 3 + w for w in ("one", "two", "three", "four")) for i in range(5)]
+    copy = "one more text\nthat was copied\nas it is"
+    texts = [f"{x}\n{footer}" for x in own] + [copy] * 4
+    got = line_templates.drop_recurring_lines(docs(spark, texts)).orderBy("doc_id").collect()
+    assert [r.text for r in got] == [texts[0], *own[1:], *[copy] * 4]
+    assert [r.n_dropped for r in got] == [0, 5, 5, 5, 5, 0, 0, 0, 0]
+
+
 # 6
 
 
