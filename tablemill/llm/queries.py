@@ -10,15 +10,18 @@ from pyspark.sql import functions as F
 
 from tablemill.llm import (
     contamination,
+    conversation_repair,
     fast_similarity,
     license_scan,
     line_templates,
     projection_forest,
+    quality_rules,
     repeated_passages,
     sentencepiece_codec,
     token_counts,
     toxicity,
     warc,
+    whitening,
 )
 from tablemill.queries.base import Tables
 from tablemill.session import scratch_path
@@ -185,3 +188,193 @@ def op10(t: Tables) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         (F.size("hit_words") > 0).alias("contaminated"),
     )
+
+
+@query(
+    "op11_quality_rules",
+    r"""
+    with texts as (select row_number() over () r, doc_id, lang, source, coalesce(text, '') t from documents),
+    words as (
+        select r, doc_id, lang, source, t,
+            list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') w,
+            list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) l
+        from texts
+    ),
+    windows as (
+        select r, i, w[i] a, w[i + 1] b, w[i + 2] c
+        from (select r, w, unnest(range(1, len(w) - 1)) i from words where len(w) >= 3)
+    ),
+    again as (select r, i from (select r, i, count(*) over (partition by r, a, b, c) n from windows) where n > 1),
+    under as (select r, count(*) n from (select distinct r, unnest([i, i + 1, i + 2]) p from again) group by r),
+    counts as (
+        select words.r, doc_id, lang, source, len(w)::bigint as n_words,
+            length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g'))::bigint as word_chars,
+            (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::bigint as n_symbols,
+            (len(l) - len(list_distinct(l)))::bigint as n_dup_lines,
+            coalesce(n, 0)::bigint as n_repeat_words, len(l)::bigint as n_lines
+        from words left join under on words.r = under.r
+    ),
+    judged as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from counts),
+    shares as (
+        select lang, source, share, v from (
+            select lang, source, unnest([
+                {'share': 'word_length', 'v': 1000 * word_chars // n_words},
+                {'share': 'symbols', 'v': 1000 * n_symbols // n_words},
+                {'share': 'repeated', 'v': 1000 * n_repeat_words // n_words},
+                {'share': 'equal_lines', 'v': 1000 * n_dup_lines // n_lines}], recursive := true)
+            from judged where not base_failed)
+    ),
+    sketch as (
+        select lang, source, share, (v >> s) << s as b, count(*) n
+        from (select *, greatest(length(bin(v)) - 6, 0) s from shares) group by all
+    ),
+    levels as (
+        select 3 as level, lang, source, share, b, n from sketch
+        union all select 2, lang, null, share, b, sum(n) from sketch group by lang, share, b
+        union all select 1, null, null, share, b, sum(n) from sketch group by share, b
+    ),
+    running as (
+        select *, sum(n) over (partition by level, lang, source, share order by b) as below,
+            sum(n) over (partition by level, lang, source, share) as total
+        from levels
+    ),
+    quarters as (
+        select level, lang, source, share, max(total) total,
+            min(case when below * 4 >= total then b end) q1, min(case when below * 4 >= total * 2 then b end) q2,
+            min(case when below * 4 >= total * 3 then b end) q3
+        from running group by all
+    ),
+    fences as (
+        select level, lang, source, share, total, q2 - 6 * greatest(q3 - q1, least_spread) low, q2 + 6 * greatest(q3 - q1, least_spread) high
+        from quarters join (values ('word_length', 50), ('symbols', 10), ('repeated', 50), ('equal_lines', 75)) f(name, least_spread)
+            on share = name
+    ),
+    limits as (
+        select f.lang, f.source, f.share,
+            case when f.total >= 100 then f.low when m.total >= 100 then m.low else c.low end low,
+            case when f.total >= 100 then f.high when m.total >= 100 then m.high else c.high end high
+        from fences f
+            join fences m on m.level = 2 and f.share = m.share and f.lang is not distinct from m.lang
+            join fences c on c.level = 1 and f.share = c.share
+        where f.level = 3
+    ),
+    out as (
+        select distinct r from (
+            select r, n_words, n_lines, share, low, high, case share when 'word_length' then 1000 * word_chars // n_words
+                when 'symbols' then 1000 * n_symbols // n_words when 'repeated' then 1000 * n_repeat_words // n_words
+                else 1000 * n_dup_lines // n_lines end v
+            from judged j join limits l on j.lang is not distinct from l.lang and j.source is not distinct from l.source
+            where not base_failed
+        ) where v < low or v > high
+    )
+    select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+        not base_failed and out.r is null as kept
+    from judged left join out on judged.r = out.r
+    """,
+)
+def op11(t: Tables) -> DataFrame:
+    return quality_rules.judge_quality(t.documents)
+
+
+@query("op12_embedding_whitening")
+def op12(t: Tables) -> DataFrame:
+    return whitening.whiten(t.embeddings)
+
+
+@query(
+    "op13_conversation_repair",
+    r"""
+    with recursive keyed as (
+        select conv_id, turn, coalesce(role, ' ') role, coalesce(text, ' ') text,
+            coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ') k
+        from conversations
+    ),
+    dealt as (
+        select *, xor(4294967295, list_reduce(
+            list_prepend(4294967295, flatten(list_transform(string_split(k, ''),
+                lambda c: [ascii(c)::bigint, -1, -1, -1, -1, -1, -1, -1, -1]))),
+            lambda a, b: case when b >= 0 then xor(a, b) when a % 2 = 1 then xor(a >> 1, 3988292384) else a >> 1 end)) % 20 deal
+        from keyed
+    ),
+    damaged as (
+        select conv_id, turn, case when deal = 4 then 'user' else role end role,
+            case deal when 1 then '' when 2 then translate(text, '.!?', '') else text end text
+        from dealt, generate_series(1, case when deal = 3 then 2 else 1 end) where deal <> 0
+    ),
+    placed as (
+        select *, row_number() over (partition by conv_id order by turn nulls first, role, text) i,
+            lag(role) over (partition by conv_id order by turn nulls first, role, text) role_before
+        from damaged
+    ),
+    faulty as (
+        select conv_id, turn, role, text, i, left(role, 1) ini,
+            not regexp_matches(text, '[^\x20\x09-\x0D]') blank,
+            row_number() over (partition by conv_id, role, text order by i) > 1 again,
+            not regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') cut,
+            i > 1 and left(role_before, 1) || left(role, 1) not in ('su', 'ua', 'au') illegal
+        from placed
+    ),
+    rows as (
+        select *, blank or again as must, case when cut and not blank and not again then 5 else 0 end fee from faulty
+    ),
+    -- States: z at the start, s after the system, u and a after a role. Each holds the cheapest
+    -- {cost, audit}; equal costs are decided by the audit.
+    steps as (
+        select conv_id, 1::bigint i, {'c': 0, 'w': ''} z, {'c': 100000000, 'w': 'Z'} s, {'c': 100000000, 'w': 'Z'} u, {'c': 100000000, 'w': 'Z'} a
+        from (select distinct conv_id from rows)
+        union all
+        select p.conv_id, p.i + 1, {'c': z.c + 2, 'w': z.w || 'D'},
+            case when must or ini <> 's' then {'c': s.c + 2, 'w': s.w || 'D'}
+                else least({'c': s.c + 2, 'w': s.w || 'D'}, {'c': z.c + fee, 'w': z.w || 'K'}) end,
+            case when must then {'c': u.c + 2, 'w': u.w || 'D'} else least({'c': u.c + 2, 'w': u.w || 'D'},
+                least({'c': fz.c + fee + case when ini = 'u' then 0 else 1 end, 'w': fz.w || case when ini = 'u' then 'K' else 'R' end})) end,
+            case when must then {'c': a.c + 2, 'w': a.w || 'D'} else least({'c': a.c + 2, 'w': a.w || 'D'},
+                {'c': fu.c + fee + case when ini = 'a' then 0 else 1 end, 'w': fu.w || case when ini = 'a' then 'K' else 'R' end}) end
+        from (
+            select *, least(z, s, a, {'c': u.c + 5, 'w': u.w || 'I'}) fz,
+                least(u, {'c': least(z, s, a).c + 5, 'w': least(z, s, a).w || 'I'}) fu
+            from steps
+        ) p join rows on p.conv_id is not distinct from rows.conv_id and p.i = rows.i
+    ),
+    ends as (
+        select conv_id, least(z, a, {'c': u.c + 5, 'w': u.w || 'I'}, {'c': s.c + 10, 'w': s.w || 'II'}) best
+        from steps qualify row_number() over (partition by conv_id order by i desc) = 1
+    ),
+    letters as (
+        select conv_id, p, w[p] l, length(regexp_replace(w[:p], 'I', '', 'g')) i,
+            length(regexp_replace(w[:p], 'D', '', 'g')) place, starts
+        from (select conv_id, best.w w, unnest(range(1, length(best.w) + 1)) p,
+            regexp_matches(best.w, '^D*K') starts from ends)
+    ),
+    first_kept as (
+        select letters.conv_id, ini = 's' as system from letters join rows
+            on letters.conv_id is not distinct from rows.conv_id and letters.i = rows.i
+        where l = 'K' and place = 1
+    ),
+    said as (
+        select letters.conv_id, p, case l when 'K' then role else case when (place - coalesce(system, false)::int) % 2 = 1
+            then 'user' else 'assistant' end end || ':' || case l when 'I' then '' else text end as line
+        from letters left join first_kept on letters.conv_id is not distinct from first_kept.conv_id
+            left join rows on l <> 'I' and letters.conv_id is not distinct from rows.conv_id and letters.i = rows.i
+        where l <> 'D'
+    ),
+    repaired as (select conv_id, string_agg(line, chr(10) order by p) whole from said group by conv_id),
+    facts as (
+        select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) gaps, count(*) filter (where blank) blank,
+            count(*) filter (where again and not blank) duplicate, count(*) filter (where fee > 0) truncated,
+            count(*) filter (where illegal) illegal
+        from rows group by conv_id
+    )
+    select o.conv_id, coalesce(gaps, 0)::bigint as gaps, coalesce(blank, 0)::bigint as blank, coalesce(duplicate, 0)::bigint as duplicate,
+        coalesce(truncated, 0)::bigint as truncated, coalesce(illegal, 0)::bigint as illegal, coalesce(best.c, 0)::bigint as cost,
+        coalesce(best.w, '') as audit, sha256(coalesce(whole, '')) as repaired_sha256
+    from (select distinct conv_id from conversations) o
+        left join facts f on o.conv_id is not distinct from f.conv_id
+        left join ends e on o.conv_id is not distinct from e.conv_id
+        left join repaired r on o.conv_id is not distinct from r.conv_id
+    """,
+)
+def op13(t: Tables) -> DataFrame:
+    damaged = conversation_repair.damage(t.conversations)
+    repaired = conversation_repair.repair_conversations(damaged, copies_column="copies")
+    return conversation_repair.conversation_digests(repaired)
