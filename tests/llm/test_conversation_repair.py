@@ -127,7 +127,7 @@ def test_hot_conversation(spark, monkeypatch):
 def test_damage(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{SMALL}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
     rows += [(None, None, None, None), (None, 3, "user", None), (400, None, None, "x.?! y")] + [(c, t, "user", "Hm.") for c in range(500, 520) for t in (0, None)]
-    rows += [(c, 0, "user", "Alone.") for c in range(600, 660)]
+    rows += [(c, 0, "user", "Alone.") for c in range(600, 900)]
     found = repair.repair_conversations(repair.damage(frame(spark, rows)), copies_column="copies")
     got = {r[0]: tuple(r)[1:] for r in repair.conversation_digests(found).collect()}
     assert got == expected(damaged(rows), {r[0] for r in rows})
@@ -138,7 +138,7 @@ def test_damage(spark):
 def test_repaired_turns(spark):
     rows = [(1, 1, "user", "A."), (1, 2, "user", "A."), (1, 3, "tool", "C."), (1, 4, "user", "D.")]
     found = repair.repair_conversations(frame(spark, rows)).first()
-    assert found.audit == "KDRD" and [tuple(t) for t in found.turns] == [("user", "A."), ("assistant", "C.")]
+    assert found.audit == "KDDR" and [tuple(t) for t in found.turns] == [("user", "A."), ("assistant", "D.")]
 
 
 def test_empty_table(spark):
