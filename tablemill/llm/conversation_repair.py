@@ -30,7 +30,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from tablemill.operators.joins import own_exchange
 from tablemill.session import staged
 from tablemill.spec import col
 
@@ -270,16 +269,19 @@ def sorted_turns(df: DataFrame, conv: str, turn: str, role: str, text: str, copi
             F.when(there, blank(text)).otherwise("").alias("text"),
             F.when(there, copies).otherwise(0).cast("long").alias("copies"),
         )
-        .groupBy("conv", "turn", "role", "text").agg(F.sum("copies").alias("copies"))
     )
-    # Where role and text return in another turn, the first turn they have. Null turns come first.
-    first = (
+    # Where role and text return in another turn, the first turn they have. Null turns come
+    # first. Written before the join, so that its size is known and the texts need not move for it.
+    turn_of = F.struct(F.col("turn").isNotNull(), "turn")
+    first = staged(
         rows.where("copies > 0").groupBy("conv", "role", F.sha2("text", 256).alias("said"))
-        .agg(F.count("*").alias("n"), F.min(F.struct(F.col("turn").isNotNull(), "turn")).alias("first"))
-        .where("n > 1").select(F.col("conv").alias("c"), F.col("role").alias("r"), "said", F.col("first.turn").alias("first"))
+        .agg(F.min(turn_of).alias("first"), F.max(turn_of).alias("final")).where("first != final")
+        .select(F.col("conv").alias("c"), F.col("role").alias("r"), "said", F.col("first.turn").alias("first")),
+        "returns",
     )
+    rows = rows.groupBy("conv", "turn", "role", "text").agg(F.sum("copies").alias("copies"))
     same = [F.col("conv").eqNullSafe(F.col("c")), F.col("role") == F.col("r"), F.sha2("text", 256) == F.col("said")]
-    joined = rows.join(own_exchange(first), same, "left")
+    joined = rows.join(first, same, "left")
     end = F.rtrim(F.col("text"), F.lit(BLANKS))
     told = joined.select(
         "conv", "turn", "role", "text", "copies",
