@@ -6,17 +6,19 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Names.
-DAYS_DE = "Montag Dienstag Mittwoch Donnerstag Freitag Samstag Sonntag".split()
-DAYS_EN = "Monday Tuesday Wednesday Thursday Friday Saturday Sunday".split()
-DAYS_SHORT_DE = "Mo Di Mi Do Fr Sa So".split()
+DAYS_DE = ("Montag", "Dienstag", "Mittwoch", "Donnerstag", "Freitag", "Samstag", "Sonntag")
+DAYS_EN = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday")
+DAYS_SHORT_DE = ("Mo", "Di", "Mi", "Do", "Fr", "Sa", "So")
 MONTHS_DE = (
-    "Januar Februar März April Mai Juni Juli August September Oktober November Dezember"
-).split()
+    "Januar", "Februar", "März", "April", "Mai", "Juni", "Juli", "August", "September", "Oktober",
+    "November", "Dezember",
+)
 # May and July keep their German spelling in the English list.
 MONTHS_EN = (
-    "January February March April Mai June Juli August September October November December"
-).split()
-MONTHS_SHORT_DE = "Jan Feb Mrz Apr Mai Jun Jul Aug Sep Okt Nov Dez".split()
+    "January", "February", "March", "April", "Mai", "June", "Juli", "August", "September", "October",
+    "November", "December",
+)
+MONTHS_SHORT_DE = ("Jan", "Feb", "Mrz", "Apr", "Mai", "Jun", "Jul", "Aug", "Sep", "Okt", "Nov", "Dez")
 
 # States.
 STATES = {
@@ -47,16 +49,16 @@ OFF_FIXED = ("01-01", "05-01", "10-03", "12-24", "12-25", "12-26", "12-31")
 # Days of the calendar by their distance from Easter: text, flag (1 all
 # states, 2 some, 0 no holiday), states.
 EASTER_DAYS = {
-    0: ("Ostersonntag", 1, "DE"),
-    -48: ("Rosenmontag", 0, "DE"),
-    -47: ("Fastnacht", 0, "DE"),
-    -46: ("Aschermittwoch", 0, "DE"),
-    -2: ("Karfreitag", 1, "DE"),
-    1: ("Ostermontag", 1, "DE"),
-    39: ("Christi Himmelfahrt", 1, "DE"),
-    49: ("Pfingstsonntag", 2, "BB HE"),
-    50: ("Pfingstmontag", 1, "DE"),
-    60: ("Fronleichnam", 2, "BW BY HE NW RP SL SN TH"),
+    0: ("Ostersonntag", 1, ("DE",)),
+    -48: ("Rosenmontag", 0, ("DE",)),
+    -47: ("Fastnacht", 0, ("DE",)),
+    -46: ("Aschermittwoch", 0, ("DE",)),
+    -2: ("Karfreitag", 1, ("DE",)),
+    1: ("Ostermontag", 1, ("DE",)),
+    39: ("Christi Himmelfahrt", 1, ("DE",)),
+    49: ("Pfingstsonntag", 2, ("BB", "HE")),
+    50: ("Pfingstmontag", 1, ("DE",)),
+    60: ("Fronleichnam", 2, ("BW", "BY", "HE", "NW", "RP", "SL", "SN", "TH")),
 }
 
 # Days by month and day, valid in a range of years (None is open). The
@@ -64,28 +66,28 @@ EASTER_DAYS = {
 # is known but was no holiday in those years.
 REPENTANCE = "repentance"
 FIXED_DAYS = (
-    ("01-01", None, None, "Neujahr", 1, "DE"),
-    ("01-06", None, None, "Epiphanias", 2, "BW BY ST"),
-    ("03-08", 2019, None, "Weltfrauentag", 2, "BE"),
-    ("05-01", None, None, "Maifeiertag", 1, "DE"),
-    ("05-08", 2020, 2020, "Kapitulation der Wehrmacht und Kriegsende", 2, "BE"),
-    ("08-15", None, None, "Mariä Himmelfahrt", 2, "BY SL"),
-    ("09-20", 2019, None, "Internationaler Kindertag", 2, "TH"),
-    ("10-03", None, 1989, None, 0, ""),
-    ("10-03", 1990, None, "Tag der deutschen Einheit", 1, "DE"),
-    ("10-31", None, 2016, "Reformationstag", 2, "BB MV SN ST TH"),
-    ("10-31", 2017, 2017, "Reformationstag", 1, "DE"),
-    ("10-31", 2018, None, "Reformationstag", 2, "BB MV SN ST TH HB HH NI SH"),
-    ("11-01", None, None, "Allerheiligen", 2, "BW BY NW RP SL"),
-    (REPENTANCE, None, 1933, None, 0, ""),
-    (REPENTANCE, 1934, 1938, "Buß- und Bettag", 1, "DE"),
-    (REPENTANCE, 1939, 1944, None, 0, ""),
-    (REPENTANCE, 1945, 1951, "Buß- und Bettag", 2, "BW BE HB HH HE NI NW RP SL SH"),
-    (REPENTANCE, 1952, 1989, "Buß- und Bettag", 2, "BW BY BE HB HH HE NI NW RP SL SH"),
-    (REPENTANCE, 1990, 1994, "Buß- und Bettag", 1, "DE"),
-    (REPENTANCE, 1995, None, "Buß- und Bettag", 2, "SN"),
-    ("12-25", None, None, "Erster Weihnachtsfeiertag", 1, "DE"),
-    ("12-26", None, None, "Zweiter Weihnachtsfeiertag", 1, "DE"),
+    ("01-01", None, None, "Neujahr", 1, ("DE",)),
+    ("01-06", None, None, "Epiphanias", 2, ("BW", "BY", "ST")),
+    ("03-08", 2019, None, "Weltfrauentag", 2, ("BE",)),
+    ("05-01", None, None, "Maifeiertag", 1, ("DE",)),
+    ("05-08", 2020, 2020, "Kapitulation der Wehrmacht und Kriegsende", 2, ("BE",)),
+    ("08-15", None, None, "Mariä Himmelfahrt", 2, ("BY", "SL")),
+    ("09-20", 2019, None, "Internationaler Kindertag", 2, ("TH",)),
+    ("10-03", None, 1989, None, 0, ()),
+    ("10-03", 1990, None, "Tag der deutschen Einheit", 1, ("DE",)),
+    ("10-31", None, 2016, "Reformationstag", 2, ("BB", "MV", "SN", "ST", "TH")),
+    ("10-31", 2017, 2017, "Reformationstag", 1, ("DE",)),
+    ("10-31", 2018, None, "Reformationstag", 2, ("BB", "MV", "SN", "ST", "TH", "HB", "HH", "NI", "SH")),
+    ("11-01", None, None, "Allerheiligen", 2, ("BW", "BY", "NW", "RP", "SL")),
+    (REPENTANCE, None, 1933, None, 0, ()),
+    (REPENTANCE, 1934, 1938, "Buß- und Bettag", 1, ("DE",)),
+    (REPENTANCE, 1939, 1944, None, 0, ()),
+    (REPENTANCE, 1945, 1951, "Buß- und Bettag", 2, ("BW", "BE", "HB", "HH", "HE", "NI", "NW", "RP", "SL", "SH")),
+    (REPENTANCE, 1952, 1989, "Buß- und Bettag", 2, ("BW", "BY", "BE", "HB", "HH", "HE", "NI", "NW", "RP", "SL", "SH")),
+    (REPENTANCE, 1990, 1994, "Buß- und Bettag", 1, ("DE",)),
+    (REPENTANCE, 1995, None, "Buß- und Bettag", 2, ("SN",)),
+    ("12-25", None, None, "Erster Weihnachtsfeiertag", 1, ("DE",)),
+    ("12-26", None, None, "Zweiter Weihnachtsfeiertag", 1, ("DE",)),
 )
 # Holidays of some states are recorded from this year on.
 STATE_HOLIDAYS_SINCE = 1949
@@ -123,8 +125,7 @@ def iso_weekday(d: Column) -> Column:
     return F.weekday(d) + 1
 
 
-def _entry(text: str | None, flag: int, states: str) -> Column:
-    codes = states.split()
+def _entry(text: str | None, flag: int, codes: tuple[str, ...]) -> Column:
     return F.struct(
         F.lit(flag).alias("flag"),
         F.lit(text).cast("string").alias("text"),
@@ -162,7 +163,7 @@ def holiday(d: Column) -> Column:
     )
     by_day = F.get(F.filter(by_day, lambda r: year.between(r["first"], r["last"])), F.lit(0))["entry"]
 
-    none = _entry("", 0, "")
+    none = _entry("", 0, ())
     found = F.array_compact(F.array(by_easter, by_day, none))
     counts = lambda e: (e["flag"] != 2) | (year >= STATE_HOLIDAYS_SINCE)
     return F.get(F.transform(found, lambda e: F.when(counts(e), e).otherwise(none)), F.lit(0))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from datetime import datetime
 
 from pyspark.sql import Column
@@ -36,44 +37,74 @@ def _plain_number(c: Column) -> Column:
     return F.regexp_replace(v, r"^(.+)-$", "-$1")
 
 
+def _scale(result_type: str) -> int | None:
+    """Decimals of a decimal type; None for types that round by nature."""
+    found = re.fullmatch(r"decimal\(\d+,\s*(\d+)\)", result_type)
+    return int(found[1]) if found else None
+
+
+def exact_number(v: Column, result_type: str = NUMBER_TYPE) -> Column:
+    """Number text in a type, null where a decimal type would cut digits off.
+
+    Text without an exponent loses digits where one that is not 0 stands beyond the
+    decimals of the type. With an exponent the decimals are those written, less the
+    exponent, less the zeros at the end.
+    """
+    scale = _scale(result_type)
+    if scale is None:
+        return v.try_cast(result_type)
+    whole, part = F.regexp_extract(v, "^[-+]?([0-9]*)", 1), F.regexp_extract(v, "[.]([0-9]*)", 1)
+    digits = F.concat(whole, part)
+    kept = F.rtrim(digits, F.lit("0"))
+    power = F.coalesce(F.regexp_extract(v, "[eE]([-+]?[0-9]+)$", 1).try_cast("int"), F.lit(0))
+    decimals = F.length(part) - power - (F.length(digits) - F.length(kept))
+    cut = F.when(v.rlike("[eE]"), (kept != "") & (decimals > scale)).otherwise(
+        v.rlike(f"[.][0-9]{{{scale}}}[0-9]*[1-9]")
+    )
+    return F.when(~cut, v.try_cast(result_type))
+
+
 def clean_number(c: Column, scale: int = 0, result_type: str = NUMBER_TYPE) -> Column:
     """Number from file text.
 
     Blanks go, comma is the decimal point, a trailing minus counts, exponents are
     resolved. With a scale and no point, the last ``scale`` digits are decimals.
-    Empty is 0 with a scale, else null; what is no number is null.
+    Empty is 0 with a scale, else null; what is no number is null, and so is a number
+    with more decimals than ``result_type`` keeps: nothing is rounded. ``number_type``
+    gives the type of a field, ``unread_number`` tells such nulls from empty text.
     """
     v = _plain_number(c)
     if scale > 0:
-        v = (
-            F.when(v == "", F.lit("0"))
-            .when(v.rlike("^-?[0-9]+$"), F.concat(v, F.lit(f"E-{scale}")))
-            .otherwise(v)
-        )
-    return v.try_cast(result_type)
+        implied = v.rlike("^-?[0-9]+$")
+        moved = F.concat(v, F.lit(f"E-{scale}")).try_cast(result_type)
+        number = F.when(v == "", F.lit("0").try_cast(result_type)).otherwise(exact_number(v, result_type))
+        # Implied decimals are lost only by types that have fewer.
+        room = _scale(result_type)
+        if room is not None and room < scale:
+            moved = exact_number(F.concat(v, F.lit(f"E-{scale}")), result_type)
+        return F.when(implied, moved).otherwise(number)
+    return exact_number(v, result_type)
 
 
-def loses_digits(value: Column, clean: Column, scale: int = 0) -> Column:
-    """Whether a number read as ``NUMBER_TYPE`` had more decimals than that keeps.
+def number_type(length: int, scale: int) -> str:
+    """Type that keeps all decimals of a dictionary field: the usual one, or one with as
+    many decimals as the field has."""
+    return NUMBER_TYPE if scale <= 10 else f"decimal(38,{min(scale, 38)})"
 
-    Only text with a point, a comma or an exponent can; the others pay no second cast.
-    """
-    fine = "decimal(38,28)"
-    finer = clean_number(value, scale, fine) != clean.try_cast(fine)
-    decimals = F.length(F.regexp_extract(value, r"^[^eE]*[.,]([0-9]*?)0*[- ]*$", 1))
-    vanished = (clean == 0) & value.rlike("^[^eE]*[1-9]")
-    return F.when(
-        value.rlike("[.,eE]"), F.coalesce(finer, F.lit(False)) | (decimals > 10) | F.coalesce(vanished, F.lit(False))
-    ).otherwise(F.lit(False))
+
+def unread_number(c: Column, number: Column) -> Column:
+    """Whether text that is not blank gave no number: it is none, or would lose digits."""
+    return ~is_blank(c) & number.isNull()
 
 
 def clean_number_sap(c: Column, kind: str = "numeric", result_type: str = NUMBER_TYPE) -> Column:
-    """Number from an SAP extract: ``integer`` or ``numeric``; no implied point."""
+    """Number from an SAP extract: ``integer`` or ``numeric``; no implied point. What would
+    lose digits is null, as is a fraction in an integer field."""
     if kind == "integer":
         signed = F.regexp_replace(strip(c), r"^(.+)-$", "-$1")
-        return signed.try_cast("decimal(38,0)").try_cast("bigint")
+        return exact_number(signed, "decimal(38,0)").try_cast("bigint")
     v = _plain_number(c)
-    return F.when(v == "", F.lit("0")).otherwise(v).try_cast(result_type)
+    return F.when(v == "", F.lit("0").try_cast(result_type)).otherwise(exact_number(v, result_type))
 
 
 def clean_bool(c: Column) -> Column:

@@ -3,17 +3,20 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablemill.operators.rules import RULES, LookupJoin, MaskRule, RuleContext
+from tablemill.operators.rules import RULES, LookupJoin, MaskRule, RuleContext, address_lookups
 from tablemill.session import staged
 from tablemill.spec import char_length, col
 
 log = logging.getLogger(__name__)
 
+# Objects of the address rule.
+ADDRESS_TABLES = ("tdm_mt_zuers_adr", "tdm_mt_zuers_hsn")
+
 
 def rules_from_config(rows: Iterable[Mapping]) -> list[MaskRule]:
     """Rules of one table from its configuration rows, in their order.
@@ -123,3 +126,53 @@ def mask_table(
         for name, helper in helpers.items():
             joined = joined.withColumn(name, helper)
     return joined.select([current.get(c, col(c)).alias(c) for c in df.columns])
+
+
+CONFIG_COLUMNS = (
+    "attribut", "rule_name", "flg_rule_over", "lkp_schema", "lkp_obj", "lkp_cols", "lkp_id", "translate_expression",
+    "default_value_1", "default_value_2", "default_value_3", "format_string",
+)
+
+
+def table_rules(config: DataFrame, application: str, table: str) -> list[MaskRule]:
+    """Rules of one table from the configuration, whose rows hold ``anwendung``,
+    ``tabelle`` and ``CONFIG_COLUMNS``; columns that are not there are empty.
+
+    One row per masked attribute reaches the driver. They come in the order of ``position``
+    where the configuration has that column, else of the attributes.
+    """
+    there = [c for c in CONFIG_COLUMNS if c in config.columns]
+    order = ["position"] if "position" in config.columns else ["attribut"]
+    rows = (
+        config.where((col("anwendung") == application) & (col("tabelle") == table) & ~col("rule_name").endswith("TODO"))
+        .orderBy(*order).select(there).collect()
+    )
+    return rules_from_config([{**dict.fromkeys(CONFIG_COLUMNS), **r.asDict()} for r in rows])
+
+
+def mask_from_config(
+    df: DataFrame,
+    config: DataFrame,
+    application: str,
+    table: str,
+    tables: Callable[[str], DataFrame] | None = None,
+    target: DataFrame | None = None,
+    stage: bool = False,
+) -> DataFrame:
+    """A table masked as its configuration rows say.
+
+    A row with a ``translate_expression`` looks up in what that statement selects, others in
+    the object they name: ``tables`` gives its frame, by default the table or view of that
+    name. The address rule looks up in the objects ``tdm_mt_zuers_adr`` and
+    ``tdm_mt_zuers_hsn``. Lengths of masks come from ``target``.
+    """
+    spark = df.sparkSession
+    tables = tables or spark.table
+    rules = table_rules(config, application, table)
+    lookups = expression_lookups(spark, rules)
+    for rule_ in rules:
+        if rule_.rule == "R12":
+            lookups |= address_lookups(*(tables(name) for name in ADDRESS_TABLES))
+        elif rule_.lookup and not rule_.expression:
+            lookups[rule_.lookup] = tables(rule_.lookup)
+    return mask_table(df, rules, lookups, target, stage)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Sequence
 from datetime import datetime
 from functools import reduce
 from operator import and_
@@ -14,6 +15,7 @@ from pyspark.sql import types as T
 
 from tablemill.operators.dedup import dedup_keep
 from tablemill.operators.dml import merge
+from tablemill.session import staged
 from tablemill.spec import col, key_list
 
 log = logging.getLogger(__name__)
@@ -145,6 +147,82 @@ def table_reconcile(a: DataFrame, b: DataFrame, keys) -> DataFrame:
     return sums.select(*[col(k) for k in keys], "rows_a", "rows_b", status.alias("status"))
 
 
+# Rows of a bucket of the digest tree, level by level.
+BUCKET_ROWS = (1024, 64, 8)
+
+
+def _places(a: DataFrame, b: DataFrame, key: str, rows: Sequence[int]) -> list[Column]:
+    """Number of the bucket of a row on each level. Whole-number keys are cut into ranges, so
+    that rows that lie together share buckets and are combined before the shuffle; other
+    keys are hashed."""
+    n = a.select(col(key).alias("k")).unionByName(b.select(col(key).alias("k")))
+    if isinstance(n.schema[0].dataType, T.IntegralType):
+        low, high, count = n.agg(F.min("k").cast("long"), F.max("k").cast("long"), F.count("*")).first()
+        if low is None:
+            return [F.lit(0).cast("long") for _ in rows]
+        # Both tables lie on the same range of keys.
+        per_row = max(1.0, 2.0 * (high - low + 1) / max(count, 1))
+        widths, wide = [], None
+        for r in reversed(rows):
+            width = max(1, int(r * per_row))
+            wide = width if wide is None else max(1, round(width / wide)) * wide
+            widths.append(wide)
+        offset = col(key).cast("long") - F.lit(low)
+        return [F.coalesce(F.call_function("div", offset, F.lit(w).cast("long")), F.lit(-1).cast("long")) for w in reversed(widths)]
+    count = n.count()
+    buckets, places = 1, []
+    for r in rows:
+        # Each level splits the buckets of the one above.
+        buckets *= max(1, count // (2 * r * buckets))
+        places.append(F.pmod(F.xxhash64(col(key)), F.lit(buckets).cast("long")))
+    return places
+
+
+def table_reconcile_tree(a: DataFrame, b: DataFrame, keys, rows_per_bucket: Sequence[int] = BUCKET_ROWS) -> DataFrame:
+    """Keys whose rows differ between two tables, found through digests of buckets of keys.
+
+    Gives the keys, ``rows_a``, ``rows_b``, ``status`` (changed, only_a, only_b) and
+    ``changed_columns``, those whose values differ where both sides have the same number of rows.
+    For tables of which little differs: ``table_reconcile`` moves every key, this one the sums of
+    buckets, of which only those that differ are looked into on the next, finer level, and in the
+    end the rows of the last ones. Sums of one side are subtracted from those of the other, so
+    repeated keys do not weigh. Every level reads both tables, the lower ones only the buckets
+    in question. Columns are compared as by ``table_reconcile``.
+    """
+    keys = key_list(keys)
+    compared = [c for c in a.columns if c in b.columns and c not in keys]
+    types = {c: common_type(a, b, c) for c in (*keys, *compared)}
+    a, b = (df.select([col(c).cast(types[c]).alias(c) for c in (*keys, *compared)]) for df in (a, b))
+    places = _places(a, b, keys[0], rows_per_bucket)
+    wide = "decimal(20,0)"
+
+    def sides(names: list[str]) -> DataFrame:
+        """Rows of both tables with their sign and their buckets."""
+        chosen = [*[col(c) for c in names], *[p.alias(f"__p{i}") for i, p in enumerate(places)]]
+        return a.select(*chosen, F.lit(1).alias("__sign")).unionByName(b.select(*chosen, F.lit(-1).alias("__sign")))
+
+    parts = [part for c in (*keys, *compared) for part in (col(c), col(c).isNull())]
+    signed = F.col("__sign") * F.xxhash64(*parts).cast(wide)
+    rows = sides([*keys, *compared])
+    buckets: DataFrame | None = None
+    for level in range(len(places)):
+        if buckets is not None:
+            rows = rows.join(buckets, f"__p{level - 1}", "left_semi")
+        sums = rows.groupBy(f"__p{level}").agg(F.sum("__sign").alias("n"), F.sum(signed).alias("h"))
+        buckets = staged(sums.where("n != 0 or h != 0").select(f"__p{level}"), "buckets")
+    rows = rows.join(buckets, f"__p{len(places) - 1}", "left_semi")
+    each = [F.sum(F.col("__sign") * F.xxhash64(col(c), col(c).isNull()).cast(wide)).alias(f"__h{i}") for i, c in enumerate(compared)]
+    found = rows.groupBy(*[col(k) for k in keys]).agg(
+        F.count_if(F.col("__sign") > 0).alias("rows_a"), F.count_if(F.col("__sign") < 0).alias("rows_b"), F.sum(signed).alias("__h"), *each
+    )
+    names = F.array_compact(F.array(*[F.when(F.col(f"__h{i}") != 0, F.lit(c)) for i, c in enumerate(compared)])) if compared else F.array().cast("array<string>")
+    status = F.when(col("rows_b") == 0, "only_a").when(col("rows_a") == 0, "only_b").otherwise("changed")
+    return found.where("rows_a != rows_b or __h != 0").select(
+        *[col(k) for k in keys], "rows_a", "rows_b", status.alias("status"),
+        F.when(F.col("rows_a") == F.col("rows_b"), names).otherwise(F.array().cast("array<string>")).alias("changed_columns"),
+    )
+
+
 def history_migrate(
     ods: DataFrame,
     history: DataFrame,

@@ -14,9 +14,9 @@ FINISHED = 2
 
 # Status codes of a session run, 1 to 15.
 RUN_STATES = (
-    "Succeeded Disabled Failed Stopped Aborted Running Suspending Suspended Stopping "
-    "Aborting Waiting Scheduled Unscheduled Unknown Terminated"
-).split()
+    "Succeeded", "Disabled", "Failed", "Stopped", "Aborted", "Running", "Suspending", "Suspended",
+    "Stopping", "Aborting", "Waiting", "Scheduled", "Unscheduled", "Unknown", "Terminated",
+)
 
 
 def _last_month(log: DataFrame, as_of: datetime | Column) -> DataFrame:

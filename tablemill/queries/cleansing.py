@@ -22,6 +22,9 @@ from tablemill.functions.cleanse import (
 )
 from tablemill.functions.crypt import decrypt_column, encrypt_column
 from tablemill.functions.text import duration_hms, hex_to_base64, string_scrub
+from tablemill.functions.sql import register_functions
+from tablemill.operators.filters import custom_query
+from tablemill.operators.rules import MaskRule
 from tablemill.queries.base import Tables, query
 from tablemill.session import spread
 from tablemill.sources.files import (
@@ -50,7 +53,7 @@ def text(t: Tables) -> DataFrame:
 def number_texts(t: Tables) -> DataFrame:
     """Numbers of the order lines written in many ways."""
     return t.lineitem.selectExpr(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_quantity",
+        "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_shipdate",
         "case l_linenumber when 1 then concat(l_partkey, '-') when 2 then concat(l_partkey div 10, ',', l_partkey % 10) "
         "when 3 then concat('+', l_partkey, ' ') when 4 then concat(l_partkey, 'E2') when 5 then '  ' "
         "when 6 then concat(l_partkey, 'e') else concat('x', l_partkey) end as v",
@@ -139,6 +142,38 @@ def number_sap_integer(t: Tables) -> DataFrame:
     return t.lineitem.select("l_orderkey", "l_linenumber", clean_number_sap(v, "integer").alias("n"))
 
 
+@query(
+    "custom_query_functions",
+    """
+    with n as (select l_orderkey, l_linenumber, case l_linenumber when 1 then -l_partkey when 2 then l_partkey / 10.0
+        when 3 then l_partkey when 4 then l_partkey * 100 when 6 then l_partkey end as n, l_shipdate, l_partkey from lineitem)
+    select l_orderkey, l_linenumber, cast(cast(n as decimal(18, 4)) as varchar) as n,
+        strftime(l_shipdate, '%Y-%m-%d') as shipped, l_linenumber = 5 as gap,
+        translate(l_orderkey || '-' || l_partkey, '3678', '2559') as masked,
+        strftime(l_shipdate + interval 1 day - interval 1 day, '%Y') as y, case l_linenumber % 3 when 0 then '1' when 1 then '0' else 'x' end as flag,
+        case l_linenumber when 7 then 'PF ' else 'weg' end as fixed, cast(l_partkey % 20 + 505000 as varchar) as box
+    from n where l_linenumber = 5 or l_linenumber = 7 or n > 100
+    """,
+)
+def in_custom_sql(t: Tables) -> DataFrame:
+    """A user's statement over cleansing and masking functions."""
+    used = ["clean_number", "parse_date", "is_blank", "high_date_fill", "clean_bool", "mask_r11", "mask_r13", "mask_note"]
+    register_functions(t.spark, {"mask_note": MaskRule("R35", ("value",), default_1="weg")}, used)
+    return custom_query(
+        t.spark,
+        {"source": number_texts(t)},
+        """
+        select l_orderkey, l_linenumber, cast(cast(clean_number(v) as decimal(18, 4)) as string) as n,
+            date_format(parse_date(date_format(l_shipdate, 'yyyyMMdd')), 'yyyy-MM-dd') as shipped, is_blank(v) as gap,
+            mask_r13(concat(l_orderkey, '-', l_partkey)) as masked,
+            date_format(high_date_fill(date_format(l_shipdate, 'yyyy-MM-dd HH:mm:ss')), 'yyyy') as y,
+            clean_bool(case l_linenumber % 3 when 0 then 'True' when 1 then 'false' else 'x' end) as flag,
+            case l_linenumber when 7 then 'PF ' else mask_note('something') end as fixed, mask_r11(concat('PF ', l_partkey)) as box
+        from {source} where is_blank(v) or l_linenumber = 7 or clean_number(v) > 100;
+        """,
+    )
+
+
 @query(
     "clean_bool",
     """

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablemill.operators.numbering import number_new_entities
+from tablemill.operators.numbering import number_in_gaps, number_new_entities
 from tablemill.operators.reconcile import (
     catalog_diff,
     hash_change_detect,
@@ -15,6 +15,7 @@ from tablemill.operators.reconcile import (
     migrate_table,
     recent_changes,
     table_reconcile,
+    table_reconcile_tree,
 )
 from tablemill.plans.planning import plan_mappings
 from tablemill.queries.base import Tables, query
@@ -37,6 +38,28 @@ def numbered(t: Tables) -> DataFrame:
     return number_new_entities(t.customer, known, "c_name", "TDM", start=17)
 
 
+@query(
+    "number_new_entities_gaps",
+    """
+    with known as (select c_name, c_custkey * 2 + c_nationkey as n from customer where c_custkey % 3 = 0),
+    new as (select c_name, row_number() over (order by c_name) i from (select distinct c_name from customer
+        where c_name not in (select c_name from known))),
+    free as (select n, row_number() over (order by n) i from (
+        select unnest(range(1, (select max(n) + 1 + (select count(*) from new) from known))) n
+        except select n from known))
+    select 'TDM_' || case when n < 10000 then lpad(cast(n as varchar), 4, '0') else cast(n as varchar) end as app_name, c_name
+    from new join free on new.i = free.i
+    """,
+)
+def numbered_in_gaps(t: Tables) -> DataFrame:
+    """New entities take the free numbers between those of the registered ones."""
+    known = t.customer.where("c_custkey % 3 = 0").selectExpr(
+        "c_name", "concat('TDM_', lpad(cast(c_custkey * 2 + c_nationkey as string), 4, '0')) as app_name"
+    )
+    known = known.unionByName(known.selectExpr("c_name", "'OTHER_0001' as app_name"))
+    return number_in_gaps(t.customer, known, "c_name", "TDM")
+
+
 def _sides(t: Tables) -> DataFrame:
     text = "concat(c_mktsegment, '_', {0})"
     sides = F.array(
@@ -182,6 +205,47 @@ def reconciled_types(t: Tables) -> DataFrame:
     return table_reconcile(a, b, "o_orderkey")
 
 
+@query(
+    "table_reconcile_tree",
+    """
+    select l_orderkey, l_linenumber, count(*) as rows_a, case when l_orderkey % 400 = 3 then 0 else count(*) end as rows_b,
+        case when l_orderkey % 400 = 3 then 'only_a' else 'changed' end as status,
+        case when l_orderkey % 400 = 3 then '' when l_orderkey % 400 = 1 then 'l_quantity' else 'l_tax,l_returnflag' end as columns
+    from lineitem where l_orderkey % 400 in (1, 2, 3) group by 1, 2
+    union all select -l_orderkey, l_linenumber, 0, 2 * count(*), 'only_b', '' from lineitem where l_orderkey % 400 = 4 group by 1, 2
+    """,
+)
+def reconciled_tree(t: Tables) -> DataFrame:
+    """One order in 100 differs: in one column, in two, is missing, or there twice."""
+    columns = ["l_orderkey", "l_linenumber", "l_quantity", "l_tax", "l_returnflag", "l_shipdate"]
+    a = t.lineitem.select(columns)
+    b = a.where("l_orderkey % 400 != 3").withColumns({
+        "l_quantity": F.expr("if(l_orderkey % 400 = 1, l_quantity + 1, l_quantity)"),
+        "l_tax": F.expr("if(l_orderkey % 400 = 2, l_tax + 1, l_tax)"),
+        "l_returnflag": F.expr("if(l_orderkey % 400 = 2, null, l_returnflag)"),
+    })
+    twice = a.where("l_orderkey % 400 = 4").withColumn("l_orderkey", F.expr("-l_orderkey"))
+    found = table_reconcile_tree(a, b.unionByName(twice).unionByName(twice), "l_orderkey,l_linenumber")
+    return found.withColumn("columns", F.array_join("changed_columns", ",")).drop("changed_columns")
+
+
+@query(
+    "table_reconcile_tree_text",
+    """
+    select c_name, 1 as rows_a, case when c_custkey % 50 = 1 then 0 else 1 end as rows_b,
+        case when c_custkey % 50 = 1 then 'only_a' else 'changed' end as status,
+        case when c_custkey % 50 = 1 then '' else 'c_acctbal' end as columns
+    from customer where c_custkey % 50 < 2
+    """,
+)
+def reconciled_tree_text(t: Tables) -> DataFrame:
+    """Keys that are no numbers."""
+    a = t.customer.select("c_name", "c_acctbal", "c_nationkey", "c_custkey")
+    b = a.where("c_custkey % 50 != 1").withColumn("c_acctbal", F.expr("if(c_custkey % 50 = 0, -c_acctbal - 1, c_acctbal)"))
+    found = table_reconcile_tree(a, b, "c_name")
+    return found.withColumn("columns", F.array_join("changed_columns", ",")).drop("changed_columns")
+
+
 def migration(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Order prices as the delivering view, customers as history, orders as target."""
     ods = t.orders.where("o_orderstatus <> 'F'").selectExpr(

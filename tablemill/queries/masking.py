@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from tablemill.functions.text import decode_len_prefixed
 from tablemill.operators.joins import filter_join
-from tablemill.operators.masking import mask_table
+from tablemill.operators.masking import mask_from_config, mask_table
 from tablemill.operators.rules import CONSTANT_RULES, MaskRule, address_lookups, caesar
 from tablemill.queries.base import Tables, query
-from tablemill.session import spread
+from tablemill.session import scratch_path, spread
 from tablemill.spec import with_lengths
 
 
@@ -143,8 +143,8 @@ def addresses(t: Tables, split: bool) -> DataFrame:
     )
 
 
-def address_tables(t: Tables) -> dict[str, DataFrame]:
-    """Address lookups with length-prefixed masks."""
+def address_sources(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """Address tables with length-prefixed masks."""
     joined = t.customer.join(t.nation, F.expr("c_nationkey = n_nationkey"))
     key = "concat(c_mktsegment, lpad(cast(c_nationkey as string), 5, '0'), n_name) as org_adr"
     adr_id = "case when c_nationkey < 8 then -1 else c_nationkey end as adr_id"
@@ -156,7 +156,11 @@ def address_tables(t: Tables) -> dict[str, DataFrame]:
         adr_id, key, "concat(c_custkey % 20, ' ') as org_hsn",
         "concat('05Haus ', c_custkey % 20 + 100) as mask_adr",
     )
-    return address_lookups(adr.distinct(), hsn.distinct())
+    return adr.distinct(), hsn.distinct()
+
+
+def address_tables(t: Tables) -> dict[str, DataFrame]:
+    return address_lookups(*address_sources(t))
 
 
 ADDRESS_SQL = """
@@ -205,6 +209,69 @@ def mask_r12(t: Tables) -> DataFrame:
     return mask_table(addresses(t, split=True), [rule], address_tables(t))
 
 
+CONFIG_SCHEMA = (
+    "anwendung string, tabelle string, attribut string, rule_name string, flg_rule_over int, lkp_schema string, "
+    "lkp_obj string, lkp_cols string, lkp_id int, translate_expression string, default_value_1 string, "
+    "default_value_2 string, default_value_3 string, format_string string, position int"
+)
+CONFIG_ROWS = (
+    ("CRM", "customers", "nation", "R01", 0, None, None, "w,m", None, "select w, m from nation_codes;", "X", None, None, None, 1),
+    ("CRM", "customers", "home", "R01", 0, None, None, "w,m", None, "select w, upper(w) as m from nation_codes where m > 'N3'", "Heim", None, None, None, 2),
+    ("CRM", "customers", "street", "R12", 1, "tdm", None, "STRASSE", None, None, "Musterweg", "99", None, None, 3),
+    ("CRM", "customers", "hsn", "R12", 1, "tdm", None, "HSN", None, None, "Musterweg", "99", None, None, 4),
+    ("CRM", "customers", "plz", "R12", 1, "tdm", None, "PLZ", None, None, "Musterweg", "99", None, None, 5),
+    ("CRM", "customers", "ort", "R12", 1, "tdm", None, "ORT", None, None, "Musterweg", "99", None, None, 6),
+    ("CRM", "customers", "short", "R12", 1, "tdm", None, "STRASSE_KURZ", None, None, "Musterweg", "99", None, None, 7),
+    ("CRM", "customers", "phone", "R13", 0, None, None, None, None, None, None, None, None, None, 8),
+    ("CRM", "customers", "segment", "R06", 0, "tdm", "segments", "w,m", None, None, "Institut", None, None, None, 9),
+    ("CRM", "customers", "phone", "R11_TODO", 0, None, None, None, None, None, None, None, None, None, 10),
+    ("CRM", "customers", "gone", "R13", 0, None, None, None, None, None, None, None, None, None, 11),
+    ("CRM", "orders", "phone", "R11", 0, None, None, None, None, None, None, None, None, None, 1),
+    ("ERP", "customers", "phone", "R11", 0, None, None, None, None, None, None, None, None, None, 1),
+)
+
+
+@query(
+    "mask_from_config",
+    ADDRESS_SQL
+    + """
+    , z as (select *, case when c_mktsegment = 'HOUSEHOLD' then ' ' else ns end as street from y)
+    select c_custkey, street, case when c_mktsegment = 'HOUSEHOLD' then num else nh end as hsn,
+        case when c_nationkey = 3 then null else nplz end as plz, n_name as ort, substr(upper(street), 1, 6) as short,
+        left(case when c_nationkey % 2 = 0 then 'N' || c_nationkey || '-' || c_nationkey else 'X' end, 4) as nation,
+        case when c_nationkey % 2 = 0 and 'N' || c_nationkey || '-' || c_nationkey > 'N3'
+            then upper(left(n_name, 10)) else 'Heim' end as home,
+        translate(c_custkey || '-3678', '3678', '2559') as phone,
+        case when c_mktsegment = 'MACHINERY' then 'Institut' else left(c_mktsegment, 3) || '!' end as segment
+    from z
+    """,
+)
+def configured(t: Tables) -> DataFrame:
+    """A table masked by its configuration rows: two statements under one rule, an address
+    over five columns, an object by name, lengths of a varchar target."""
+    df = addresses(t, split=True).alias("a").join(t.customer.alias("c"), "c_custkey").selectExpr(
+        "c_custkey", "street", "hsn", "plz", "ort", "short", "ort as nation", "ort as home",
+        "concat(c_custkey, '-3678') as phone", "c_mktsegment as segment",
+    )
+    t.nation.where("n_nationkey % 2 = 0").selectExpr(
+        "rtrim(lower(left(n_name, 10))) as w", "concat('N', n_nationkey, '-', n_nationkey) as m"
+    ).createOrReplaceTempView("nation_codes")
+    adr, hsn = address_sources(t)
+    segments = t.customer.where("c_mktsegment != 'MACHINERY'").selectExpr(
+        "lower(left(c_mktsegment, 10)) as w", "concat(left(c_mktsegment, 3), '!') as m"
+    )
+    objects = {"tdm_mt_zuers_adr": adr, "tdm_mt_zuers_hsn": hsn, "segments": segments}
+    path = scratch_path(t.spark, "target")
+    df.select("nation", "short", "home").limit(0).write.parquet(path)
+    t.spark.sql(
+        "create or replace temporary view masked_customers (nation varchar(4), short varchar(6), home varchar(30)) "
+        f"using parquet options (path '{path}')"
+    )
+    target = t.spark.table("masked_customers")
+    config = t.spark.createDataFrame(list(CONFIG_ROWS), CONFIG_SCHEMA)
+    return mask_from_config(df, config, "CRM", "customers", objects.get, target)
+
+
 @query(
     "mask_r12_one_field",
     ADDRESS_SQL

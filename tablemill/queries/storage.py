@@ -12,17 +12,24 @@ from pyspark.sql import types as T
 
 from tablemill.operators.rules import MaskRule
 from tablemill.queries.base import Tables, query
-from tablemill.queries.cleansing import FILE_FIELDS, FILE_SQL, file_lines
+from tablemill.queries.cleansing import FILE_FIELDS, FILE_SQL, NOW, file_lines
 from tablemill.session import scratch_path
 from tablemill.sinks.files import (
     avro_projection,
-    replicate_table,
     write_csv,
     write_parquet,
     write_xml,
     xml_validate,
 )
-from tablemill.sources.files import DdicField, file_manifest, read_delimited, read_fixed_width
+from tablemill.sinks.versions import VersionedTable, read_replica, replicate_table
+from tablemill.sources.files import (
+    DdicField,
+    cut_fixed_width,
+    file_manifest,
+    ingest_file_once,
+    read_delimited,
+    read_fixed_width,
+)
 from tablemill.streaming.jobs import ingest_stream, mask_stream, stream_parquet
 
 
@@ -84,21 +91,69 @@ def fixed_round_trip(t: Tables) -> DataFrame:
     f"""
     select left(line, 10) as BELNR, substr(line, 11, 8) as BUDAT, substr(line, 19, 6) as UZEIT,
         substr(line, 25, 10) as WRBTR, substr(line, 35) as "TEXT" from {FILE_SQL} s
+    union all select '', '', '', '', '' from orders where o_orderkey % 7 = 1
     """,
 )
 def fixed_with_header(t: Tables) -> DataFrame:
-    """Files with a first line of titles, and a separator between the fields."""
+    """Files with a first line of titles, a separator between the fields, and blank lines."""
     path = scratch_path(t.spark, "fixed")
     at, parts = 1, []
     for f in FILE_FIELDS:
         parts.append(F.substring("line", at, f.length))
         at += f.length
-    lines = file_lines(t).select(F.concat_ws("|", *parts).alias("titles"))
-    blanks = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    lines.write.options(header=True, sep="\x01", quote="", **blanks).csv(path)
+    lines = file_lines(t).select(F.concat_ws("|", *parts).alias("value"))
+    lines = lines.unionByName(t.orders.where("o_orderkey % 7 = 1").select(F.lit("").alias("value")))
+    # The first row of each file brings the line of titles along.
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) % 2000
+    lines.select(F.concat(F.when(row == 0, F.lit("titles\n")).otherwise(""), "value").alias("value")).write.option("maxRecordsPerFile", 2000).text(path)
     return read_fixed_width(t.spark, path, FILE_FIELDS, header=True, offset=1)
 
 
+@query(
+    "ingest_file_once",
+    f"""
+    with l as (select line, substr(line, 15, 4) = '0230' or line like '%n/a%' as bad from {FILE_SQL} s)
+    select trim(left(line, 10)) as BELNR, case when bad then 'bad' else 'good' end as side,
+        case when bad then trim(substr(line, 25, 10)) else cast(cast(
+            -cast(rtrim(trim(substr(line, 25, 10)), '-') as bigint) / 100.0 as decimal(18, 2)) as varchar) end as amount,
+        count(*) over (partition by bad) as n
+    from l
+    """,
+)
+def ingested_once(t: Tables) -> DataFrame:
+    """Both sides of a file from one write, with the counts taken on the way."""
+    raw = cut_fixed_width(file_lines(t), "line", FILE_FIELDS)
+    good, bad, counts = ingest_file_once(
+        raw, FILE_FIELDS, scratch_path(t.spark, "ingested"), "p01", "bkpf", "20240131235959", NOW, ["TA_LADE_ID"]
+    )
+    good = good.selectExpr("BELNR", "'good' as side", "cast(cast(WRBTR as decimal(18, 2)) as string) as amount")
+    bad = bad.selectExpr("BELNR", "'bad' as side", "WRBTR as amount")
+    return good.withColumn("n", F.lit(counts[True]).cast("long")).unionByName(bad.withColumn("n", F.lit(counts[False]).cast("long")))
+
+
+@query(
+    "write_xml_bounded",
+    """
+    with r as (select octet_length(encode('    <D>' || chr(10) || '        <id>' || doc_id || '</id>' || chr(10)
+        || coalesce('        <note>' || nullif(trim(translate(left(source, 3), '<>&', '')), '') || '</note>' || chr(10), '')
+        || '        <words>' || repeat('word-', (n_chars % 3000)::int) || '</words>' || chr(10) || '    </D>' || chr(10))) n from documents)
+    select count(*)::bigint as n_rows, sum(n)::bigint as record_bytes, true as within_bound from r
+    """,
+)
+def bounded_xml(t: Tables) -> DataFrame:
+    """Records of very different sizes in files of at most 100,000 bytes."""
+    df = t.documents.selectExpr("doc_id as id", "translate(left(source, 3), '<>&', '') as note", "repeat('word-', cast(n_chars % 3000 as int)) as words")
+    path, bound = scratch_path(t.spark, "xml"), 100_000
+    rows = write_xml(df, path, "D", "Ds", max_bytes=bound)
+    files = file_manifest(t.spark, path).select("length")
+    frame = len('<?xml version="1.0" encoding="UTF-8" standalone="yes"?>\n<Ds>\n</Ds>')
+    return files.agg(
+        F.lit(rows).cast("long").alias("n_rows"),
+        F.sum(F.col("length") - frame).alias("record_bytes"),
+        (F.max("length") <= bound).alias("within_bound"),
+    )
+
+
 @query("write_csv_nonnumeric", "select doc_id, text, lang, source, n_chars from documents")
 def nonnumeric_round_trip(t: Tables) -> DataFrame:
     """Everything quoted but numbers."""
@@ -186,7 +241,71 @@ def replicated(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "replica")
     replicate_table(t.orders.limit(0), [], path)
     replicate_table(t.orders, ["o_orderdate", "o_totalprice", "o_orderkey", "extra"], path)
-    return t.spark.read.parquet(path)
+    return read_replica(t.spark, path)
+
+
+@query(
+    "upsert_partitions",
+    """
+    with s as (select o_orderkey, o_orderdate, o_custkey, o_totalprice * 2 as o_totalprice, o_orderstatus from orders
+            where year(o_orderdate) = 1996 and o_orderkey % 10 = 3
+        union all select o_orderkey + 10000000, o_orderdate, o_custkey, o_totalprice, 'N' from orders
+            where year(o_orderdate) = 1997 and o_orderkey % 10 = 4)
+    select coalesce(s.o_orderkey, o.o_orderkey) o_orderkey, coalesce(s.o_orderdate, o.o_orderdate) o_orderdate,
+        coalesce(s.o_custkey, o.o_custkey) o_custkey, coalesce(s.o_totalprice, o.o_totalprice) o_totalprice,
+        coalesce(s.o_orderstatus, o.o_orderstatus) o_orderstatus, o.o_orderpriority,
+        coalesce(year(s.o_orderdate), year(o.o_orderdate)) in (1996, 1997) as rewritten
+    from orders o full join s on o.o_orderkey = s.o_orderkey and o.o_orderdate = s.o_orderdate
+    """,
+)
+def upserted_partitions(t: Tables) -> DataFrame:
+    """Changed and new orders of two years; the other years stay in their files."""
+    columns = ["o_orderkey", "o_orderdate", "o_custkey", "o_totalprice", "o_orderstatus"]
+    table = VersionedTable(t.spark, scratch_path(t.spark, "orders"), by=["year(o_orderdate)"])
+    table.replace(t.orders.select(*columns, "o_orderpriority"))
+    changed = t.orders.where("year(o_orderdate) = 1996 and o_orderkey % 10 = 3").withColumn("o_totalprice", F.expr("o_totalprice * 2"))
+    new = t.orders.where("year(o_orderdate) = 1997 and o_orderkey % 10 = 4").withColumns(
+        {"o_orderkey": F.expr("o_orderkey + 10000000"), "o_orderstatus": F.lit("N")}
+    )
+    before = set(table.version().parts.values())
+    table.upsert(changed.select(columns).unionByName(new.select(columns)), "o_orderkey,o_orderdate")
+    after = table.version()
+    rewritten = [name for name, path in after.parts.items() if path not in before]
+    old = [name for name in after.parts if name not in rewritten]
+    return (
+        table.read(parts=rewritten).withColumn("rewritten", F.lit(True))
+        .unionByName(table.read(parts=old).withColumn("rewritten", F.lit(False)))
+    )
+
+
+@query(
+    "upsert_moved_partitions",
+    """
+    select o_orderkey, o_custkey, case when o_orderkey % 50 = 7 then 'X' else o_orderstatus end as o_orderstatus
+    from orders
+    """,
+)
+def upserted_moved(t: Tables) -> DataFrame:
+    """Rows that leave their partition for another one: the key does not tell the partition."""
+    table = VersionedTable(t.spark, scratch_path(t.spark, "orders"), by=["o_orderstatus"])
+    table.replace(t.orders.select("o_orderkey", "o_custkey", "o_orderstatus"))
+    table.upsert(t.orders.where("o_orderkey % 50 = 7").select("o_orderkey", F.lit("X").alias("o_orderstatus")), "o_orderkey")
+    return table.read()
+
+
+@query(
+    "truncate_load_versions",
+    """
+    select 'now' as version, o_orderkey, null::varchar as o_orderpriority, o_totalprice from orders where o_orderstatus = 'F'
+    union all select 'before', o_orderkey, o_orderpriority, o_totalprice from orders
+    """,
+)
+def truncated_versions(t: Tables) -> DataFrame:
+    """A target loaded anew, and the content it had before."""
+    table = VersionedTable(t.spark, scratch_path(t.spark, "orders"))
+    table.replace(t.orders.select("o_orderkey", "o_orderpriority", "o_totalprice"))
+    table.truncate_load(t.orders.where("o_orderstatus = 'F'").select("o_totalprice", "o_orderkey", "o_custkey"))
+    return table.read().withColumn("version", F.lit("now")).unionByName(table.read(1).withColumn("version", F.lit("before")))
 
 
 @query(

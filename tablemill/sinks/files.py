@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablemill.functions.text import strip
-from tablemill.spec import col, intersect_columns
+from tablemill.session import scratch_root
+from tablemill.spec import col
 
 
 def observed_write(df: DataFrame, write) -> int:
@@ -106,12 +107,13 @@ def write_csv(
 
 def write_parquet(tables: dict[str, DataFrame], root: str, fmt: str = "parquet",
                   mode: str = "errorifexists") -> dict[str, int]:
-    """A data model, one folder per table; ``csv`` writes with semicolons."""
+    """A data model, one folder per table; ``csv`` writes with semicolons and quotes all but
+    numbers."""
     rows = {}
     for name, df in tables.items():
         path = f"{root}/{name}"
         if fmt == "csv":
-            rows[name] = write_csv(df, path, sep=";", mode=mode)
+            rows[name] = write_csv(df, path, sep=";", quoting="nonnumeric", mode=mode)
         else:
             rows[name] = observed_write(df, lambda d, p=path: d.write.mode(mode).parquet(p))
     return rows
@@ -181,6 +183,33 @@ def xml_projection(df: DataFrame, extensions=()) -> DataFrame:
     return plain.select(columns)
 
 
+# Bytes the writer puts around the records of a file, but for the two names of the root.
+XML_FRAME = len('<?xml version="1.0" encoding="UTF-8" standalone="yes"?>\n<>\n</>')
+FILE = "__file"
+
+
+def dealt_by_bytes(df: DataFrame, size: Column, room: int) -> DataFrame:
+    """Rows dealt to files ``__file`` that hold at most ``room`` bytes each.
+
+    Rows are dealt into ranges; within a range the running sum of the sizes names the file: those
+    that begin in the same half of ``room`` go together, and none of them is larger than a half.
+    Larger rows have a file of their own; a row larger than ``room`` is alone in its file.
+    """
+    scratch_root(df.sparkSession)
+    place = df.withColumn("__size", size.cast("long")).withColumn("__place", F.monotonically_increasing_id())
+    # A repeated task must find the rows of its range as they were.
+    ranged = place.repartitionByRange("__place").withColumn("__range", F.spark_partition_id()).checkpoint()
+    half = room // 2
+    large = F.col("__size") > half
+    within = Window.partitionBy("__range").orderBy("__place")
+    small = F.when(large, 0).otherwise(F.col("__size"))
+    start = F.sum(small).over(within) - small
+    name = F.when(large, F.concat_ws("-", F.lit("own"), "__place")).otherwise(
+        F.concat_ws("-", "__range", F.call_function("div", start, F.lit(max(half, 1))))
+    )
+    return ranged.withColumn(FILE, name).drop("__size", "__place", "__range")
+
+
 def write_xml(
     df: DataFrame,
     path: str,
@@ -192,22 +221,33 @@ def write_xml(
     mode: str = "errorifexists",
     max_bytes: int = 0,
 ) -> int:
-    """Records as XML; ``max_rows`` bounds the rows of a file, ``max_bytes`` its size
-    before compression, by the mean size of all rows (one more pass)."""
-    if max_bytes:
-        record = F.to_xml(F.struct(*[col(c) for c in df.columns]), {"rowTag": row_tag})
-        mean = df.select(F.avg(F.octet_length(record)).alias("mean")).first()["mean"] or 1.0
-        fitting = max(1, int(max_bytes / mean))
-        max_rows = min(max_rows, fitting) if max_rows else fitting
+    """Records as XML; ``max_rows`` bounds the rows of a file.
+
+    ``max_bytes`` bounds its size before compression, whatever the sizes of the records
+    (``dealt_by_bytes``); only a record that is larger by itself exceeds it. Its files lie in
+    one folder each, ``__file=...``. That costs a checkpoint and a shuffle.
+    """
     options = {"rowTag": row_tag, "rootTag": root_tag, "maxRecordsPerFile": max_rows}
     if compress:
         options["compression"] = "gzip"
+    rows = xml_projection(df, extensions)
+    partitions: list[str] = []
+    if max_bytes:
+        record = F.to_xml(F.struct(*[col(c) for c in rows.columns]), {"rowTag": row_tag})
+        room = max_bytes - XML_FRAME - 2 * len(root_tag.encode())
+        rows, partitions = dealt_by_bytes(rows, xml_bytes(record), room), [FILE]
     return observed_write(
-        xml_projection(df, extensions),
-        lambda d: d.write.mode(mode).format("xml").options(**options).save(path),
+        rows, lambda d: d.write.mode(mode).partitionBy(*partitions).format("xml").options(**options).save(path)
     )
 
 
+def xml_bytes(record: Column) -> Column:
+    """Bytes of a record in a file, at most: every line is indented by four more, and ends.
+    Lines within values are counted though they are not indented."""
+    lines = F.length(record) - F.length(F.replace(record, F.lit("\n"), F.lit(""))) + 1
+    return F.octet_length(record) + 4 * lines + 1
+
+
 def xml_validate(
     spark: SparkSession, path: str, xsd: str, row_tag: str, schema: T.StructType
 ) -> DataFrame:
@@ -226,9 +266,24 @@ def xml_validate(
     return rows.withColumn("valid", col(corrupt).isNull())
 
 
-def replicate_table(src: DataFrame, target_columns, path: str) -> int:
-    """Replace a table by the columns it shares with the source; made when missing."""
-    columns = intersect_columns(src.columns, list(target_columns) or src.columns)
-    return observed_write(
-        src.select([col(c) for c in columns]), lambda d: d.write.mode("overwrite").parquet(path)
-    )
+VALID = "__valid"
+
+
+def write_split(df: DataFrame, valid: Column, path: str, mode: str = "errorifexists") -> dict[bool, int]:
+    """Rows written once, good and bad ones into a folder each, and how many of either.
+
+    The frame is computed in one pass: its rows are dealt as they are written, and counted
+    on the way. A condition that is null counts as bad.
+    """
+    seen = Observation()
+    told = df.withColumn(VALID, F.coalesce(valid, F.lit(False)))
+    counted = told.observe(seen, F.count_if(F.col(VALID)).alias("good"), F.count_if(~F.col(VALID)).alias("bad"))
+    counted.write.mode(mode).partitionBy(VALID).parquet(path)
+    return {True: seen.get["good"], False: seen.get["bad"]}
+
+
+def read_split(spark: SparkSession, path: str, schema: T.StructType, valid: bool) -> DataFrame:
+    """The good or the bad rows that ``write_split`` wrote; the other folder is not opened."""
+    whole = T.StructType([*schema.fields, T.StructField(VALID, T.BooleanType())])
+    rows = spark.read.schema(whole).parquet(path)
+    return rows.where(F.col(VALID) == F.lit(valid)).drop(VALID)

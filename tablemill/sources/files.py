@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
@@ -15,13 +16,16 @@ from tablemill.functions.cleanse import (
     PARSERS,
     clean_number,
     clean_text,
+    exact_number,
     is_invalid,
-    loses_digits,
+    number_type,
     parse_date,
     parse_time,
     parse_timestamp,
 )
 from tablemill.functions.text import is_blank, log_text, rstrip, strip
+from tablemill.operators.joins import own_exchange
+from tablemill.sinks.files import read_split, write_split
 from tablemill.spec import col, computed_once
 
 # SAP type -> kind of value.
@@ -45,6 +49,12 @@ class DdicField:
     scale: int = 0
     nullable: bool = True
 
+    @property
+    def number_type(self) -> str:
+        """Type of a number field: a double for floats, else a decimal that keeps all of its
+        decimals."""
+        return "double" if self.kind == "float" else number_type(self.length, self.scale)
+
 
 def ddic_fields(catalog: DataFrame, system: str, table: str) -> list[DdicField]:
     """Fields of one file from the dictionary table, by position.
@@ -78,11 +88,14 @@ def read_fixed_width(
 ) -> DataFrame:
     """Lines cut into text columns by their lengths; ``offset=1`` skips separators.
 
-    Every line is a row, empty ones too. Only Spark's CSV reader can leave out the
-    first line of each file, so files with a header go through it; it passes over
-    blank lines.
+    Every line is a row, empty ones too; with ``header`` the first line of each file is
+    none. Lines of encodings that write a line break in several bytes (UTF-16) are split
+    at whole characters by the CSV reader, which passes over blank lines, with a header only.
     """
-    if header:
+    wide = "\n".encode(encoding) != b"\n"
+    if wide and not header:
+        raise ValueError(f"lines in {encoding} can be told apart with header=True only")
+    if wide:
         lines = (
             spark.read.schema("line string")
             .option("sep", "\x01")
@@ -95,9 +108,7 @@ def read_fixed_width(
             .csv(path)
         )
     else:
-        if "\n".encode(encoding) != b"\n":
-            raise ValueError(f"lines in {encoding} can be told apart with header=True only")
-        text = spark.read.text(path)
+        text = lines_without_header(spark, path) if header else spark.read.text(path)
         # The reader keeps the bytes of a line as they are.
         value = F.col("value")
         if encoding.upper() not in ("UTF-8", "UTF8", "US-ASCII"):
@@ -106,6 +117,25 @@ def read_fixed_width(
     return cut_fixed_width(lines, "line", fields, offset)
 
 
+def lines_without_header(spark: SparkSession, path: str) -> DataFrame:
+    """The lines of text files (``value``) but for the first of each file; blank lines stay.
+
+    A reader numbers its rows in the order of the file parts it is dealt, and both readings
+    here are dealt alike. The first line of a file is the one of lowest number in the part
+    that begins at byte 0. Finding it is an aggregate with one row per file and task, so no
+    line is shuffled; it costs a second reading.
+    """
+    place = F.monotonically_increasing_id().alias("__place")
+    lines = spark.read.text(path)
+    file, start = F.col("_metadata.file_path"), F.col("_metadata.file_block_start")
+    first = (
+        lines.select(file.alias("__file"), start.alias("__start"), place)
+        .where("__start = 0").groupBy("__file").agg(F.min("__place").alias("__first"))
+        .select("__first")
+    )
+    return lines.select("value", place).join(own_exchange(first), F.col("__place") == F.col("__first"), "left_anti").select("value")
+
+
 def cut_fixed_width(
     lines: DataFrame, line: str, fields: Sequence[DdicField], offset: int = 0
 ) -> DataFrame:
@@ -129,35 +159,46 @@ def read_delimited(
 ) -> DataFrame:
     """Quoted delimited text as text columns; missing trailing columns are null.
 
-    A line with more fields than the dictionary has fails the read. With ``surplus``
-    such a line is a row as well, and the column of that name holds it (the one
-    surplus field, or the whole line where there are more); it is null elsewhere.
+    A line with more fields than the dictionary has fails the read, whatever columns of
+    it are used. With ``surplus`` such a line is a row as well, and the column of that
+    name holds the one field too many (empty if it is) or, where there are more, the
+    whole line; it is null elsewhere. Fields are counted by the separators outside quotes.
     """
     names = [f.name for f in fields]
-    extra = ["__surplus"] if surplus else []
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in (*names, *extra, "__line")])
+    options = {"sep": sep, "quote": '"', "escape": '"'}
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in (*names, "__line")])
     rows = (
         spark.read.schema(schema)
+        .options(**options)
         .option("columnNameOfCorruptRecord", "__line")
-        .option("sep", sep)
-        .option("quote", '"')
-        .option("escape", '"')
         .option("header", header)
         .option("encoding", encoding)
         .option("multiLine", multi_line)
         .option("enforceSchema", True)
         .csv(path)
     )
+    count = F.when(F.col("__line").isNotNull(), field_count(F.col("__line"), sep)).otherwise(0)
     if surplus:
-        more = F.when(F.col("__surplus").isNotNull(), F.coalesce("__line", "__surplus"))
-        return rows.select(*[col(n) for n in names], more.alias(surplus))
-    # A line is told to be malformed with too few fields as well; those are null.
-    last = col(names[-1])
-    checked = F.when(
-        F.col("__line").isNotNull() & last.isNotNull(),
-        F.raise_error(F.concat(F.lit("more fields than the dictionary has: "), F.col("__line"))),
-    ).otherwise(last)
-    return rows.select(*[col(n) for n in names[:-1]], checked.alias(names[-1]))
+        told = computed_once(rows, [*[col(n) for n in names], F.col("__line"), count.alias("__count")])
+        wider = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names) + 1)])
+        one = F.coalesce(F.from_csv("__line", wider.simpleString()[7:-1].replace(":", " "), {**options, "mode": "PERMISSIVE"})[f"c{len(names)}"], F.lit(""))
+        more = F.when(F.col("__count") == len(names) + 1, one).when(F.col("__count") > len(names), F.col("__line"))
+        return told.select(*[col(n) for n in names], more.alias(surplus))
+    message = F.concat(F.lit("more fields than the dictionary has: "), F.col("__line"))
+    # A line is told to be malformed with too few fields as well; those are null. The
+    # check is a filter, so that counts and other columns meet it too; as it reads all
+    # columns, the parser does not skip any and sees whole lines.
+    seen = F.length(F.concat(*[F.coalesce(col(n), F.lit("")) for n in names])) >= 0
+    checked = rows.where(F.when(count > len(names), F.raise_error(message).cast("boolean")).otherwise(seen))
+    return checked.select(*[col(n) for n in names])
+
+
+def field_count(line: Column, sep: str) -> Column:
+    """Number of fields of a delimited line; separators inside quoted fields do not count."""
+    mark = re.escape(sep)
+    quoted = f'(^|{mark})[ \t]*"(?:[^"]|"")*+"'
+    bare = F.when(F.contains(line, F.lit('"')), F.regexp_replace(line, quoted, "$1")).otherwise(line)
+    return F.call_function("div", F.length(bare) - F.length(F.replace(bare, F.lit(sep), F.lit(""))), F.lit(len(sep))) + 1
 
 
 def load_blank_to_null(
@@ -165,12 +206,15 @@ def load_blank_to_null(
     types: dict[str, str],
     date_fmt: str = "yyyy-MM-dd HH:mm:ss",
     ts_fmt: str = "yyyy-MM-dd HH:mm:ss.SSSSSS",
+    unread: str | None = None,
 ) -> DataFrame:
     """Bulk-load rules per column.
 
     ``types`` gives text, number, float, date or timestamp, or a decimal type such as
     ``decimal(38,20)`` for numbers of more digits. Blank text is null, other text
-    loses trailing blanks; numbers and dates that cannot be read are null.
+    loses trailing blanks; numbers and dates that cannot be read are null, and so are
+    numbers that would lose digits. ``unread`` names a column that lists, per row, the
+    columns whose text was not blank and gave nothing.
     """
 
     def load(name: str) -> Column:
@@ -179,16 +223,22 @@ def load_blank_to_null(
         if kind == "text":
             return F.when(~is_blank(c), rstrip(c))
         if kind == "number":
-            return strip(c).try_cast(NUMBER_TYPE)
+            return exact_number(strip(c), NUMBER_TYPE)
         if kind == "float" or kind.startswith("decimal("):
-            return strip(c).try_cast("double" if kind == "float" else kind)
+            return exact_number(strip(c), "double" if kind == "float" else kind)
         if kind == "date":
             return F.try_to_timestamp(strip(c), F.lit(date_fmt)).cast("timestamp_ntz")
         if kind == "timestamp":
             return F.try_to_timestamp(strip(c), F.lit(ts_fmt)).cast("timestamp_ntz")
         return c
 
-    return df.select([load(c).alias(c) for c in df.columns])
+    if unread is None:
+        return df.select([load(c).alias(c) for c in df.columns])
+    typed = [c for c in df.columns if types.get(c, "text") != "text"]
+    both = computed_once(df, [F.struct(*[col(c) for c in typed]).alias("__raw"), *[load(c).alias(c) for c in df.columns]])
+    lost = [F.when(~is_blank(F.col("__raw")[c].cast("string")) & col(c).isNull(), F.lit(c)) for c in typed]
+    named = F.array_compact(F.array(*lost)) if lost else F.array().cast("array<string>")
+    return both.select(*[col(c) for c in df.columns], named.alias(unread))
 
 
 def read_avro(spark: SparkSession, path: str) -> DataFrame:
@@ -283,11 +333,8 @@ def ingest_tagged(
             cleansed.append(clean_text(value, formats.delimiter).alias(f.name))
             continue
         if f.kind in ("number", "float"):
-            kind = "double" if f.kind == "float" else NUMBER_TYPE
-            cleansed.append(clean_number(value, f.scale, kind).alias(f.name))
+            cleansed.append(clean_number(value, f.scale, f.number_type).alias(f.name))
             bad = (value != "") & clean.isNull()
-            if f.kind == "number":
-                bad = bad | loses_digits(value, clean, f.scale)
         else:
             parsed = PARSERS[f.kind](value, getattr(formats, f.kind), lazy)
             cleansed.append(parsed.alias(f.name))
@@ -326,3 +373,28 @@ def ingest_file(
     )
     bad = tagged.where(F.size("_invalid") > 0).select("_raw.*", "_invalid")
     return good, bad
+
+
+def ingest_file_once(
+    raw: DataFrame,
+    fields: Sequence[DdicField],
+    path: str,
+    system: str,
+    table: str,
+    extraction_ts: str,
+    load_ts: datetime,
+    meta_columns: Sequence[str] = (),
+    formats: FileFormats = FileFormats(),
+    lazy: bool = False,
+) -> tuple[DataFrame, DataFrame, dict[bool, int]]:
+    """What ``ingest_file`` gives, written to ``path`` in one pass over the file: the good rows
+    and the faulty ones read back, and their counts. The file is parsed once, not once for either."""
+    tagged = ingest_tagged(raw, fields, formats, lazy)
+    good = F.size("_invalid") == 0
+    # The text of good rows is not written.
+    kept = tagged.withColumn("_raw", F.when(~good, F.col("_raw")))
+    counts = write_split(kept, good, path)
+    spark, schema = raw.sparkSession, kept.schema
+    meta = [_meta(m, system, table, extraction_ts, load_ts).alias(m) for m in meta_columns]
+    typed = read_split(spark, path, schema, True).select(*[col(f.name) for f in fields], *meta)
+    return typed, read_split(spark, path, schema, False).select("_raw.*", "_invalid"), counts

@@ -33,7 +33,8 @@ def nodes(df, name):
 
 EAGER = {"write_csv", "read_delimited", "read_fixed_width", "write_parquet", "write_xml", "xml_validate", "replicate_table",
          "file_manifest", "mask_stream", "read_fixed_width_header", "write_csv_nonnumeric",
-         "file_manifest_bytes", "ingest_stream", "number_new_entities", "load_parameters"}
+         "file_manifest_bytes", "ingest_stream", "number_new_entities", "load_parameters", "number_new_entities_gaps",
+         "write_xml_bounded", "upsert_partitions", "upsert_moved_partitions", "truncate_load_versions", "ingest_file_once"}
 
 
 @pytest.mark.parametrize("name", [n for n in QUERIES if n not in EAGER])
@@ -144,3 +145,23 @@ def test_hot_keys_give_whole_results(spark):
     status = table_reconcile(df, df.where("id <> 3"), "k").where("status <> 'same'").collect()
     assert [(r.k, r.rows_a, r.rows_b, r.status) for r in status] == [(-1, 10000, 9999, "changed")]
     assert filter_join(df, df.where("id < 9"), "k", "k", semi=True).count() == 10000 + 6
+
+
+def test_sql_functions_are_inlined(spark, tables):
+    from tablemill.functions.sql import register_functions
+
+    names = register_functions(spark)
+    assert {"clean_number", "parse_date", "mask_r13", "easter_sunday", "is_holiday"} <= set(names)
+    df = spark.sql("select clean_number(o_orderpriority) as n, mask_r23(o_orderpriority) as p, parse_date('20240131') as d, "
+                   "is_holiday(date'2024-12-25') as h from {orders} where is_blank(o_orderpriority)", orders=tables.orders)
+    text = plan(df)
+    assert "Python" not in text and "SQLFunction" not in text and nodes(df, "Exchange") == 0
+    row = spark.sql("select clean_number('1,5-') as n, mask_r23('HB AB 12') as p, clean_number_sap('x') as s").first()
+    assert (str(row.n), row.s) == ("-1.5000000000", None)
+
+
+def test_rules_with_lookups_are_no_functions(spark):
+    from tablemill.functions.sql import register_functions
+
+    with pytest.raises(KeyError):
+        register_functions(spark, {"f": MaskRule("R01", ("value",), ("a", "b"), lookup="x")}, ["f"])
