@@ -148,7 +148,7 @@ def table_reconcile(a: DataFrame, b: DataFrame, keys) -> DataFrame:
 
 
 # Rows of a bucket of the digest tree, level by level.
-BUCKET_ROWS = (1024, 64, 8)
+BUCKET_ROWS = (1024, 32, 4)
 
 
 def _places(a: DataFrame, b: DataFrame, key: str, rows: Sequence[int]) -> list[Column]:
