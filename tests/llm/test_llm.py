@@ -50,6 +50,11 @@ def test_codec_equals_library(spark):
     codec = sentencepiece_codec.PieceCodec(MODEL)
     texts = [t or "" for t in EDGES] + ["<s> </s> <0x0A> <unk>", "ab" * 400]
     assert codec.encode(texts) == [codec.library.encode(t, add_eos=True) for t in texts]
+    # Words of the matrix, of the heap, and with characters outside the vocabulary.
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abcdeinrstü\n\x00日ß€", k=rng.randint(1, 70))) for _ in range(3000)]
+    flat, lengths = codec.words(words)
+    assert [x.tolist() for x in np.split(flat, np.cumsum(lengths)[:-1])] == [codec.word(w) for w in words]
     for n in (0, 1, 2, 30, 200):
         symbols = [random.Random(n).choice("abcdeinrst▁") for _ in range(n)]
         assert sentencepiece_codec.merge_long(list(symbols), codec.cost) == sentencepiece_codec.merge_short(
@@ -57,6 +62,29 @@ def test_codec_equals_library(spark):
         )
 
 
+def test_codec_forgets(monkeypatch):
+    """Words that had to make room come out the same when they return, and no check is skipped."""
+    monkeypatch.setattr(sentencepiece_codec, "REMEMBERED", 200)
+    codec = sentencepiece_codec.PieceCodec(MODEL)
+    rng = random.Random(6)
+    for _ in range(30):
+        texts = [" ".join("".join(rng.choices("aeinrst ", k=rng.randint(0, 6))) for _ in range(20)) for _ in range(5)]
+        assert codec.encode(texts) == [codec.library.encode(t, add_eos=True) for t in texts]
+    assert codec.characters < 2000
+    codec.table.cost[:-1] = codec.table.cost[:-1][::-1].copy()
+    with pytest.raises(ValueError, match="differ"):
+        codec.encode(["unbelievable conversations"])
+
+
+def test_slices_by_bytes():
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_arrays([pa.array(range(6)), pa.array(["a" * 5, None, "b" * 20, "", "c", "d" * 9])], names=["i", "t"])
+    got = [p.column(0).to_pylist() for p in sentencepiece_codec.slices(batch, 1, 10)]
+    assert got == [[0, 1], [2], [3, 4, 5]]
+    assert list(sentencepiece_codec.slices(batch.slice(0, 0), 1)) == []
+
+
 def test_codec_frame(spark):
     df = docs(spark, EDGES + ["a"]).unionByName(docs(spark, ["a"]).withColumn("doc_id", F.lit(None).cast("long")))
     rows = sentencepiece_codec.encode_decode(df, MODEL).collect()
