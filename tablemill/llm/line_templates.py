@@ -48,37 +48,64 @@ def leaf_of(t: Column) -> Column:
 
 
 class Leaf:
-    """Templates of a leaf in the order they were founded."""
+    """Templates of a leaf in the order they were founded.
+
+    All lines of a leaf share their leading tokens. As most positions must agree, a template can
+    only take a line if it shares a constant behind those or has a variable field there: an
+    index by constants gives these templates, and no other is looked at.
+    """
 
     def __init__(self, agree: float):
         self.agree = agree
         self.words: dict[str, int] = {FIELD: 0}
         self.table = np.empty((0, 0), np.int64)
         self.size = 0
+        self.by_constant: dict[tuple[int, int], list[int]] = {}
+        self.with_fields: set[int] = set()
+
+    def candidates(self, row: np.ndarray) -> np.ndarray:
+        """Templates that may take a line, in the order they were founded."""
+        shared = len(row) - DEPTH
+        if shared <= 0 or DEPTH >= self.agree * len(row):
+            return np.arange(self.size)
+        found = set(self.with_fields)
+        for at in range(DEPTH, len(row)):
+            if row[at]:
+                found.update(self.by_constant.get((at, int(row[at])), ()))
+        return np.array(sorted(found), np.int64)
 
     def place(self, line: str) -> int:
         """Number of the template of a masked line; the template learns from it."""
         row = np.array([self.words.setdefault(t, len(self.words)) for t in line.split(" ")], np.int64)
         if self.size == 0:
             self.table = np.zeros((16, len(row)), np.int64)
-        known = self.table[: self.size]
-        if self.size:
+        numbers = self.candidates(row)
+        if len(numbers):
+            known = self.table[numbers]
             # Variable fields agree with everything, but constants decide ties.
             same = (known == row) & (known != 0)
             score = (same | (known == 0)).mean(1)
             best = int(np.lexsort((-same.sum(1), -score))[0])
             if score[best] >= self.agree and same[best].any():
-                self.table[best] = np.where(known[best] == row, row, 0)
-                return best
+                number = int(numbers[best])
+                self.table[number] = np.where(known[best] == row, row, 0)
+                if not self.table[number, DEPTH:].all():
+                    self.with_fields.add(number)
+                return number
         if self.size == len(self.table):
             self.table = np.concatenate([self.table, np.zeros_like(self.table)])
         self.table[self.size] = row
+        for at in range(DEPTH, len(row)):
+            if row[at]:
+                self.by_constant.setdefault((at, int(row[at])), []).append(self.size)
+            else:
+                self.with_fields.add(self.size)
         self.size += 1
         return self.size - 1
 
-    def template(self, number: int) -> str:
+    def templates(self) -> list[str]:
         names = list(self.words)
-        return " ".join(names[i] for i in self.table[number])
+        return [" ".join([names[i] for i in row]) for row in self.table[: self.size].tolist()]
 
 
 def parse(lines: list[str], agree: float) -> list[str]:
@@ -86,7 +113,8 @@ def parse(lines: list[str], agree: float) -> list[str]:
     leaf = Leaf(agree)
     order = sorted(range(len(lines)), key=lines.__getitem__)
     number = {i: leaf.place(lines[i]) for i in order}
-    return [leaf.template(number[i]) for i in range(len(lines))]
+    names = leaf.templates()
+    return [names[number[i]] for i in range(len(lines))]
 
 
 def leaf_templates(distinct: DataFrame, agree: float, part_lines: int) -> DataFrame:
@@ -141,11 +169,10 @@ def recurring_lines(
     contexts: int = CONTEXTS,
     agree: float = AGREE,
     part_lines: int = PART_LINES,
-    by_text: bool = True,
 ) -> DataFrame:
     """Lines to drop: ``doc``, ``h`` (hash of the tokens), ``template``, ``n_docs``,
-    ``n_contexts`` (different texts or neighbourhoods, whichever are more;
-    neighbourhoods alone without ``by_text``). Where the document is the smallest of the template, they stay."""
+    ``n_contexts`` (different texts or neighbourhoods, whichever are more). Where the document is
+    the smallest of the template, they stay."""
     lines = staged(_lines(df, id_column, text_column), "lines")
     # A template can only recur if its leaf does: other lines are not read again.
     def leaves_with(name: str) -> DataFrame:
@@ -156,8 +183,7 @@ def recurring_lines(
             .where((F.col("n") >= contexts) & (F.col("a") != F.col("b"))).select("leaf")
         )
 
-    found = leaves_with("around")
-    shared = staged(found.unionByName(leaves_with("body")).distinct() if by_text else found, "shared")
+    shared = staged(leaves_with("around").unionByName(leaves_with("body")).distinct(), "shared")
     wanted = staged(
         lines.join(own_exchange(shared), "leaf", "left_semi").select("doc", "h", "leaf", "around", "body").distinct(), "wanted"
     )
@@ -172,13 +198,13 @@ def recurring_lines(
     templates = staged(leaf_templates(distinct.select("leaf", "line"), agree, part_lines), "leaves")
     named = distinct.join(own_exchange(templates), ["leaf", "line"]).select("leaf", "h", "template")
     seen = staged(wanted.join(own_exchange(named), ["h", "leaf"]), "seen")
-    counts = _counted(seen.where("doc is not null"), by_text)
+    counts = _counted(seen.where("doc is not null"))
     recurring = counts.where((F.col("n_docs") >= contexts) & (F.col("n_contexts") >= contexts))
     found = seen.join(own_exchange(recurring), ["leaf", "template"]).where(~F.col("doc").eqNullSafe(F.col("keeper")))
     return found.select("doc", "h", "template", "n_docs", "n_contexts")
 
 
-def _counted(seen: DataFrame, by_text: bool) -> DataFrame:
+def _counted(seen: DataFrame) -> DataFrame:
     """Documents, neighbourhoods and texts per template, each counted after a distinct, so that
     no set of a hot template is held in one place."""
     docs = seen.select("leaf", "template", "doc").distinct().groupBy("leaf", "template").agg(
@@ -187,7 +213,7 @@ def _counted(seen: DataFrame, by_text: bool) -> DataFrame:
     def different(name: str) -> DataFrame:
         return seen.select("leaf", "template", name).distinct().groupBy("leaf", "template").agg(F.count("*").alias("n"))
 
-    counts = different("around").unionByName(different("body")) if by_text else different("around")
+    counts = different("around").unionByName(different("body"))
     most = counts.groupBy("leaf", "template").agg(F.max("n").alias("n_contexts"))
     return docs.join(own_exchange(most), ["leaf", "template"])
 

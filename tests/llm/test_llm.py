@@ -204,6 +204,37 @@ def test_recurring_blocks(spark):
     assert [r.n_dropped for r in got] == [0, 5, 5, 5, 5, 0, 0, 0, 0]
 
 
+def test_lines_against_plain_search(spark):
+    """The default mode on whole documents, and lines close to the threshold."""
+    real = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
+    rng = random.Random(11)
+    made = ["\n".join(
+        " ".join(["to", "be", "or", *[rng.choice("abcd" if k % 3 else "ab") for k in range(rng.choice([1, 2, 7]))]]) + rng.choice(["", " 7"])
+        for _ in range(4)) for _ in range(120)]
+    made += ["", "x\n" * 3, made[0], made[0]]
+    rows = real.unionByName(spark.createDataFrame(list(enumerate(made, 10_000)), "doc_id long, text string"))
+    got = {r.doc_id: r.text for r in line_templates.drop_recurring_lines(rows).collect()}
+    assert got == brute_lines(rows.collect())
+
+
+def test_index_of_templates():
+    """The index finds what a search through all templates finds, in time that grows with the lines."""
+    import time
+
+    rng = random.Random(2)
+    for n in (3, 4, 5, 9, 16):
+        lines = {" ".join(["<*>", "a", "b"][: min(3, n)] + [rng.choice(["<*>", "p", "q", "r"]) for _ in range(n - 3)]) for _ in range(300)}
+        order = sorted(lines)
+        assert dict(zip(order, line_templates.parse(order, 0.8))) == plain_templates(lines)
+    taken = []
+    for size in (10_000, 40_000):
+        lines = ["<*> <*> <*> " + " ".join(f"w{rng.random()}".replace("0", "o") for _ in range(8)) for _ in range(size)]
+        start = time.process_time()
+        assert len(set(line_templates.parse(lines, 0.8))) == size
+        taken.append(time.process_time() - start)
+    assert taken[1] < 8 * taken[0]
+
+
 # 6
 
 
@@ -392,29 +423,47 @@ def test_contamination_shuffled_and_spans(spark):
 # Pipeline
 
 
+def plain_templates(lines):
+    """Template of every line of a leaf, by a search through all templates: lists of tokens."""
+    templates, of = [], {}
+    for line in sorted(lines):
+        tokens = line.split(" ")
+        best = None
+        for number, known in enumerate(templates):
+            fixed = sum(k == t and k != "<*>" for k, t in zip(known, tokens))
+            agree = fixed + known.count("<*>")
+            if fixed and agree >= 0.8 * len(tokens) and (best is None or (agree, fixed) > best[:2]):
+                best = (agree, fixed, number)
+        if best is None:
+            templates.append(tokens)
+            of[line] = len(templates) - 1
+        else:
+            of[line] = best[2]
+            templates[best[2]] = [k if k == t else "<*>" for k, t in zip(templates[best[2]], tokens)]
+    # Templates that have become equal are one.
+    return {line: " ".join(templates[number]) for line, number in of.items()}
+
+
 def brute_lines(docs_):
     """Rows (doc_id, text) by the rules of the template tree, in plain Python."""
     split = [[re.findall(r"\S+", re.sub(r"\S*[0-9]\S*", "<*>", x)) for x in (r.text or "").split("\n")] for r in docs_]
-    leaves, places = {}, {}
+    leaves = {}
     for r, lines in zip(docs_, split):
         for i, t in enumerate(lines):
             if t:
-                leaf = (len(t), tuple(t[: line_templates.DEPTH]))
                 around = (tuple(lines[i - 1]) if i else 0, tuple(lines[i + 1]) if i + 1 < len(lines) else 1)
-                leaves.setdefault(leaf, set()).add(" ".join(t))
-                places.setdefault(leaf, []).append((r.doc_id, " ".join(t), around))
+                leaves.setdefault((len(t), tuple(t[:3])), []).append((r.doc_id, " ".join(t), around, r.text))
     gone = set()
-    for leaf, lines in leaves.items():
-        # As the operator, leaves that cannot hold a recurring template are passed over.
-        if len({x[0] for x in places[leaf]}) < 2 or len({x[2] for x in places[leaf]}) < line_templates.CONTEXTS:
+    for seen in leaves.values():
+        # Leaves that cannot hold a recurring template are not parsed.
+        if len({x[0] for x in seen}) < 2 or max(len({x[k] for x in seen}) for k in (2, 3)) < 3:
             continue
-        order = sorted(lines)
-        template = dict(zip(order, line_templates.parse(order, line_templates.AGREE)))
+        template = plain_templates({x[1] for x in seen})
         for name in set(template.values()):
-            mine = [x for x in places[leaf] if template[x[1]] == name]
+            mine = [x for x in seen if template[x[1]] == name]
             owners = {x[0] for x in mine}
-            if min(len(owners), len({x[2] for x in mine})) >= line_templates.CONTEXTS:
-                gone.update((d, line) for d, line, _ in mine if d != min(owners))
+            if len(owners) >= 3 and max(len({x[k] for x in mine}) for k in (2, 3)) >= 3:
+                gone.update((d, line) for d, line, _, _ in mine if d != min(owners))
     out = {}
     for r, lines in zip(docs_, split):
         kept = [x for x, t in zip((r.text or "").split("\n"), lines) if (r.doc_id, " ".join(t)) not in gone]
