@@ -6,12 +6,14 @@ tree and visits the leaves it comes near: where its projection is within ``spill
 threshold it goes to both sides. Inside a leaf visitors are compared with residents in
 double precision by matrix product.
 
-Each link is counted in the first tree in which the visitor meets the resident, so no pair
-leaves a task: a leaf reports how many links a vector has found, and one edge per vector
-to the lead of its part of the leaf.
+Each link is counted, at both of its ends, in the first tree in which either vector visits the
+leaf of the other, so no pair leaves a task: a leaf reports how many links a vector has found,
+and one edge per vector to the lead of its part of the leaf.
 
 The trees are fitted on a bounded sample of the vectors; every vector is sent through all
-of them. Leaves larger than a block are split into pairs of blocks.
+of them. Their number follows from the sample as well: pairs just at the threshold are looked up in
+it, and made where its vectors lie densest; trees are added until these pairs meet in some tree, but
+for a share too small to matter. Leaves larger than a block are split into pairs of blocks.
 """
 
 from __future__ import annotations
@@ -29,12 +31,12 @@ from tablemill.session import staged
 from tablemill.spec import col
 
 COSINE = 0.95
-# Trees at least, and the share of links just at 0.95 that all trees may miss.
+# Trees at least, and the share of links just at the threshold that all trees may miss.
 TREES = 8
 MISSED = 1e-5
-# Share of such links that a level of a tree keeps together, measured on random vectors:
-# 0.966 from 8 to 1024 leaves.
-KEPT_BY_LEVEL = 0.966
+# Vectors of the sample whose neighbours measure this, pairs of them at most (a bounded sample
+# for the number of trees alone), and partners made for each of the densest.
+PROBES, PROBE_PAIRS, PARTNERS = 4_000, 150_000, 8
 # Vectors the trees are fitted on at most, and residents of a leaf aimed at.
 SAMPLE = 20_000
 LEAF = 512
@@ -139,11 +141,53 @@ def spill_width(cosine: float, dimensions: int, deviations: float = 0.75) -> flo
     return deviations * float(np.sqrt((2 - 2 * cosine) / dimensions))
 
 
-def trees_needed(leaves: float, least: int = TREES) -> int:
-    """Trees of so many leaves that together miss a share of at most ``MISSED``: the more
-    vectors there are, the deeper the trees and the more of them."""
-    met = KEPT_BY_LEVEL ** np.log2(max(2.0, leaves))
-    return max(least, int(np.ceil(np.log(MISSED) / np.log(1 - met))))
+def probe_pairs(points: np.ndarray, cosine: float, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of vectors whose cosine is just at the threshold: such as are in the sample, and
+    partners made for the quarter of its vectors that have the most neighbours."""
+    n = len(points)
+    chosen = points[rng.permutation(n)[:PROBES]]
+    upper = cosine + (1 - cosine) / 4
+    left, right, near = [], [], []
+    for start in range(0, len(chosen), 500):
+        likeness = chosen[start : start + 500] @ points.T
+        near.append((likeness >= 2 * cosine - 1).sum(1))
+        i, j = np.nonzero((likeness >= cosine) & (likeness < upper))
+        some = rng.permutation(len(i))[: PROBE_PAIRS * 500 // PROBES]
+        left.append(chosen[start + i[some]])
+        right.append(points[j[some]])
+    near = np.concatenate(near)
+    dense = np.repeat(chosen[near >= np.quantile(near, 0.75)], PARTNERS, axis=0)
+    away = rng.standard_normal(dense.shape)
+    away -= (away * dense).sum(1, keepdims=True) * dense
+    length = np.linalg.norm(away, axis=1, keepdims=True)
+    partners = cosine * dense + np.sqrt(1 - cosine * cosine) * away / np.where(length == 0, 1, length)
+    return np.concatenate([*left, dense]), np.concatenate([*right, partners])
+
+
+def meets(tree: Tree, a: np.ndarray, b: np.ndarray, spill: float) -> np.ndarray:
+    """Whether either vector of a pair visits the leaf of the other."""
+    home, who, where = descend(tree, a, spill)
+    other, whom, there = descend(tree, b, spill)
+    visits, back = np.sort(who * tree.leaves + where), np.sort(whom * tree.leaves + there)
+    rows = np.arange(len(a))
+
+    def among(taken, wanted):
+        at = np.minimum(np.searchsorted(taken, wanted), len(taken) - 1)
+        return taken[at] == wanted
+
+    return among(visits, rows * tree.leaves + other) | among(back, rows * tree.leaves + home)
+
+
+def plant(points: np.ndarray, at_most: int, cosine: float, spill: float, least: int, rng: np.random.Generator) -> list[Tree]:
+    """Trees until the probe pairs that never met are a share of at most ``MISSED``."""
+    a, b = probe_pairs(points, cosine, rng)
+    forest: list[Tree] = []
+    apart = np.ones(len(a), bool)
+    while len(forest) < least or apart.sum() > MISSED * len(a):
+        forest.append(grow(points, at_most, rng))
+        if apart.any():
+            apart[apart] = ~meets(forest[-1], a[apart], b[apart], spill)
+    return forest
 
 
 def vector_classes(df: DataFrame, id_column: str, vector_column: str) -> DataFrame:
@@ -172,8 +216,9 @@ def vector_links(
 
     Vectors that are null, empty, zero or hold null or non-finite components have no
     links. Equal vectors are linked (each row counts) and compared as one. Vectors of
-    different lengths are never linked. A null id is linked by its vector but names no
-    component unless nothing else does. Other columns are not read.
+    different lengths are never linked. A null id is linked where a row with an id has the same
+    vector, with nothing otherwise, and names no component. Rows that repeat an id are vectors
+    of their own. Other columns are not read.
     """
     rows = staged(vector_classes(df, id_column, vector_column), "vectors")
     classes = (
@@ -220,9 +265,9 @@ def _forest(classes: DataFrame, d: int, count: int, cosine: float, trees: int, s
     # The leaf of the sample that makes ``leaf`` of all.
     at_most = max(32, int(leaf * len(points) / max(1, count)))
     rng = np.random.default_rng(seed)
-    forest = [grow(points, at_most, rng) for _ in range(trees_needed(len(points) / at_most, trees))]
-    first = np.concatenate([[0], np.cumsum([t.leaves for t in forest])])
     spill = spill_width(cosine, d)
+    forest = plant(points, at_most, cosine, spill, trees, rng)
+    first = np.concatenate([[0], np.cumsum([t.leaves for t in forest])])
 
     def route(batches):
         width = (int(first[-1]) + 7) // 8
@@ -275,34 +320,43 @@ def _forest(classes: DataFrame, d: int, count: int, cosine: float, trees: int, s
     def compare(table: pa.Table) -> pa.Table:
         visits = table.column("visits").to_numpy()
         a, b = table.filter(pa.array(visits)), table.filter(pa.array(~visits))
-        key, node = a.column("key").to_numpy(), a.column("node").to_numpy()
-        found = np.zeros(len(key), np.int64)
+        key, node, here = (a.column(c).to_numpy() for c in ("key", "node", "copies"))
+        other, others, copies = (b.column(c).to_numpy() for c in ("key", "node", "copies"))
+        found, found_there = np.zeros(len(key), np.int64), np.zeros(len(other), np.int64)
         pairs = []
         if a.num_rows and b.num_rows:
             def table_of(t, name, kind):
                 return np.frombuffer(b"".join(t.column(name).to_pylist()), kind).reshape(t.num_rows, -1)
 
+            def visited(t):
+                return np.unpackbits(table_of(t, "seen", np.uint8), axis=1, bitorder="little")
+
             def units(t):
                 kind = {4 * d: np.float32, 8 * d: np.float64}
                 return unit(np.array([np.frombuffer(v, kind[len(v)]) for v in t.column("x").to_pylist()], np.float64))
 
             x, y = units(a), units(b)
-            seen = np.unpackbits(table_of(a, "seen", np.uint8), axis=1, bitorder="little")
-            homes = table_of(b, "homes", np.int32)
-            other, others, copies = (b.column(c).to_numpy() for c in ("key", "node", "copies"))
+            seen, seen_there = visited(a), visited(b)
+            homes, homes_there = table_of(a, "homes", np.int32), table_of(b, "homes", np.int32)
             tree = int(np.searchsorted(first, table.column("leaf")[0].as_py(), side="right")) - 1
             for start in range(0, len(x), 256):
                 i, j = np.nonzero(x[start : start + 256] @ y.T >= cosine)
                 i += start
                 apart = key[i] != other[j]
                 i, j = i[apart], j[apart]
-                new = np.ones(len(i), bool)
+                # Where both visit each other's leaf, the pair counts as a visit of the lower key.
+                new = (key[i] < other[j]) | (seen_there[j, homes[i, tree]] == 0)
                 for t in range(tree):
-                    new &= seen[i, homes[j, t]] == 0
-                np.add.at(found, i[new], copies[j[new]])
-                pairs.append((node[i[new]], others[j[new]]))
+                    new &= (seen[i, homes_there[j, t]] == 0) & (seen_there[j, homes[i, t]] == 0)
+                i, j = i[new], j[new]
+                np.add.at(found, i, copies[j])
+                np.add.at(found_there, j, here[i])
+                pairs.append((node[i], others[j]))
         one, two = spanning_edges(pairs)
         none = np.zeros(len(one), np.int64)
+        key, found = np.concatenate([key, other]), np.concatenate([found, found_there])
+        hit = found > 0
+        key, found = key[hit], found[hit]
         return pa.table({
             "key": np.concatenate([key, none]), "found": np.concatenate([found, none]),
             "a": pa.array(np.concatenate([key * 0, one]), mask=np.arange(len(key) + len(one)) < len(key)),

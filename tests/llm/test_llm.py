@@ -178,6 +178,40 @@ def test_vector_links(spark):
     assert projection_forest.vector_links(df.limit(0)).count() == 0
 
 
+def test_vector_links_of_a_hot_cluster(spark):
+    """Deep trees, and a third of the vectors in a cluster whose pairs are about at the threshold:
+    every link counts at both of its ends, and none is lost."""
+    rng = np.random.default_rng(9)
+    n, d = 4000, 32
+    vectors = rng.standard_normal((n, d))
+    centre = rng.standard_normal(d) / np.sqrt(d)
+    vectors[: n // 3] = centre + 0.2 * rng.standard_normal((n // 3, d)) / np.sqrt(d)
+    unit = projection_forest.unit(vectors.astype(np.float32).astype(np.float64))
+    linked = unit @ unit.T >= 0.95
+    np.fill_diagonal(linked, False)
+    assert 50_000 < linked.sum() < n * n / 10
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vectors.astype(np.float32).tolist())], "vec_id long, embedding array<float>")
+    got = {r.vec_id: r for r in projection_forest.vector_links(df, leaf=32).collect()}
+    counts = np.array([got[i].n_links for i in range(n)])
+    want = linked.sum(1)
+    assert (counts <= want).all() and counts.sum() % 2 == 0
+    assert (want.sum() - counts.sum()) <= max(4, 2e-5 * want.sum())
+    label = np.arange(n)
+    while True:
+        lower = np.array([min(label[i], label[linked[i]].min(initial=n)) for i in range(n)])
+        if (lower == label).all():
+            break
+        label = lower
+    assert [got[i].component_id for i in range(n)] == label.tolist()
+
+
+def test_equal_ids_and_null_ids_of_vectors(spark):
+    rows = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 0.01]), (2, [1.0, 0.01]), (None, [1.0, 0.02]), (None, None)]
+    got = projection_forest.vector_links(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    found = sorted(((r.vec_id is None, r.vec_id or 0, r.n_links) for r in got))
+    assert found == sorted([(False, 1, 2), (False, 1, 0), (False, 2, 2), (False, 2, 2), (True, 0, 0), (True, 0, 0)])
+
+
 # 5
 
 
