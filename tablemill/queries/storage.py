@@ -14,6 +14,7 @@ from tablemill.operators.rules import MaskRule
 from tablemill.queries.base import Tables, query
 from tablemill.queries.cleansing import FILE_FIELDS, FILE_SQL, NOW, file_lines
 from tablemill.session import scratch_path
+from tablemill.sinks.digests import read_verified, verify_digests, write_digests
 from tablemill.sinks.files import (
     avro_projection,
     write_csv,
@@ -21,7 +22,7 @@ from tablemill.sinks.files import (
     write_xml,
     xml_validate,
 )
-from tablemill.sinks.versions import VersionedTable, read_replica, replicate_table
+from tablemill.sinks.versions import Folder, VersionedTable, read_replica, replicate_table
 from tablemill.sources.files import (
     DdicField,
     cut_fixed_width,
@@ -346,6 +347,32 @@ def manifest_bytes(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    "file_digests",
+    """
+    select state, n::bigint as files from (values ('damaged', 1), ('missing', 1), ('strange', 1),
+        ('verified', 5)) v(state, n)
+    union all select 'rows read', count(*) from orders
+    """,
+)
+def digested_files(t: Tables) -> DataFrame:
+    """States of the parts of a table after one was changed, one lost and one added; before
+    that, all rows are read."""
+    path = scratch_path(t.spark, "digested")
+    parts = t.orders.selectExpr("*", "pmod(hash(o_orderkey), 7) as part")
+    parts.repartitionByRange(7, "part").write.partitionBy("part").parquet(path)
+    write_digests(t.spark, path)
+    rows = read_verified(t.spark, path).agg(F.count("*").alias("files")).select(F.lit("rows read").alias("state"), "files")
+    rows = t.spark.createDataFrame(rows.collect(), "state string, files long")
+    folder = Folder(t.spark, path)
+    files = [f"{d}/{f}" for d in folder.names() if d.startswith("part=") for f in folder.names(d) if f.endswith(".parquet")]
+    folder.delete(files[0])
+    folder.delete(files[1])
+    folder.commit("not a table", *files[1].split("/"))
+    folder.commit("nobody wrote this", "part=0", "added.parquet")
+    return verify_digests(t.spark, path).groupBy("state").agg(F.count("*").alias("files")).unionByName(rows)
+
+
 @query(
     "ingest_stream",
     f"""

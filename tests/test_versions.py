@@ -9,6 +9,7 @@ from test_plans import nodes, plan
 
 from tablemill.operators.numbering import free_numbers, number_in_gaps
 from tablemill.operators.reconcile import table_reconcile, table_reconcile_tree
+from tablemill.sinks.digests import DamagedFiles, read_verified, verify_digests, write_digests
 from tablemill.sinks.files import dealt_by_bytes, read_split, write_split, write_xml
 from tablemill.sinks.versions import VersionedTable, read_replica, replicate_table
 from tablemill.sources.files import DdicField, ingest_tagged, load_blank_to_null, read_delimited, read_fixed_width
@@ -250,3 +251,29 @@ def test_no_number_is_rounded(spark):
     deep = spark.createDataFrame([("0.12345678901234",), ("5",), ("0.123456789012345",)], "n string")
     found = ingest_tagged(deep, [DdicField("n", "number", 31, 14)]).collect()
     assert [str(r.n) for r in found] == ["0.12345678901234", "5.0E-14", "None"] and [r._invalid for r in found] == [[], [], ["n"]]
+
+
+# Digests
+
+
+def test_damaged_files_are_not_read(spark, tmp_path):
+    path = tmp_path / "d"
+    spark.range(100).repartition(3).write.parquet(str(path))
+    assert write_digests(spark, str(path)) == 3 and read_verified(spark, str(path)).count() == 100
+    moved = tmp_path / "elsewhere" / "d"
+    moved.parent.mkdir()
+    path.rename(moved)
+    assert {r.state for r in verify_digests(spark, str(moved)).collect()} == {"verified"}
+    part = next(moved.glob("part*"))
+    part.write_bytes(part.read_bytes()[:-1] + b"?")
+    # A file system that keeps checksums of its own finds this one itself.
+    (moved / f".{part.name}.crc").unlink()
+    with pytest.raises(DamagedFiles, match=f"{part.name} is damaged"):
+        read_verified(spark, str(moved))
+    # Digests taken anew count from then on.
+    part.unlink()
+    with pytest.raises(DamagedFiles, match="missing"):
+        read_verified(spark, str(moved))
+    assert write_digests(spark, str(moved)) == 2 and read_verified(spark, str(moved)).count() < 100
+    (tmp_path / "e").mkdir()
+    assert write_digests(spark, str(tmp_path / "e")) == 0 and verify_digests(spark, str(tmp_path / "e")).count() == 0
