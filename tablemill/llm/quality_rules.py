@@ -152,17 +152,13 @@ def thresholds(sketch: DataFrame, enough: int) -> DataFrame:
     everything = merged(by_language, [])
     fine = fences(quartiles(sketch, ["lang", "src"]), ["lang", "src"]).alias("f")
     middle = fences(quartiles(by_language, ["lang"]), ["lang"]).alias("m")
-    coarse = fences(quartiles(everything, []), []).alias("c")
-    # One row of all documents stands beside each group: a join on a constant key.
-    joined = (
-        fine.join(own_exchange(middle).alias("m"), F.col("f.lang").eqNullSafe(F.col("m.lang")), "left")
-        .withColumn("__one", F.lit(1))
-        .join(F.broadcast(coarse.withColumn("__one", F.lit(1))).alias("c"), "__one", "left")
-    )
+    # The fences of all documents are one row: constants of the plan.
+    coarse = fences(quartiles(everything, []), []).first()
+    joined = fine.join(own_exchange(middle).alias("m"), F.col("f.lang").eqNullSafe(F.col("m.lang")), "left")
     pick = lambda c: (
         F.when(F.col("f.total") >= enough, F.col(f"f.{c}"))
         .when(F.col("m.total") >= enough, F.col(f"m.{c}"))
-        .otherwise(F.col(f"c.{c}")).alias(c)
+        .otherwise(F.lit(coarse[c])).alias(c)
     )
     return joined.select("f.lang", "f.src", *[pick(c) for c in ends])
 
