@@ -58,8 +58,9 @@ def exact_number(v: Column, result_type: str = NUMBER_TYPE) -> Column:
     kept = F.rtrim(digits, F.lit("0"))
     power = F.coalesce(F.regexp_extract(v, "[eE]([-+]?[0-9]+)$", 1).try_cast("int"), F.lit(0))
     decimals = F.length(part) - power - (F.length(digits) - F.length(kept))
-    cut = F.when(v.rlike("[eE]"), (kept != "") & (decimals > scale)).otherwise(
-        v.rlike(f"[.][0-9]{{{scale}}}[0-9]*[1-9]")
+    # Whole numbers, nearly all values, are told by a search for two letters and the point.
+    cut = F.when(F.contains(v, F.lit("e")) | F.contains(v, F.lit("E")), (kept != "") & (decimals > scale)).otherwise(
+        F.contains(v, F.lit(".")) & v.rlike(f"[.][0-9]{{{scale}}}[0-9]*[1-9]")
     )
     return F.when(~cut, v.try_cast(result_type))
 
