@@ -110,6 +110,30 @@ def fixed_with_header(t: Tables) -> DataFrame:
     return read_fixed_width(t.spark, path, FILE_FIELDS, header=True, offset=1)
 
 
+@query(
+    "read_fixed_width_wide",
+    """
+    select lpad(o_orderkey::varchar, 10, '0') as k,
+        case when o_orderkey % 5 = 0 then repeat('ੁĀ', 1 + (o_orderkey % 3)::int) else 'ਅઅx' end as t
+    from orders
+    union all select '', '' from orders where o_orderkey % 7 = 1
+    """,
+)
+def fixed_wide(t: Tables) -> DataFrame:
+    """UTF-16 without a line of titles, blank lines among the others, and characters whose
+    bytes side by side are those of a line break."""
+    path = scratch_path(t.spark, "wide")
+    lines = t.orders.selectExpr(
+        "concat(lpad(o_orderkey, 10, '0'), case when o_orderkey % 5 = 0 "
+        "then repeat('ੁĀ', cast(1 + o_orderkey % 3 as int)) else 'ਅઅx' end) as line"
+    )
+    lines = lines.unionByName(t.orders.where("o_orderkey % 7 = 1").select(F.lit("").alias("line")))
+    units = F.encode("line", "UTF-16LE").cast("string").alias("value")
+    lines.select(units).write.option("encoding", "UTF-16LE").option("lineSep", "\n").text(path)
+    fields = (DdicField("k", "text", 10), DdicField("t", "text", 6))
+    return read_fixed_width(t.spark, path, fields, encoding="UTF-16LE")
+
+
 @query(
     "ingest_file_once",
     f"""

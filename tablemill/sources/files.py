@@ -26,6 +26,7 @@ from tablemill.functions.cleanse import (
 from tablemill.functions.text import is_blank, log_text, rstrip, strip
 from tablemill.operators.joins import own_exchange
 from tablemill.sinks.files import read_split, write_split
+from tablemill.sources.wide import BREAKS, wide_lines
 from tablemill.spec import col, computed_once
 
 # SAP type -> kind of value.
@@ -89,13 +90,17 @@ def read_fixed_width(
     """Lines cut into text columns by their lengths; ``offset=1`` skips separators.
 
     Every line is a row, empty ones too; with ``header`` the first line of each file is
-    none. Lines of encodings that write a line break in several bytes (UTF-16) are split
-    at whole characters by the CSV reader, which passes over blank lines, with a header only.
+    none. So are those of UTF-16LE and UTF-16BE. Other encodings that write a line break
+    in several bytes (UTF-16 without byte order, UTF-32) are split by the CSV reader,
+    which passes over blank lines, with a header only.
     """
+    name = encoding.upper()
     wide = "\n".encode(encoding) != b"\n"
-    if wide and not header:
+    if wide and not header and name not in BREAKS:
         raise ValueError(f"lines in {encoding} can be told apart with header=True only")
-    if wide:
+    if name in BREAKS:
+        lines = wide_lines(spark, path, name, header).withColumnRenamed("value", "line")
+    elif wide:
         lines = (
             spark.read.schema("line string")
             .option("sep", "\x01")

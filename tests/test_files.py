@@ -107,9 +107,40 @@ def test_csv_header_in_every_file(spark, tmp_path):
         sinks.write_csv(df, str(tmp_path / "p"), quoting="nonnumeric", encoding="UTF-16")
 
 
-def test_lines_of_wide_characters_are_refused(spark, tmp_path):
-    with pytest.raises(ValueError, match="UTF-16LE"):
-        read_fixed_width(spark, str(tmp_path), FIELDS, encoding="UTF-16LE")
+def test_lines_of_wide_characters_without_byte_order_are_refused(spark, tmp_path):
+    for encoding in ("UTF-16", "UTF-32LE"):
+        with pytest.raises(ValueError, match=encoding):
+            read_fixed_width(spark, str(tmp_path), FIELDS, encoding=encoding)
+
+
+@pytest.mark.parametrize("encoding", ["UTF-16LE", "UTF-16BE"])
+@pytest.mark.parametrize("header", [False, True])
+@pytest.mark.parametrize("part", [7, 50, 1_000_000])
+def test_wide_lines_are_cut_at_whole_characters(spark, tmp_path, encoding, header, part):
+    # In each order of bytes, one of these pairs has the bytes of a line break inside.
+    le, be = "\u0a41\u0100", "\u0100\u0a41"
+    files = [
+        [le + "first", "", be, "a" + le * 3 + "b", "", "plain", le * 40 + be * 40, "\u0a00\u0aff", "x" * 60, le],
+        ["", le, be + le, "last"],
+        ["only"],
+    ]
+    for i, lines in enumerate(files):
+        mark = "\ufeff" if i else ""
+        put(tmp_path / "in", f"{i}.txt", mark + ("\r\n" if i == 1 else "\n").join(lines) + ("" if i == 2 else "\n"), encoding)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", part)
+    try:
+        got = read_fixed_width(spark, str(tmp_path / "in"), (DdicField("A", "text", 200),), header=header, encoding=encoding)
+        assert sorted(r.A for r in got.collect()) == sorted(x for f in files for x in f[header:])
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_wide_file_that_ends_within_a_character(spark, tmp_path):
+    with open(put(tmp_path / "in", "a.txt", "ab\ncd\n", "utf-16-le") + "/b.txt", "wb") as f:
+        f.write("ab\ncd".encode("utf-16-le")[:-1])
+    with pytest.raises(Exception, match="within a character"):
+        read_fixed_width(spark, str(tmp_path / "in"), FIELDS, encoding="UTF-16LE").collect()
 
 
 def test_manifest(spark, tmp_path):

@@ -32,7 +32,7 @@ def nodes(df, name):
 
 
 EAGER = {"write_csv", "read_delimited", "read_fixed_width", "write_parquet", "write_xml", "xml_validate", "replicate_table",
-         "file_manifest", "mask_stream", "read_fixed_width_header", "write_csv_nonnumeric",
+         "file_manifest", "mask_stream", "read_fixed_width_header", "read_fixed_width_wide", "write_csv_nonnumeric",
          "file_manifest_bytes", "ingest_stream", "number_new_entities", "load_parameters", "number_new_entities_gaps",
          "write_xml_bounded", "upsert_partitions", "upsert_moved_partitions", "truncate_load_versions", "ingest_file_once", "file_digests"}
 
