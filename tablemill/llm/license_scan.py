@@ -2,10 +2,10 @@
 
 Files are compared with licence templates (whole licence texts and the notices that stand
 in file headers) as sparse vectors of terms: every line, every run of terms as long as a
-template wherever it begins, and the whole file. A line or run similar to a template is a
-header, so a notice may be wrapped, set in comment signs or part of a longer line. A file
-that is similar as a whole is a licence file and speaks for its directory. Files without a
-header inherit from the licence file of the nearest ancestor directory: their ancestor
+template, and the whole file. A line or run similar to a template is a header, so a notice
+may be wrapped, set in comment signs or part of a longer line. A file that is similar as a
+whole to a licence text, or to a notice if it has the name of a licence file, is a licence
+file and speaks for its directory. Files without a header inherit from the licence file of the nearest ancestor directory: their ancestor
 paths are joined with the directories that have one, and the longest match wins.
 
 The templates are few and fixed by the caller, so their term weights are broadcast. A text
@@ -19,7 +19,7 @@ import math
 from collections.abc import Sequence
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablemill.operators.joins import own_exchange
@@ -27,8 +27,12 @@ from tablemill.session import staged
 from tablemill.spec import col
 
 SIMILAR = 0.8
-# Runs of a template's length begin at every term, in long templates at this share of it.
-STEPS = 32
+# Templates of fewer terms are notices. Runs as long as a notice begin at every term; for
+# longer templates at the first and last of the starts that hold most of its weight, in
+# every stretch of the text that holds enough of it.
+NOTICE = 80
+# Names of licence files, before an ending.
+FILE_NAMES = ("copying", "copyright", "licence", "license", "notice", "unlicense")
 # A bare reservation of rights names no licence: it counts where nothing else does.
 BARE = "Proprietary"
 _FREE = (
@@ -41,10 +45,9 @@ _CC = "This work is licensed under a Creative Commons {} 4.0 International Licen
 NOTICES = {
     "AGPL-3.0": (_FREE.format(what="program", name=_AGPL, version="3"),),
     "Apache-2.0": ("Licensed under the Apache License, Version 2.0",),
-    "BSD-3-Clause": (
-        "Redistribution and use in source and binary forms, with or without modification, are permitted",
-        "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file",
-    ),
+    # The sentence is the same in the licences of two and of three clauses.
+    "BSD": ("Redistribution and use in source and binary forms, with or without modification, are permitted",),
+    "BSD-3-Clause": ("Use of this source code is governed by a BSD-style license that can be found in the LICENSE file",),
     "CC-BY-4.0": (_CC.format("Attribution"), "Licensed under CC BY 4.0"),
     "CC-BY-NC-4.0": (_CC.format("Attribution-NonCommercial"), "Licensed under CC BY-NC 4.0"),
     "CC-BY-SA-4.0": (_CC.format("Attribution-ShareAlike"), "Licensed under CC BY-SA 4.0"),
@@ -56,6 +59,7 @@ NOTICES = {
         "This work is licensed under the GNU General Public License, version 3",
         *(_FREE.format(what=w, name=_GPL, version="3") for w in ("program", "file")),
     ),
+    "LGPL-2.0": (_FREE.format(what="library", name="Library General Public License", version="2"),),
     "LGPL-2.1": (
         "Licensed under the GNU Lesser General Public License, version 2.1",
         _FREE.format(what="library", name=_LGPL, version="2.1"),
@@ -72,12 +76,39 @@ NOTICES = {
     "MPL-2.0": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",),
     BARE: ("All rights reserved",),
 }
+# Fixed value: section 13 of the AGPL, where it differs most from the GPL.
+AFFERO_13 = """13. Remote Network Interaction; Use with the GNU General Public License.
+
+Notwithstanding any other provision of this License, if you modify the Program, your modified version must
+prominently offer all users interacting with it remotely through a computer network (if your version supports such
+interaction) an opportunity to receive the Corresponding Source of your version by providing access to the
+Corresponding Source from a network server at no charge, through some standard or customary means of facilitating
+copying of software. This Corresponding Source shall include the Corresponding Source for any work covered by
+version 3 of the GNU General Public License that is incorporated pursuant to the following paragraph.
+
+Notwithstanding any other provision of this License, you have permission to link or combine any covered work with a
+work licensed under version 3 of the GNU General Public License into a single combined work, and to convey the
+resulting work. The terms of this License will continue to apply to the part which is the covered work, but the work
+with which it is combined will remain governed by version 3 of the GNU General Public License.
+
+"""
 TEXTS = Path(__file__).parent / "license_texts"
 
 
+def affero(gpl: str) -> str:
+    """The GPL text under the name of the AGPL and with its section 13. The preambles differ
+    in two more paragraphs, which are not at hand."""
+    def renamed(text: str) -> str:
+        return text.replace("GNU General", "GNU Affero General").replace("GNU GENERAL", "GNU AFFERO GENERAL")
+
+    before, rest = gpl.split("13. Use with", 1)
+    return renamed(before) + AFFERO_13 + "14. Revised" + renamed(rest.split("14. Revised", 1)[1])
+
+
 def _public_templates() -> dict[str, tuple[str, ...]]:
     """Notices and whole texts per licence; the files are read by the driver alone."""
     texts = {p.stem: (p.read_text(),) for p in sorted(TEXTS.glob("*.txt"))}
+    texts["AGPL-3.0"] = (affero(texts["GPL-3.0"][0]),)
     return {name: NOTICES.get(name, ()) + texts.get(name, ()) for name in sorted({*NOTICES, *texts})}
 
 
@@ -132,16 +163,18 @@ def needed_terms(weights: dict[int, dict[str, float]], idf: dict[str, float], si
 
 
 def best_templates(
-    texts: DataFrame, weights: dict[int, dict[str, float]], names: dict[int, str], unknown: float, idf: dict[str, float], similar: float
+    texts: DataFrame, weights: dict[int, dict[str, float]], names: dict[int, str], notices: set[int], unknown: float,
+    idf: dict[str, float], similar: float,
 ) -> DataFrame:
-    """``key``, ``license``, ``cosine`` of rows ``key``, ``t`` (terms) that reach the
-    threshold: the most similar template, ties by name, a bare reservation last."""
+    """``key``, ``notice``, ``license``, ``cosine`` of rows ``key``, ``t`` (terms) that reach
+    the threshold: the most similar notice and the most similar whole text, ties by name,
+    a bare reservation last."""
     spark = texts.sparkSession
     entries = [
-        (template, names[template], term, w / math.sqrt(sum(x * x for x in vector.values())))
+        (template, names[template], template in notices, term, w / math.sqrt(sum(x * x for x in vector.values())))
         for template, vector in sorted(weights.items()) for term, w in sorted(vector.items())
     ]
-    table = spark.createDataFrame(entries, "template int, license string, term string, w double")
+    table = spark.createDataFrame(entries, "template int, license string, notice boolean, term string, w double")
     frequency = spark.createDataFrame(sorted(idf.items()), "term string, idf double")
     counted = texts.select("key", F.explode("t").alias("term")).groupBy("key", "term").agg(F.count("*").alias("tf"))
     # Both tables are as small as the templates.
@@ -150,13 +183,13 @@ def best_templates(
     )
     norms = weighed.groupBy("key").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))
     dots = (
-        weighed.join(F.broadcast(table), "term").groupBy("key", "template", "license")
+        weighed.join(F.broadcast(table), "term").groupBy("key", "template", "license", "notice")
         .agg(F.sum(F.col("x") * F.col("w")).alias("dot"))
     )
     cosine = F.round(F.col("dot") / F.col("norm"), 6)
     return (
-        dots.join(norms, "key").select("key", "license", cosine.alias("cosine")).where(F.col("cosine") >= similar)
-        .groupBy("key").agg(_best()).select("key", "best.license", (-F.col("best.c")).alias("cosine"))
+        dots.join(norms, "key").select("key", "notice", "license", cosine.alias("cosine")).where(F.col("cosine") >= similar)
+        .groupBy("key", "notice").agg(_best()).select("key", "notice", "best.license", (-F.col("best.c")).alias("cosine"))
     )
 
 
@@ -169,19 +202,41 @@ def similar_runs(texts: DataFrame, candidates: DataFrame, needed: DataFrame) ->
     """``key``, ``start``, ``n``: runs as long as a template that have enough of its weight.
 
     Of ``texts`` (``key``, ``t``) only files that have enough of it somewhere come in here
-    (``candidates``: ``key``, ``template``, ``n``, ``step``), each for its templates."""
+    (``candidates``: ``key``, ``template``, ``n``, ``notice``), each for its templates. A
+    term counts once in a run: the runs in which an occurrence is the first of its term
+    begin behind the occurrence before. So each adds its share to one range of starts, and a
+    running sum over the ends of these ranges gives the share of every start. All steps
+    work within one file and template.
+    """
+    one = ["key", "template"]
     placed = (
         texts.select("key", F.posexplode("t").alias("pos", "term")).join(F.broadcast(needed), "term")
-        .join(own_exchange(candidates), ["key", "template"])
+        .join(own_exchange(candidates), one)
     )
-    first = F.greatest(F.lit(0).cast("long"), F.ceil((F.col("pos") - F.col("n") + 1) / F.col("step")))
-    run = F.explode(F.sequence(first, F.floor(F.col("pos") / F.col("step")))).alias("run")
-    return (
-        placed.select("key", "template", "n", "step", "need", "share", "term", run).distinct()
-        .groupBy("key", "template", "n", "step", "need", "run").agg(F.sum("share").alias("share"))
+    before = F.lag("pos", 1, -1).over(Window.partitionBy(*one, "term").orderBy("pos"))
+    first = F.greatest(F.col("before") + 1, F.col("pos") - F.col("n") + 1)
+    ends = F.array(
+        F.struct(first.alias("start"), F.col("share").alias("d")),
+        F.struct((F.col("pos") + 1).alias("start"), (-F.col("share")).alias("d")),
+    )
+    running = Window.partitionBy(*one).orderBy("start")
+    shares = (
+        placed.withColumn("before", before).select(*one, "n", "notice", "need", F.explode(ends).alias("e"))
+        .groupBy(*one, "n", "notice", "need", "e.start").agg(F.sum("e.d").alias("d"))
+        .withColumn("share", F.sum("d").over(running)).withColumn("last", F.lead("start").over(running) - 1)
         .where("share >= need")
-        .select("key", (F.col("run") * F.col("step")).cast("int").alias("start"), "n").distinct()
     )
+    every = shares.where("notice").select("key", "n", F.explode(F.sequence("start", "last")).alias("start"))
+    long = shares.where("not notice").withColumn("new", (F.lag("last").over(running) + 1 != F.col("start")).cast("int"))
+    # Sums of the same shares in another order differ in their last digits.
+    held = F.round("share", 9)
+    best = (
+        long.withColumn("stretch", F.sum(F.coalesce("new", F.lit(0))).over(running))
+        .groupBy(*one, "n", "stretch")
+        .agg(F.min(F.struct(-held, "start")).alias("a"), F.max(F.struct(held, "last")).alias("b"))
+        .select("key", "n", F.explode(F.array("a.start", "b.last")).alias("start"))
+    )
+    return every.unionByName(best).select("key", "start", "n").distinct()
 
 
 def scan_licenses(
@@ -195,8 +250,10 @@ def scan_licenses(
     """Per file row: id, ``license``, ``cosine``, ``origin`` (``header``, ``file``,
     ``inherited`` or null) and ``source_dir`` of an inherited licence.
 
-    A licence file takes its own licence; of several in a directory the most similar
-    counts, then the first by name. Of several headers the most similar counts; a bare
+    A licence file takes its own licence: a file similar as a whole to a template that is
+    no notice (``NOTICE``), or to any if its name is one of ``FILE_NAMES``. Of several in a directory the most similar
+    counts, then the first by name. Of several headers
+    whole licence texts come before notices, then the most similar counts; a bare
     reservation of rights only counts where nothing else is found. A null text is empty,
     a null path has no ancestors. Rows that repeat id and text have equal results each.
     Other columns are not read.
@@ -233,19 +290,21 @@ def scan_licenses(
     needed = spark.createDataFrame(
         needed_terms(weights, idf, similar), "template int, term string, share double, need double"
     )
+    notices = {i for i, n in lengths.items() if n < NOTICE}
     sizes = spark.createDataFrame(
-        [(i, n, max(1, n // STEPS)) for i, n in sorted(lengths.items())], "template int, n int, step int"
+        [(i, n, i in notices) for i, n in sorted(lengths.items())], "template int, n int, notice boolean"
     )
     candidates = staged(
         known.select("key", F.explode("known").alias("term")).join(F.broadcast(needed), "term")
         .groupBy("key", "template", "need").agg(F.sum("share").alias("share")).where("share >= need")
-        .join(F.broadcast(sizes), "template").select("key", "template", "n", "step"),
+        .join(F.broadcast(sizes), "template").select("key", "template", "n", "notice"),
         "candidates",
     )
+    named = F.regexp_extract(F.lower(F.regexp_extract("path", r"[^/]*$", 0)), r"^[a-z]+", 0).isin(*FILE_NAMES)
     by_line = F.transform(F.split(F.coalesce("text", F.lit("")), "\n", -1), lambda x: terms(x))
     texts = staged(
         rows.join(own_exchange(candidates.select("key").distinct()), "key", "left_semi").dropDuplicates(["key"])
-        .select("key", by_line.alias("lines")),
+        .select("key", named.alias("named"), by_line.alias("lines")),
         "candidate_texts",
     )
     whole = texts.select("key", F.flatten("lines").alias("t"))
@@ -266,12 +325,15 @@ def scan_licenses(
     distinct = lines.select("piece", "t").unionByName(run_texts).groupBy("piece").agg(F.first("t").alias("t"))
     distinct = distinct.select(F.col("piece").alias("key"), "t")
     pieces = lines.select("key", "piece").unionByName(runs.select("key", "piece")).distinct()
-    of_piece = best_templates(distinct, weights, names, unknown, idf, similar)
+    of_piece = best_templates(distinct, weights, names, notices, unknown, idf, similar)
     headers = (
         pieces.join(own_exchange(of_piece.withColumnRenamed("key", "piece")), "piece")
-        .groupBy("key").agg(_best()).select("key", "best.license", (-F.col("best.c")).alias("cosine"))
+        .groupBy("key").agg(_best("notice")).select("key", "best.license", (-F.col("best.c")).alias("cosine"))
+    )
+    of_file = (
+        best_templates(whole, weights, names, notices, unknown, idf, similar)
+        .join(own_exchange(texts.select("key", "named")), "key").where("not notice or named")
     )
-    of_file = best_templates(whole, weights, names, unknown, idf, similar)
     found = staged(
         headers.select("key", "license", "cosine", F.lit("header").alias("origin"))
         .unionByName(of_file.select("key", "license", "cosine", F.lit("file").alias("origin")))
