@@ -3,8 +3,8 @@
 The kernel of two tokens counts the subsequences of three characters they share, each
 weighted by ``DECAY`` to the power of the stretch it spans in either token; stretches
 span at most ``REACH`` characters. So a token with a character put into, left out of or
-swapped in an insult still shares most of its subsequences. The kernel of sentences is the
-sum over their tokens' best landmarks.
+swapped in an insult still shares most of its subsequences. Subsequences lie within one
+token; for training, a sentence is its token nearest to a landmark.
 
 Nyström: ``LANDMARKS`` tokens of the labelled sentences that speak most for a toxic label
 span the feature space, whitened by the inverse root of their kernel matrix. A linear
