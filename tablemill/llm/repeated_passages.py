@@ -171,8 +171,8 @@ def repeated_passages(
     A null text has no words; texts shorter than a window lose none. Rows that share an
     id never remove each other's words; a null id counts as larger than all others, and
     passages shared by null ids only stay. The order of repeated rows is of no account.
-    Other columns are not read. Windows are told apart by 64 bits within the rows of an
-    equal anchor; the removal itself matches text.
+    Other columns are not read. Windows are told apart by 64 bits; the automaton of a bucket is
+    made of its own texts at the places these mark, not of the first document's.
     """
     dealt = _dealt(df, id_column, text_column, bucket_chars)
 
