@@ -8,20 +8,25 @@ smaller id is removed from the later one.
    does, and only every fourth word starts an anchor. Anchors are shuffled once and go
    back to the buckets of documents that hold repeated ones.
 2. Windows over repeated anchors are shuffled by hash; those that start in two documents
-   are confirmed, with the smallest document that has them.
-3. Every bucket is a shard: the confirmed passages that concern it (maximal runs of
-   windows) are compiled into an Aho-Corasick automaton, and all documents of the bucket
-   are streamed through it, which finds each occurrence on the text itself.
+   are candidates, and the smallest document that has them is their first.
+3. The bucket of the first document cuts the passages that others ask for (runs of
+   windows) out of its text and sends them to the buckets that asked.
+4. Every bucket is a shard: stretches of these texts that its documents seem to hold are
+   compiled into an Aho-Corasick automaton, and all documents of the bucket are streamed
+   through it. Words go where the text of a first document matches.
 
 A bucket has a few MB of text, so an automaton is bounded, and no shard reads documents
 of another. Before a shuffle each bucket reports a hash once, so a passage that stands in
-a third of all documents is one row per bucket.
+a third of all documents is one row per bucket. Buckets that ask for one window are dealt to
+relays of bounded number: the bucket of the first document answers the relays, these the
+buckets.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,6 +35,8 @@ from tablemill.spec import col
 SIZE = 13
 ANCHOR = 7
 BUCKET_CHARS = 6_000_000
+# Buckets, about, that get a window from one relay.
+ASKERS = 2_000
 NO_DOCUMENT = np.iinfo(np.int64).max
 
 M1, M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -61,30 +68,41 @@ class Bucket:
             (xxh3_64_intdigest(x) for w in words for x in w), np.uint64, int(self.begin[-1])
         )
         self.owner = np.repeat(np.arange(len(words)), sizes)
+        self.known = {1: self.hashes}
 
     def sequences(self, n: int) -> np.ndarray:
-        """Hash of the ``n`` words from every position where so many are left at all."""
-        count = max(0, len(self.hashes) - n + 1)
-        out = np.full(count, np.uint64(n), np.uint64)
-        for i in range(n):
-            out = mix(out * GOLDEN + self.hashes[i : i + count])
-        return out
-
-    def windows(self, size: int, anchor: int):
-        """Start, hash and anchor hash of every window inside one document."""
+        """Hash of the ``n`` words from every position where so many are left at all, out
+        of the hashes of its two halves."""
+        if n not in self.known:
+            left, right = self.sequences(n - n // 2), self.sequences(n // 2)
+            count = max(0, len(self.hashes) - n + 1)
+            self.known[n] = mix(left[:count] * GOLDEN + right[n - n // 2 :][:count])
+        return self.known[n]
+
+    def windows(self, size: int):
+        """Start and hash of every window inside one document."""
         found = self.sequences(size)
         starts = np.flatnonzero(self.owner[: len(found)] == self.owner[size - 1 : size - 1 + len(found)])
+        return starts, found[starts]
+
+    def anchors(self, starts: np.ndarray, size: int, anchor: int) -> np.ndarray:
+        """Smallest hash of the sequences of ``anchor`` words in each window."""
         parts = self.sequences(anchor)
-        least = parts[: len(found)].copy()
+        count = max(0, len(self.hashes) - size + 1)
+        least = parts[:count].copy()
         for i in range(1, size - anchor + 1):
-            np.minimum(least, parts[i : i + len(found)], out=least)
-        return starts, found[starts], least[starts]
+            np.minimum(least, parts[i : i + count], out=least)
+        return least[starts]
 
 
 def read_bucket(table: pa.Table) -> Bucket:
     return Bucket(table.column("id").to_numpy(), [split(t) for t in table.column("text").to_pylist()])
 
 
+def hashes(column: pa.ChunkedArray) -> np.ndarray:
+    return column.to_numpy().view(np.uint64)
+
+
 def least_by_key(keys: np.ndarray, values: np.ndarray):
     """Distinct keys with their smallest and largest value."""
     order = np.lexsort((values, keys))
@@ -94,50 +112,103 @@ def least_by_key(keys: np.ndarray, values: np.ndarray):
     return keys[first], values[first], values[last] if len(keys) else values
 
 
-def passages(bucket: Bucket, starts: np.ndarray, removable: np.ndarray, first: np.ndarray, size: int):
-    """Maximal runs of removable windows: document, first word, end, and the largest of
-    the documents in which the windows of the run start first."""
-    hit = np.flatnonzero(removable)
-    if len(hit) == 0:
+def stretches(*steps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last index of the stretches in which all but the last of the given arrays
+    go on by one and the last stays the same."""
+    moves = [np.diff(x) != 1 for x in steps[:-1]] + [np.diff(steps[-1]) != 0]
+    cut = np.flatnonzero(np.logical_or.reduce(moves)) + 1
+    return np.append(0, cut), np.append(cut, len(steps[-1])) - 1
+
+
+def asked_passages(bucket: Bucket, w: np.ndarray, first: np.ndarray, asker: np.ndarray, size: int):
+    """Asker, document and text of the longest runs of windows that an asker wants of a
+    document, where they start there first."""
+    starts, found = bucket.windows(size)
+    ids = bucket.ids[bucket.owner[starts]]
+    wanted = np.unique(w)
+    mine = np.flatnonzero(np.isin(ids, first))
+    if len(wanted):
+        mine = mine[wanted[np.minimum(np.searchsorted(wanted, found[mine]), len(wanted) - 1)] == found[mine]]
+    # The first place of each window in its document, by window and document.
+    order = mine[np.lexsort((starts[mine], ids[mine], found[mine]))]
+    keys, docs = found[order], ids[order]
+    new = np.ones(len(order), bool)
+    new[1:] = (keys[1:] != keys[:-1]) | (docs[1:] != docs[:-1])
+    places, keys, docs = starts[order[new]], keys[new], docs[new]
+    # Windows of one hash in several documents are told apart by the document asked for.
+    ranks = np.unique(np.concatenate([docs, first]))
+    known, pairs = _pair(keys, docs, wanted, ranks), _pair(w, first, wanted, ranks)
+    by_pair = np.argsort(known)
+    spot = np.minimum(np.searchsorted(known, pairs, sorter=by_pair), max(0, len(known) - 1))
+    hit = known[by_pair[spot]] == pairs if len(known) else np.zeros(len(pairs), bool)
+    at, asker = places[by_pair[spot[hit]]] if len(known) else places, asker[hit]
+    order = np.lexsort((at, asker))
+    at, asker = at[order], asker[order]
+    if len(at) == 0:
         return
-    at = starts[hit]
-    owner = bucket.owner[at]
-    cut = np.flatnonzero((np.diff(at) != 1) | (np.diff(owner) != 0)) + 1
-    for a, b in zip(np.concatenate([[0], cut]), np.append(cut, len(hit))):
-        doc = int(owner[a])
-        yield doc, int(at[a] - bucket.begin[doc]), int(at[b - 1] - bucket.begin[doc]) + size, int(first[hit[a:b]].max())
+    # Windows of two documents never stand side by side: the last words of a document start none.
+    for a, b in zip(*stretches(at, asker)):
+        doc = int(bucket.owner[at[a]])
+        left = int(at[a] - bucket.begin[doc])
+        text = b" ".join(bucket.words[doc][left : left + int(at[b] - at[a]) + size])
+        yield int(asker[a]), int(bucket.ids[doc]), text.decode()
 
 
-def removed_words(bucket: Bucket, confirmed: np.ndarray, first: np.ndarray, size: int, anchor: int) -> list[np.ndarray]:
-    """A mask of removed words per document, by an automaton of the bucket's passages."""
+def _pair(w: np.ndarray, doc: np.ndarray, windows: np.ndarray, docs: np.ndarray) -> np.ndarray:
+    """One number per pair of known window and document."""
+    return np.searchsorted(windows, w) * np.int64(len(docs)) + np.searchsorted(docs, doc)
+
+
+def removed_words(bucket: Bucket, passages: Bucket, size: int) -> list[np.ndarray]:
+    """A mask of removed words per document. ``passages`` are texts of first documents; the
+    automaton is made of their stretches whose hashes stand in a document side by side."""
     import ahocorasick
 
     masks = [np.zeros(len(w), bool) for w in bucket.words]
-    if len(confirmed) == 0 or len(bucket.hashes) < size:
+    if len(passages.hashes) < size or len(bucket.hashes) < size:
+        return masks
+    theirs, keys = passages.windows(size)
+    first = passages.ids[passages.owner[theirs]]
+    order = np.lexsort((theirs, first, keys))
+    order = order[np.diff(keys[order], prepend=~keys[order[:1]]) != 0]
+    theirs, keys, first = theirs[order], keys[order], first[order]
+    starts, found = bucket.windows(size)
+    place = np.minimum(np.searchsorted(keys, found), len(keys) - 1)
+    hit = np.flatnonzero((keys[place] == found) & (first[place] < bucket.ids[bucket.owner[starts]]))
+    if len(hit) == 0:
         return masks
-    starts, found, _ = bucket.windows(size, anchor)
-    place = np.minimum(np.searchsorted(confirmed, found), len(confirmed) - 1)
-    origin = np.where(confirmed[place] == found, first[place], NO_DOCUMENT)
-    removable = origin < bucket.ids[bucket.owner[starts]]
-    joined = [" " + b" ".join(w).decode() + " " for w in bucket.words]
-    ends = [np.cumsum([len(x) + 1 for x in t[1:-1].split(" ")]) if w else None for t, w in zip(joined, bucket.words)]
     automaton = ahocorasick.Automaton()
-    for doc, a, b, origin_of_run in passages(bucket, starts, removable, origin, size):
-        # From the blank before the first word to the one behind the last.
-        left = int(ends[doc][a - 1]) if a else 0
-        text = joined[doc][left : int(ends[doc][b - 1]) + 1]
+    runs = list(zip(*stretches(starts[hit], theirs[place[hit]], bucket.owner[starts[hit]])))
+
+    def add(a: int, b: int) -> str:
+        """Windows ``a`` to ``b`` of the hits as the first document has them."""
+        at = int(theirs[place[hit[a]]])
+        doc = int(passages.owner[at])
+        at -= int(passages.begin[doc])
+        words = passages.words[doc][at : at + b - a + size]
+        text = " " + b" ".join(words).decode() + " "
         known = automaton.get(text, None)
-        if known is None or known[1] > origin_of_run:
-            automaton.add_word(text, (b - a, origin_of_run))
-    if not len(automaton):
-        return masks
+        if known is None or known[1] > passages.ids[doc]:
+            automaton.add_word(text, (len(words), int(passages.ids[doc])))
+        return text
+
+    def same(a: int, b: int, text: str) -> bool:
+        doc = int(bucket.owner[starts[hit[a]]])
+        left = int(starts[hit[a]] - bucket.begin[doc])
+        return b" ".join(bucket.words[doc][left : left + b - a + size]).decode() == text[1:-1]
+
+    for a, b in runs:
+        # Equal hashes of different texts: each window of the run stands for itself.
+        if not same(a, b, add(a, b)):
+            for i in range(a, b + 1):
+                add(i, i)
     automaton.make_automaton()
-    for doc, text in enumerate(joined):
-        if not bucket.words[doc]:
-            continue
-        for end, (length, origin_of_run) in automaton.iter(text):
-            if origin_of_run < bucket.ids[doc]:
-                last = int(np.searchsorted(ends[doc], end)) + 1
+    for doc in np.unique(bucket.owner[starts[hit]]).tolist():
+        text = " " + b" ".join(bucket.words[doc]).decode() + " "
+        ends = np.cumsum([len(x) + 1 for x in text[1:-1].split(" ")])
+        for end, (length, origin) in automaton.iter(text):
+            if origin < bucket.ids[doc]:
+                last = int(np.searchsorted(ends, end)) + 1
                 masks[doc][last - length : last] = True
     return masks
 
@@ -171,15 +242,16 @@ def repeated_passages(
     A null text has no words; texts shorter than a window lose none. Rows that share an
     id never remove each other's words; a null id counts as larger than all others, and
     passages shared by null ids only stay. The order of repeated rows is of no account.
-    Other columns are not read. Windows are told apart by 64 bits; the automaton of a bucket is
-    made of its own texts at the places these mark, not of the first document's.
+    Ids are whole numbers; other columns are not read. Hashes of 64 bits only propose: a word goes
+    where the text of a smaller document matches. Where two windows share a hash, one that
+    repeats may stay; none goes that does not.
     """
     dealt = _dealt(df, id_column, text_column, bucket_chars)
 
     def anchors(table: pa.Table) -> pa.Table:
         bucket = read_bucket(table)
-        starts, _, anchor_of = bucket.windows(size, anchor)
-        keys, low, high = least_by_key(anchor_of, bucket.ids[bucket.owner[starts]])
+        starts, _ = bucket.windows(size)
+        keys, low, high = least_by_key(bucket.anchors(starts, size, anchor), bucket.ids[bucket.owner[starts]])
         number = table.column("bucket")[0].as_py() if table.num_rows else 0
         # Twice the bucket's number, and one more where two of its documents have it.
         report = np.full(len(keys), 2 * number, np.int64) + (low != high)
@@ -199,8 +271,9 @@ def repeated_passages(
         if left.num_rows and right.num_rows:
             number = left.column("bucket")[0].as_py()
             bucket = read_bucket(left)
-            starts, found, anchor_of = bucket.windows(size, anchor)
-            wanted = np.sort(right.column("anchor").to_numpy().view(np.uint64))
+            starts, found = bucket.windows(size)
+            anchor_of = bucket.anchors(starts, size, anchor)
+            wanted = np.sort(hashes(right.column("anchor")))
             place = np.minimum(np.searchsorted(wanted, anchor_of), len(wanted) - 1)
             hit = wanted[place] == anchor_of
             keys, low, high = least_by_key(found[hit], bucket.ids[bucket.owner[starts[hit]]])
@@ -214,23 +287,51 @@ def repeated_passages(
         .applyInArrow(windows, "w long, bucket int, low long, twice boolean")
     )
     every = Window.partitionBy("w")
-    confirmed = (
-        found.withColumn("n", F.count("*").over(every)).withColumn("first", F.min("low").over(every))
+    asked = (
+        found.withColumn("n", F.count("*").over(every)).withColumn("first", F.min(F.struct("low", "bucket")).over(every))
         # The bucket of the first document alone has nothing to remove.
-        .where("(n > 1 and low > first) or twice")
-        .select("bucket", "w", "first")
+        .where(((F.col("n") > 1) & (F.col("low") > F.col("first.low"))) | F.col("twice"))
+        .select(
+            F.col("first.bucket").alias("home"),
+            F.pmod(F.xxhash64("bucket"), F.ceil(F.col("n") / F.lit(ASKERS)).cast("long")).cast("int").alias("relay"),
+            F.col("bucket").alias("asker"), "w", F.col("first.low").alias("first"),
+        )
+        .where(F.col("first") < NO_DOCUMENT)
+    )
+
+    def answer(texts: pa.Table, asks: pa.Table, who: str) -> tuple[list[int], list[int], list[str]]:
+        """Passages that relays or buckets ask for, out of the documents asked of."""
+        first = asks.column("first").to_numpy()
+        some = texts.filter(pc.is_in(texts.column("id"), pa.array(np.unique(first), pa.int64())))
+        rows = asked_passages(read_bucket(some), hashes(asks.column("w")), first, asks.column(who).to_numpy(), size)
+        return tuple(map(list, zip(*rows))) or ([], [], [])
+
+    def to_relays(left: pa.Table, right: pa.Table) -> pa.Table:
+        relay, ids, texts = answer(left, right, "relay")
+        home = np.full(len(ids), right.column("home")[0].as_py() if right.num_rows else 0, np.int32)
+        return pa.table({"home": home, "relay": pa.array(relay, pa.int32()), "id": pa.array(ids, pa.int64()), "text": pa.array(texts, pa.string())})
+
+    def to_buckets(left: pa.Table, right: pa.Table) -> pa.Table:
+        bucket, ids, texts = answer(left, right, "asker")
+        return pa.table({"bucket": pa.array(bucket, pa.int32()), "id": pa.array(ids, pa.int64()), "text": pa.array(texts, pa.string())})
+
+    relayed = (
+        dealt.groupBy("bucket").cogroup(asked.select("home", "relay", "w", "first").distinct().groupBy("home"))
+        .applyInArrow(to_relays, "home int, relay int, id long, text string")
+    )
+    passages = (
+        relayed.groupBy("home", "relay").cogroup(asked.groupBy("home", "relay"))
+        .applyInArrow(to_buckets, "bucket int, id long, text string")
     )
 
     def remove(left: pa.Table, right: pa.Table) -> pa.Table:
         bucket = read_bucket(left)
-        w = right.column("w").to_numpy().view(np.uint64)
-        order = np.argsort(w)
-        masks = removed_words(bucket, w[order], right.column("first").to_numpy()[order], size, anchor)
+        masks = removed_words(bucket, read_bucket(right), size)
         spans, kept = [], []
         for words, mask in zip(bucket.words, masks):
             edges = np.flatnonzero(np.diff(np.concatenate([[0], mask.view(np.int8), [0]])))
             spans.append([{"first": int(a), "end": int(b)} for a, b in edges.reshape(-1, 2)])
-            kept.append(b" ".join([x for x, gone in zip(words, mask.tolist()) if not gone]).decode())
+            kept.append(b" ".join([x for x, gone in zip(words, mask.tolist()) if not gone] if len(edges) else words).decode())
         ids = pa.array([None if n else i for i, n in zip(bucket.ids.tolist(), left.column("no_id").to_pylist())], pa.int64())
         return pa.table({
             id_column: ids,
@@ -241,4 +342,4 @@ def repeated_passages(
         })
 
     schema = f"`{id_column}` long, n_words long, n_removed long, spans array<struct<first:long,end:long>>, kept string"
-    return dealt.groupBy("bucket").cogroup(confirmed.groupBy("bucket")).applyInArrow(remove, schema)
+    return dealt.groupBy("bucket").cogroup(passages.groupBy("bucket")).applyInArrow(remove, schema)

@@ -155,6 +155,66 @@ def test_repeated_passages(spark):
     assert [r.n_removed for r in repeated_passages.repeated_passages(twice, size=6, anchor=3).collect()] == [0, 0]
 
 
+def by_parts(texts, size):
+    """What the steps behind the candidates remove, without Spark: passages asked of one bucket
+    with the first half of the documents by another with the rest."""
+    half = len(texts) // 2
+    parts = [
+        repeated_passages.Bucket(np.array(ids, np.int64), [repeated_passages.split(texts[i]) for i in ids])
+        for ids in (range(half), range(half, len(texts)))
+    ]
+    starts, found = parts[0].windows(size)
+    keys, low, _ = repeated_passages.least_by_key(found, parts[0].ids[parts[0].owner[starts]])
+    asked = np.isin(keys, parts[1].windows(size)[1])
+    rows = list(repeated_passages.asked_passages(parts[0], keys[asked], low[asked], np.ones(asked.sum(), np.int64), size))
+    for asker, doc, text in rows:
+        assert asker == 1 and f" {text} " in f" {' '.join(texts[doc].split())} "
+    sent = repeated_passages.Bucket(np.array([r[1] for r in rows], np.int64), [repeated_passages.split(r[2]) for r in rows])
+    return parts[1], repeated_passages.removed_words(parts[1], sent, size)
+
+
+def covered(texts, size):
+    """Words of the later half inside a window of the first half."""
+    half = len(texts) // 2
+    first = {tuple(w[i : i + size]) for w in map(str.split, texts[:half]) for i in range(len(w) - size + 1)}
+    out = []
+    for w in map(str.split, texts[half:]):
+        gone = np.zeros(len(w), bool)
+        for i in range(len(w) - size + 1):
+            if tuple(w[i : i + size]) in first:
+                gone[i : i + size] = True
+        out.append(gone)
+    return out
+
+
+def test_passages_of_first_documents_decide(monkeypatch):
+    rng = random.Random(31)
+    texts = [" ".join(rng.choice("abc") for _ in range(rng.randint(0, 80))) for _ in range(40)]
+    truth = covered(texts, 6)
+    _, masks = by_parts(texts, 6)
+    assert sum(t.sum() for t in truth) > 100
+    assert [m.tolist() for m in masks] == [t.tolist() for t in truth]
+    # Hashes of three bits make nearly all windows candidates; no word goes that the text does not confirm.
+    plain = repeated_passages.mix
+    monkeypatch.setattr(repeated_passages, "mix", lambda x: plain(x) & np.uint64(7))
+    _, masks = by_parts(texts, 6)
+    assert all(not (m & ~t).any() for m, t in zip(masks, truth))
+    other = ["x1 x2 x3 x4 x5 x6 x7 x8 x9", "y1 y2 y3 y4 y5 y6 y7 y8 y9"]
+    monkeypatch.setattr(repeated_passages, "mix", lambda x: x & np.uint64(0))
+    bucket, masks = by_parts(other, 6)
+    assert len(np.unique(bucket.windows(6)[1])) == 1 and not masks[0].any()
+
+
+def test_hot_passages_go_through_several_relays(spark, monkeypatch):
+    monkeypatch.setattr(repeated_passages, "ASKERS", 4)
+    rng = random.Random(32)
+    shared = " ".join(rng.choice("abcdefgh") for _ in range(30))
+    texts = [f"{' '.join(rng.choice('ijklmnop') for _ in range(20))} {shared} tail{i} of it" for i in range(60)]
+    got = repeated_passages.repeated_passages(docs(spark, texts), size=6, anchor=3, bucket_chars=300).orderBy("doc_id").collect()
+    assert [(r.n_words, r.kept) for r in got] == removed(texts, 6)
+    assert sum(r.n_removed >= 30 for r in got) == 59
+
+
 # 4
 
 
