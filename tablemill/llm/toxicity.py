@@ -3,8 +3,14 @@
 The kernel of two tokens counts the subsequences of three characters they share, each
 weighted by ``DECAY`` to the power of the stretch it spans in either token; stretches
 span at most ``REACH`` characters. So a token with a character put into, left out of or
-swapped in an insult still shares most of its subsequences. Subsequences lie within one
-token; for training, a sentence is its token nearest to a landmark.
+swapped in an insult still shares most of its subsequences. For training, a sentence is its
+token nearest to a landmark.
+
+A token with signs or digits among its letters also counts as its letters alone, digits that
+look like letters read as such (``idi0t``, ``m-oron``). Where a token is none the labelled
+documents have in common, subsequences also run across the blank to its neighbours (``id
+iot``); such a pair counts if it says more than its parts. The value of a token is that of
+its best stretch of ``SPAN`` characters, wherever it begins; shorter ones are one stretch.
 
 Nyström: ``LANDMARKS`` tokens of the labelled sentences that speak most for a toxic label
 span the feature space, whitened by the inverse root of their kernel matrix. A linear
@@ -30,6 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablemill.llm.sentencepiece_codec import slices
 from tablemill.operators.joins import own_exchange
 from tablemill.spec import col
 
@@ -40,17 +47,20 @@ LANDMARKS = 160
 TOXIC_SAMPLE, CLEAN_SAMPLE = 2_000, 4_000
 # Clean sentences the machine is trained on at most: those nearest to a landmark.
 HARD_SENTENCES = 20_000
-# Characters of landmarks that are told apart, by frequency; others are one.
-ALPHABET = 160
 THRESHOLD = 0.7
 # Tokens remembered by a worker before it starts anew.
 REMEMBERED = 200_000
-ROWS_AT_ONCE = 500
-# Characters of a token compared at once; longer ones are taken in overlapping stretches.
-STRETCH, OVERLAP = 40, 20
+# Labelled texts whose values are computed at once.
+TEXTS_AT_ONCE = 500
+# Characters of the longest stretch that counts as one.
+SPAN = 40
+# Characters of texts scored at once.
+CHARS_AT_ONCE = 2_000_000
 
 SENTENCE = re.compile(r"[.!?\n]+")
 STRIP = "\"'`.,;:!?()[]{}<>|/\\*#$%&+=~^_-"
+# Signs that stand for letters.
+LOOKALIKES = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"})
 # Three positions within REACH of the first: their offsets and the stretch spanned.
 SHAPES = [(j, k) for k in range(2, REACH) for j in range(1, k)]
 
@@ -74,10 +84,25 @@ def tokens_of(sentence: str) -> list[str]:
     return out
 
 
-def stretches(token: str) -> list[str]:
-    if len(token) <= STRETCH:
-        return [token]
-    return [token[i : i + STRETCH] for i in range(0, len(token) - OVERLAP, STRETCH - OVERLAP)]
+def letters_of(token: str) -> str:
+    """The letters of a token that has other characters among them, else the token."""
+    if token.isalpha() or not any(c.isalpha() for c in token):
+        return token
+    letters = "".join(c for c in token.translate(LOOKALIKES) if c.isalpha())
+    return letters if len(letters) > 2 else token
+
+
+def neighbours(text: str, known: frozenset[str]) -> list[tuple[str, str]]:
+    """Adjacent words of letters with nothing but white space between, one of them unknown.
+    Words of one or two letters count as known."""
+    raw = text.lower().split()
+    new = [i for i, w in enumerate(raw) if w not in known and len(w) > 2 and w.strip(STRIP) not in known]
+    found = {}
+    for i in new:
+        for at in (i - 1, i):
+            if 0 <= at < len(raw) - 1 and raw[at].isalpha() and raw[at + 1].isalpha():
+                found[at] = raw[at], raw[at + 1]
+    return list(found.values())
 
 
 def subsequences(tokens: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -106,40 +131,57 @@ def norms_of(sizes: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Model:
-    """Weight of every subsequence of three characters of ``alphabet`` (sorted code
-    points; number 0 is any other character), and the logistic layer over documents."""
+    """Weights of subsequences of three characters out of ``alphabet`` (sorted code points of the
+    landmarks; number 0 is any other character, which has none), by the row in ``pairs`` of the
+    first two and the number of the third; the tokens that labelled documents have in common;
+    and the logistic layer over documents."""
 
     alphabet: np.ndarray
+    pairs: np.ndarray
     weights: np.ndarray
     bias: float
+    known: frozenset[str]
     mean: np.ndarray
     scale: np.ndarray
     layer: np.ndarray
     base: float
 
     def token_scores(self, tokens: list[str]) -> np.ndarray:
-        """Decision value of every token: the best of its stretches."""
+        """Decision value of every token, or of its letters if that is larger."""
+        letters = [letters_of(t) for t in tokens]
+        other = [i for i, t in enumerate(tokens) if letters[i] != t]
+        values = self.stretch_scores(tokens)
+        if other:
+            values[other] = np.maximum(values[other], self.stretch_scores([letters[i] for i in other]))
+        return values
+
+    def stretch_scores(self, tokens: list[str]) -> np.ndarray:
+        """Decision value of the best stretch of every token."""
         if not tokens or not len(self.alphabet):
             return np.full(len(tokens), self.bias)
-        parts = [stretches(t) for t in tokens]
-        flat = [p for x in parts for p in x]
-        sizes = np.array([len(p) for p in flat], np.int64)
-        chars = np.frombuffer("".join(f" {p} " for p in flat).encode("utf-32-le"), np.uint32)
+        sizes = np.array([len(t) for t in tokens], np.int64)
+        chars = np.frombuffer("".join(f" {t} " for t in tokens).encode("utf-32-le"), np.uint32)
         place = np.minimum(np.searchsorted(self.alphabet, chars), len(self.alphabet) - 1)
         number = np.where(self.alphabet[place] == chars, place + 1, 0)
         n = len(self.alphabet) + 1
-        # A stretch must not reach into the next token.
+        # A subsequence must not reach into the next token.
         left = np.repeat(np.cumsum(sizes + 2), sizes + 2) - np.arange(len(chars))
-        total = np.zeros(len(chars))
+        by_reach = {k: np.zeros(len(chars)) for k in range(2, REACH)}
         for j, k in SHAPES:
             if len(chars) > k:
                 m = len(chars) - k
-                code = (number[:m] * n + number[j : j + m]) * n + number[k:]
-                total[:m] += self.weights[code] * (DECAY ** (k - 2) * (left[:m] > k))
+                row = self.pairs[number[:m] * n + number[j : j + m]]
+                by_reach[k][:m] += self.weights[row, number[k:]] * (DECAY ** (k - 2) * (left[:m] > k))
         begin = np.concatenate([[0], np.cumsum(sizes + 2)[:-1]])
-        values = np.add.reduceat(total, begin) / norms_of(sizes)
-        first = np.concatenate([[0], np.cumsum([len(x) for x in parts])[:-1]])
-        return np.maximum.reduceat(values, first) + self.bias
+        values = np.add.reduceat(sum(by_reach.values()), begin) / norms_of(np.minimum(sizes, SPAN))
+        for i in np.flatnonzero(sizes > SPAN):
+            count = int(sizes[i]) - SPAN + 1
+            sums = np.zeros(count)
+            for k, total in by_reach.items():
+                upto = np.concatenate([[0.0], np.cumsum(total[begin[i] : begin[i] + sizes[i] + 2])])
+                sums += upto[SPAN + 2 - k :][:count] - upto[:count]
+            values[i] = sums.max() / norms_of(np.array([SPAN]))[0]
+        return values + self.bias
 
     def score(self, features: np.ndarray) -> np.ndarray:
         z = ((features - self.mean) / self.scale) @ self.layer + self.base
@@ -167,15 +209,22 @@ class Scorer:
         self.model, self.known = model, {}
 
     def values(self, texts: list[str]) -> list[np.ndarray]:
+        """Values of the tokens of each text, then those of neighbours that say more together."""
         split = [tokens_of(x) for x in texts]
+        pairs = [neighbours(x, self.model.known) for x in texts]
         every = {t for x in split for t in x}
+        for x in pairs:
+            for a, b in x:
+                every.update((a, b, a + b))
         fresh = list(every.difference(self.known))
         if len(self.known) + len(fresh) > REMEMBERED:
             self.known, fresh = {}, list(every)
         for start in range(0, len(fresh), 5000):
             part = fresh[start : start + 5000]
             self.known.update(zip(part, self.model.token_scores(part).tolist()))
-        return [np.array([self.known[t] for t in x]) for x in split]
+        value = self.known
+        together = [[v for a, b in x if (v := value[a + b]) > max(0.0, value[a], value[b])] for x in pairs]
+        return [np.array([value[t] for t in x] + more) for x, more in zip(split, together)]
 
     def score(self, texts: list[str]) -> np.ndarray:
         return self.model.score(np.array([document_features(v) for v in self.values(texts)]).reshape(-1, 5))
@@ -264,7 +313,9 @@ def fit(texts: list[str], labels: list[int], landmarks: int = LANDMARKS) -> Mode
     if not marks:
         share = float(y.mean()) if len(y) else 0.0
         base = float(np.log((share + 1e-3) / (1 - share + 1e-3)))
-        return Model(np.empty(0, np.int64), np.empty(0), -1.0, np.zeros(5), np.ones(5), np.zeros(5), base)
+        nothing = np.empty(0, np.int64), np.zeros(1, np.int64), np.zeros((1, 1))
+        return Model(*nothing, -1.0, frozenset(), np.zeros(5), np.ones(5), np.zeros(5), base)
+    known = common_tokens(documents)
     gram = kernel_rows(marks, marks)
     values, vectors = np.linalg.eigh((gram + gram.T) / 2)
     good = values > 1e-6 * values.max()
@@ -303,28 +354,37 @@ def fit(texts: list[str], labels: list[int], landmarks: int = LANDMARKS) -> Mode
             np.r_[times, clean_times].astype(float),
         )
         value = space @ w + b
-    model = fold(marks, root @ w, float(b))
+    model = fold(marks, root @ w, float(b), known)
     scorer = Scorer(model)
     features = np.array([
-        document_features(v) for i in range(0, len(texts), ROWS_AT_ONCE) for v in scorer.values(texts[i : i + ROWS_AT_ONCE])
+        document_features(v) for i in range(0, len(texts), TEXTS_AT_ONCE) for v in scorer.values(texts[i : i + TEXTS_AT_ONCE])
     ]).reshape(-1, 5)
     model.mean, model.scale, model.layer, model.base = logistic_layer(features, y)
     return model
 
 
-def fold(marks: list[str], alpha: np.ndarray, bias: float) -> Model:
+def common_tokens(documents: list[list[list[str]]]) -> frozenset[str]:
+    """Tokens that stand in two of the documents."""
+    once, common = set(), set()
+    for sentences in documents:
+        here = {t for s in sentences for t in s}
+        common |= here & once
+        once |= here
+    return frozenset(common)
+
+
+def fold(marks: list[str], alpha: np.ndarray, bias: float, known: frozenset[str]) -> Model:
     """Landmarks and their weights as one weight per subsequence."""
-    common = [c for c, _ in sorted(Counter("".join(f" {m} " for m in marks)).items(), key=lambda x: (-x[1], x[0]))]
-    alphabet = np.sort(np.array([ord(c) for c in common[:ALPHABET]], np.int64))
+    alphabet = np.unique(np.array([ord(c) for m in marks for c in f" {m} "], np.int64))
     n = len(alphabet) + 1
     who, codes, weights, norms = subsequences(marks)
-    spots = np.zeros(len(codes), np.int64)
-    for shift in (42, 21, 0):
-        chars = (codes >> shift) & ((1 << 21) - 1)
-        place = np.minimum(np.searchsorted(alphabet, chars), n - 2)
-        spots = spots * n + np.where(alphabet[place] == chars, place + 1, 0)
-    folded = np.bincount(spots, alpha[who] * weights / norms[who], minlength=n**3)
-    return Model(alphabet, folded, bias, np.zeros(5), np.ones(5), np.zeros(5), 0.0)
+    one, two, three = (np.searchsorted(alphabet, (codes >> shift) & ((1 << 21) - 1)) + 1 for shift in (42, 21, 0))
+    used, row = np.unique(one * n + two, return_inverse=True)
+    pairs = np.zeros(n * n, np.int64)
+    pairs[used] = np.arange(1, len(used) + 1)
+    folded = np.zeros((len(used) + 1, n))
+    np.add.at(folded, (row + 1, three), alpha[who] * weights / norms[who])
+    return Model(alphabet, pairs, folded, bias, known, np.zeros(5), np.ones(5), np.zeros(5), 0.0)
 
 
 def labelled_sample(
@@ -372,8 +432,7 @@ def score_toxicity(
     def run(batches):
         scorer = Scorer(model)
         for batch in batches:
-            for start in range(0, batch.num_rows, ROWS_AT_ONCE):
-                part = batch.slice(start, ROWS_AT_ONCE)
+            for part in slices(batch, names.index(text_column), CHARS_AT_ONCE):
                 score = scorer.score([t or "" for t in part.column(names.index(text_column)).to_pylist()])
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(names.index(n)) for n in taken), pa.array(score),

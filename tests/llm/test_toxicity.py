@@ -55,18 +55,46 @@ def fitted(spark):
     return texts, values, toxicity.train_toxicity(documents, labels), documents
 
 
-def plain_score(model, text):
-    """A document's score with one dictionary of subsequences, token by token."""
+def plain_weights(model):
+    """Weight of every subsequence of a model."""
     n = len(model.alphabet) + 1
-    number = {chr(c): i + 1 for i, c in enumerate(model.alphabet)}
-    values = []
-    for token in toxicity.tokens_of(text):
-        assert len(token) <= toxicity.STRETCH
-        total = 0.0
-        for s, w in subsequences(token).items():
-            a, b, c = (number.get(x, 0) for x in s)
-            total += w * model.weights[(a * n + b) * n + c]
-        values.append(total / norm(token) + model.bias)
+    return {
+        chr(model.alphabet[ab // n - 1]) + chr(model.alphabet[ab % n - 1]) + chr(model.alphabet[c - 1]): model.weights[row, c]
+        for ab, row in enumerate(model.pairs.tolist()) if row for c in range(1, n)
+    }
+
+
+def plain_value(model, weights, token):
+    """The best stretch of a token or of its letters, each stretch enumerated by itself."""
+    def of(text):
+        framed, reach = f" {text} ", toxicity.SPAN + 2
+        values = []
+        for at in range(max(1, len(framed) - reach + 1)):
+            part, total = framed[at : at + reach], 0.0
+            for i in range(len(part)):
+                for k in range(i + 2, min(i + toxicity.REACH, len(part))):
+                    for j in range(i + 1, k):
+                        total += toxicity.DECAY ** (k - i - 2) * weights.get(part[i] + part[j] + part[k], 0.0)
+            values.append(total / norm("x" * min(len(text), toxicity.SPAN)))
+        return max(values) + model.bias
+
+    alike = dict(zip("013457@$!", "oieastasi"))
+    letters = "".join(alike.get(c, c) for c in token if c in alike or c.isalpha())
+    mixed = not token.isalpha() and any(c.isalpha() for c in token) and len(letters) > 2
+    return max(of(token), of(letters)) if mixed else of(token)
+
+
+def plain_score(model, weights, text):
+    """A document's score with one dictionary of subsequences, token by token."""
+    values = [plain_value(model, weights, t) for t in toxicity.tokens_of(text)]
+    words = text.lower().split()
+    unknown = [len(w) > 2 and w not in model.known and w.strip(toxicity.STRIP) not in model.known for w in words]
+    pairs = {(i, a, b) for i, (a, b) in enumerate(zip(words, words[1:])) if (unknown[i] or unknown[i + 1])}
+    for _, a, b in pairs:
+        if a.isalpha() and b.isalpha():
+            one, two, both = (plain_value(model, weights, x) for x in (a, b, a + b))
+            if both > max(0, one, two):
+                values.append(both)
     values.sort(reverse=True)
     positive = [v for v in values if v > 0]
     features = [
@@ -78,18 +106,44 @@ def plain_score(model, text):
 
 
 def test_scores_of_all_documents_by_a_plain_version(spark, fitted):
-    _, _, model, documents = fitted
+    _, _, model, _ = fitted
     small = spark.read.parquet(f"{SMALL}/documents.parquet")
-    got = toxicity.score_toxicity(small, model).collect()
-    texts = {r.doc_id: r.text or "" for r in small.collect()}
-    short = {i: x for i, x in texts.items() if all(len(t) <= toxicity.STRETCH for t in toxicity.tokens_of(x))}
-    assert len(got) == len(texts) and len(short) > 50
+    odd = spark.createDataFrame(
+        [(-1, "you id iot and stu pid mor on"), (-2, "an idi0t, a m-oron " + "moronidiot" * 9), (-3, "日本語 ab c d e f1 " + "x" * 43)],
+        "doc_id long, text string",
+    )
+    both = small.select("doc_id", "text").unionByName(odd)
+    got = toxicity.score_toxicity(both, model).collect()
+    texts = {r.doc_id: r.text or "" for r in both.collect()}
+    weights = plain_weights(model)
+    assert len(got) == len(texts) > 50
     for r in got:
-        if r.doc_id in short:
-            assert r.score == pytest.approx(plain_score(model, short[r.doc_id]), abs=1e-9)
+        assert r.score == pytest.approx(plain_score(model, weights, texts[r.doc_id]), abs=1e-9)
         assert r.predicted == (r.score >= toxicity.THRESHOLD)
 
 
+def test_split_swapped_and_hyphenated_insults_score_as_the_insult():
+    bad = ["you are an idiot", "what a moron", "so stupid", "idiot and moron", "stupid idiot", "moron"] * 5
+    good = ["a fine day", "the window is green", "on the table", "what a day", "so good", "an apple and a pear"] * 15
+    model = toxicity.fit(bad + good, [1] * len(bad) + [0] * len(good), 10)
+    scorer = toxicity.Scorer(model)
+    for text in ("idiot", "id iot", "mor on", "stu pid", "idi0t", "m-oron", "st.upid", "idi" + "iot" * 30):
+        assert scorer.values([text])[0].max() > 0, text
+    for text in ("a fine on", "the day on table", "green pear 12", "", "x" * 100):
+        values = scorer.values([text])[0]
+        assert not len(values) or values.max() < 0, text
+
+
+def test_many_scripts_are_told_apart():
+    """Every character of the landmarks counts as itself, however many there are."""
+    words = ["".join(chr(0x4E00 + 7 * i + j) for j in range(4)) for i in range(100)]
+    texts = words * 3 + [w[::-1] for w in words] * 9
+    model = toxicity.fit(texts, [1] * 300 + [0] * 900, 100)
+    assert len(model.alphabet) > 300
+    scores = toxicity.Scorer(model).score(words + [w[::-1] for w in words])
+    assert scores[:100].min() > scores[100:].max()
+
+
 def test_labels_that_are_held_out_are_never_drawn(spark, fitted):
     import zlib
 
