@@ -7,9 +7,9 @@ swapped in an insult still shares most of its subsequences. For training, a sent
 token nearest to a landmark.
 
 A token with signs or digits among its letters also counts as its letters alone, digits that
-look like letters read as such (``idi0t``, ``m-oron``). Where a token is none the labelled
-documents have in common, subsequences also run across the blank to its neighbours (``id
-iot``); such a pair counts if it says more than its parts. The value of a token is that of
+look like letters read as such (``idi0t``, ``m-oron``). Where a token stands in no labelled
+document, subsequences also run across the blank to its neighbours (``id iot``); such a
+pair counts if it says more than its parts. The value of a token is that of
 its best stretch of ``SPAN`` characters, wherever it begins; shorter ones are one stretch.
 
 Nyström: ``LANDMARKS`` tokens of the labelled sentences that speak most for a toxic label
@@ -133,8 +133,7 @@ def norms_of(sizes: np.ndarray) -> np.ndarray:
 class Model:
     """Weights of subsequences of three characters out of ``alphabet`` (sorted code points of the
     landmarks; number 0 is any other character, which has none), by the row in ``pairs`` of the
-    first two and the number of the third; the tokens that labelled documents have in common;
-    and the logistic layer over documents."""
+    first two and the number of the third; the tokens of the labelled documents; and the logistic layer over documents."""
 
     alphabet: np.ndarray
     pairs: np.ndarray
@@ -315,7 +314,7 @@ def fit(texts: list[str], labels: list[int], landmarks: int = LANDMARKS) -> Mode
         base = float(np.log((share + 1e-3) / (1 - share + 1e-3)))
         nothing = np.empty(0, np.int64), np.zeros(1, np.int64), np.zeros((1, 1))
         return Model(*nothing, -1.0, frozenset(), np.zeros(5), np.ones(5), np.zeros(5), base)
-    known = common_tokens(documents)
+    known = frozenset(shared)
     gram = kernel_rows(marks, marks)
     values, vectors = np.linalg.eigh((gram + gram.T) / 2)
     good = values > 1e-6 * values.max()
@@ -363,16 +362,6 @@ def fit(texts: list[str], labels: list[int], landmarks: int = LANDMARKS) -> Mode
     return model
 
 
-def common_tokens(documents: list[list[list[str]]]) -> frozenset[str]:
-    """Tokens that stand in two of the documents."""
-    once, common = set(), set()
-    for sentences in documents:
-        here = {t for s in sentences for t in s}
-        common |= here & once
-        once |= here
-    return frozenset(common)
-
-
 def fold(marks: list[str], alpha: np.ndarray, bias: float, known: frozenset[str]) -> Model:
     """Landmarks and their weights as one weight per subsequence."""
     alphabet = np.unique(np.array([ord(c) for m in marks for c in f" {m} "], np.int64))
