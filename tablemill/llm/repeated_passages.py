@@ -120,33 +120,27 @@ def stretches(*steps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.append(0, cut), np.append(cut, len(steps[-1])) - 1
 
 
-def asked_passages(bucket: Bucket, w: np.ndarray, first: np.ndarray, asker: np.ndarray, size: int):
-    """Asker, document and text of the longest runs of windows that an asker wants of a
-    document, where they start there first."""
+def asked_passages(bucket: Bucket, w: np.ndarray, asker: np.ndarray, size: int, first: np.ndarray | None = None):
+    """Asker, document and text of the longest runs of windows that an asker wants; with
+    ``first``, the document of each window, where they start there first."""
     starts, found = bucket.windows(size)
-    ids = bucket.ids[bucket.owner[starts]]
-    wanted = np.unique(w)
-    mine = np.flatnonzero(np.isin(ids, first))
-    if len(wanted):
-        mine = mine[wanted[np.minimum(np.searchsorted(wanted, found[mine]), len(wanted) - 1)] == found[mine]]
-    # The first place of each window in its document, by window and document.
-    order = mine[np.lexsort((starts[mine], ids[mine], found[mine]))]
-    keys, docs = found[order], ids[order]
-    new = np.ones(len(order), bool)
-    new[1:] = (keys[1:] != keys[:-1]) | (docs[1:] != docs[:-1])
-    places, keys, docs = starts[order[new]], keys[new], docs[new]
-    # Windows of one hash in several documents are told apart by the document asked for.
-    ranks = np.unique(np.concatenate([docs, first]))
-    known, pairs = _pair(keys, docs, wanted, ranks), _pair(w, first, wanted, ranks)
-    by_pair = np.argsort(known)
-    spot = np.minimum(np.searchsorted(known, pairs, sorter=by_pair), max(0, len(known) - 1))
-    hit = known[by_pair[spot]] == pairs if len(known) else np.zeros(len(pairs), bool)
-    at, asker = places[by_pair[spot[hit]]] if len(known) else places, asker[hit]
+    wanted, one = np.unique(w, return_index=True)
+    if len(wanted) == 0 or len(found) == 0:
+        return
+    place = np.minimum(np.searchsorted(wanted, found), len(wanted) - 1)
+    mine = wanted[place] == found
+    if first is not None:
+        mine &= first[one][place] == bucket.ids[bucket.owner[starts]]
+    starts, found = starts[mine], found[mine]
+    keys, one = np.unique(found, return_index=True)
+    if len(keys) == 0:
+        return
+    place = np.minimum(np.searchsorted(keys, w), len(keys) - 1)
+    hit = keys[place] == w
+    at, asker = starts[one][place[hit]], asker[hit]
     order = np.lexsort((at, asker))
     at, asker = at[order], asker[order]
-    if len(at) == 0:
-        return
-    # Windows of two documents never stand side by side: the last words of a document start none.
+    # The last words of a document start no window, so no run goes on into the next.
     for a, b in zip(*stretches(at, asker)):
         doc = int(bucket.owner[at[a]])
         left = int(at[a] - bucket.begin[doc])
@@ -154,11 +148,6 @@ def asked_passages(bucket: Bucket, w: np.ndarray, first: np.ndarray, asker: np.n
         yield int(asker[a]), int(bucket.ids[doc]), text.decode()
 
 
-def _pair(w: np.ndarray, doc: np.ndarray, windows: np.ndarray, docs: np.ndarray) -> np.ndarray:
-    """One number per pair of known window and document."""
-    return np.searchsorted(windows, w) * np.int64(len(docs)) + np.searchsorted(docs, doc)
-
-
 def removed_words(bucket: Bucket, passages: Bucket, size: int) -> list[np.ndarray]:
     """A mask of removed words per document. ``passages`` are texts of first documents; the
     automaton is made of their stretches whose hashes stand in a document side by side."""
@@ -277,50 +266,48 @@ def repeated_passages(
             place = np.minimum(np.searchsorted(wanted, anchor_of), len(wanted) - 1)
             hit = wanted[place] == anchor_of
             keys, low, high = least_by_key(found[hit], bucket.ids[bucket.owner[starts[hit]]])
-        return pa.table({
-            "w": keys.view(np.int64), "bucket": np.full(len(keys), number, np.int32),
-            "low": low, "twice": (low != high),
-        })
+        report = np.full(len(keys), 2 * number, np.int64) + (low != high)
+        return pa.table({"w": keys.view(np.int64), "low": low, "report": report})
 
     found = (
         dealt.groupBy("bucket").cogroup(repeated.groupBy("bucket"))
-        .applyInArrow(windows, "w long, bucket int, low long, twice boolean")
+        .applyInArrow(windows, "w long, low long, report long")
     )
     every = Window.partitionBy("w")
+    bucket_of = F.floor(F.col("report") / 2).cast("int")
+    relays = F.ceil(F.col("n") / F.lit(ASKERS)).cast("long")
     asked = (
-        found.withColumn("n", F.count("*").over(every)).withColumn("first", F.min(F.struct("low", "bucket")).over(every))
+        found.withColumn("n", F.count("*").over(every)).withColumn("first", F.min(F.struct("low", "report")).over(every))
         # The bucket of the first document alone has nothing to remove.
-        .where(((F.col("n") > 1) & (F.col("low") > F.col("first.low"))) | F.col("twice"))
+        .where(((F.col("n") > 1) & (F.col("low") > F.col("first.low"))) | (F.col("report") % 2 == 1))
+        .where(F.col("first.low") < NO_DOCUMENT)
         .select(
-            F.col("first.bucket").alias("home"),
-            F.pmod(F.xxhash64("bucket"), F.ceil(F.col("n") / F.lit(ASKERS)).cast("long")).cast("int").alias("relay"),
-            F.col("bucket").alias("asker"), "w", F.col("first.low").alias("first"),
+            # The bucket of the first document and the relay in one number.
+            (F.shiftleft(F.floor(F.col("first.report") / 2), 32) + F.pmod(F.xxhash64(bucket_of), relays)).alias("relay"),
+            bucket_of.alias("asker"), "w", F.col("first.low").alias("first"),
         )
-        .where(F.col("first") < NO_DOCUMENT)
     )
 
-    def answer(texts: pa.Table, asks: pa.Table, who: str) -> tuple[list[int], list[int], list[str]]:
-        """Passages that relays or buckets ask for, out of the documents asked of."""
-        first = asks.column("first").to_numpy()
-        some = texts.filter(pc.is_in(texts.column("id"), pa.array(np.unique(first), pa.int64())))
-        rows = asked_passages(read_bucket(some), hashes(asks.column("w")), first, asks.column(who).to_numpy(), size)
-        return tuple(map(list, zip(*rows))) or ([], [], [])
+    def documents(texts: pa.Table, ids: pa.ChunkedArray) -> Bucket:
+        return read_bucket(texts.filter(pc.is_in(texts.column("id"), ids.combine_chunks().unique())))
 
     def to_relays(left: pa.Table, right: pa.Table) -> pa.Table:
-        relay, ids, texts = answer(left, right, "relay")
-        home = np.full(len(ids), right.column("home")[0].as_py() if right.num_rows else 0, np.int32)
-        return pa.table({"home": home, "relay": pa.array(relay, pa.int32()), "id": pa.array(ids, pa.int64()), "text": pa.array(texts, pa.string())})
+        some, first = documents(left, right.column("first")), right.column("first").to_numpy()
+        rows = asked_passages(some, hashes(right.column("w")), right.column("relay").to_numpy(), size, first)
+        return pa.Table.from_pylist([dict(zip(sent.names, r)) for r in rows], sent)
 
     def to_buckets(left: pa.Table, right: pa.Table) -> pa.Table:
-        bucket, ids, texts = answer(left, right, "asker")
-        return pa.table({"bucket": pa.array(bucket, pa.int32()), "id": pa.array(ids, pa.int64()), "text": pa.array(texts, pa.string())})
+        rows = asked_passages(read_bucket(left), hashes(right.column("w")), right.column("asker").to_numpy(), size)
+        return pa.Table.from_pylist([dict(zip(answers.names, r)) for r in rows], answers)
 
-    relayed = (
-        dealt.groupBy("bucket").cogroup(asked.select("home", "relay", "w", "first").distinct().groupBy("home"))
-        .applyInArrow(to_relays, "home int, relay int, id long, text string")
+    sent = pa.schema([("relay", pa.int64()), ("id", pa.int64()), ("text", pa.string())])
+    answers = pa.schema([("bucket", pa.int32()), ("id", pa.int64()), ("text", pa.string())])
+    homes = asked.select("relay", "w", "first").distinct().select(
+        F.shiftright("relay", 32).cast("int").alias("home"), "relay", "w", "first"
     )
+    relayed = dealt.groupBy("bucket").cogroup(homes.groupBy("home")).applyInArrow(to_relays, "relay long, id long, text string")
     passages = (
-        relayed.groupBy("home", "relay").cogroup(asked.groupBy("home", "relay"))
+        relayed.groupBy("relay").cogroup(asked.select("relay", "asker", "w").groupBy("relay"))
         .applyInArrow(to_buckets, "bucket int, id long, text string")
     )
 

@@ -166,7 +166,7 @@ def by_parts(texts, size):
     starts, found = parts[0].windows(size)
     keys, low, _ = repeated_passages.least_by_key(found, parts[0].ids[parts[0].owner[starts]])
     asked = np.isin(keys, parts[1].windows(size)[1])
-    rows = list(repeated_passages.asked_passages(parts[0], keys[asked], low[asked], np.ones(asked.sum(), np.int64), size))
+    rows = list(repeated_passages.asked_passages(parts[0], keys[asked], np.ones(asked.sum(), np.int64), size, low[asked]))
     for asker, doc, text in rows:
         assert asker == 1 and f" {text} " in f" {' '.join(texts[doc].split())} "
     sent = repeated_passages.Bucket(np.array([r[1] for r in rows], np.int64), [repeated_passages.split(r[2]) for r in rows])
