@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -25,7 +26,7 @@ from tablemill.llm import (
 )
 from tablemill.llm.components import connected_components
 from tablemill.llm.queries import ORACLES, QUERIES, vocabulary
-from tablemill.session import staged
+from tablemill.session import scratch_root, staged
 
 MODEL = vocabulary("piece_bpe_32k.model")
 LONG = "wörter und " * 3000 + "x" * 5000
@@ -637,3 +638,12 @@ def test_pipeline_stages(spark):
         assert r.n_tokens == len(ids)
         assert r.ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256(codec.decode(ids).encode()).hexdigest()
+
+
+def test_pipeline_leaves_only_what_its_result_reads(spark):
+    root = Path(scratch_root(spark))
+    before = set(root.iterdir())
+    result = corpus_pipeline.run(spark, SMALL)
+    left = [x.name for x in set(root.iterdir()) - before if re.search(r"-[0-9a-f]{32}$", x.name)]
+    assert len(left) == 1 and left[0].startswith("stage-benchmark_decontamination-")
+    assert result.count() > 0
