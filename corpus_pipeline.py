@@ -13,7 +13,7 @@ from tablemill.llm import (
     toxicity,
 )
 from tablemill.llm.queries import vocabulary
-from tablemill.session import scratch_path
+from tablemill.session import remove_staged, scratch_path, scratch_removed
 from tablemill.spec import col
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -78,10 +78,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each result is written and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over ``documents``; each result is written and read again. What a stage
+    staged, and the result of the one before, is deleted when its own result is written."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
         path = scratch_path(spark, f"stage-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        with scratch_removed(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if before is not None:
+            remove_staged(before)
+        docs = before = spark.read.parquet(path)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -6,6 +6,9 @@ import os
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,28 +50,62 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if len(df.inputFiles()) < cores else df
 
 
+# Temporary folders of local applications that name no shared one.
+_temporary: dict[str, str] = {}
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and staged tables.
 
     A cluster names it in ``spark.checkpoint.dir``. Only a local master (tests on one
-    machine) may leave it unset: then a temporary folder is made and put into the
-    setting. On a cluster that would be a folder executors cannot see, so it is an error.
+    machine) may leave it unset: then a temporary folder is made, one per application.
+    On a cluster that would be a folder executors cannot see, so it is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        master = spark.sparkContext.master
+        master, application = spark.sparkContext.master, spark.sparkContext.applicationId
         if not re.fullmatch(r"local(\[.*\])?", master):
             raise ValueError(f"spark.checkpoint.dir must name a shared folder on {master}")
-        root = tempfile.mkdtemp(prefix="tablemill-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        if application not in _temporary:
+            _temporary[application] = tempfile.mkdtemp(prefix="tablemill-")
+        root = _temporary[application]
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
     return root
 
 
+# Scratch paths given out inside ``scratch_removed``.
+_given: ContextVar[list[str] | None] = ContextVar("given", default=None)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder."""
-    return os.path.join(scratch_root(spark), f"{name}-{uuid.uuid4().hex}")
+    path = os.path.join(scratch_root(spark), f"{name}-{uuid.uuid4().hex}")
+    if _given.get() is not None:
+        _given.get().append(path)
+    return path
+
+
+@contextmanager
+def scratch_removed(spark: SparkSession) -> Iterator[None]:
+    """Deletes, once the block has ended without an error, what was staged inside it.
+
+    For jobs that write their result within the block: frames that read staged tables cannot
+    be read afterwards. After an error everything is left for a look at it.
+    """
+    token = _given.set([])
+    try:
+        yield
+        _delete(spark, _given.get())
+    finally:
+        _given.reset(token)
+
+
+def _delete(spark: SparkSession, paths: list[str]) -> None:
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for name in paths:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(conf).delete(path, True)
 
 
 STAGED = r"-[0-9a-f]{32}$"
@@ -91,14 +128,11 @@ def remove_staged(df: DataFrame) -> int:
     spark = df.sparkSession
     root = scratch_root(spark)
     jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     top = jvm.org.apache.hadoop.fs.Path(root).toUri().getPath().rstrip("/") + "/"
     folders = set()
     for name in df.inputFiles():
         parent = jvm.org.apache.hadoop.fs.Path(name).getParent()
         if parent.toUri().getPath().startswith(top) and re.search(STAGED, parent.getName()):
             folders.add(parent.toString())
-    for name in folders:
-        path = jvm.org.apache.hadoop.fs.Path(name)
-        path.getFileSystem(conf).delete(path, True)
+    _delete(spark, sorted(folders))
     return len(folders)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tablemill.operators.dedup import dedup_keep
 from tablemill.operators.masking import expression_lookups, mask_table, rules_from_config
 from tablemill.operators.reconcile import table_reconcile
-from tablemill.session import remove_staged, staged
+from tablemill.session import remove_staged, scratch_path, scratch_removed, staged
 from tablemill.sinks.files import write_csv
 from tablemill.sources.files import DdicField, ingest_tagged, read_delimited
 from tablemill.spec import char_length
@@ -72,6 +72,21 @@ def test_maps_and_types(spark):
     assert table_reconcile(a, spark.sql("select 1L as k, 5 as v"), "k").first().status == "changed"
 
 
+def test_scratch_of_a_finished_block_is_removed(spark):
+    import os
+
+    result = scratch_path(spark, "result")
+    with scratch_removed(spark):
+        inner = staged(spark.range(3), "inner")
+        folder = os.path.dirname(inner.inputFiles()[0].removeprefix("file://"))
+        inner.write.parquet(result)
+    assert not os.path.exists(folder) and spark.read.parquet(result).count() == 3
+    with pytest.raises(ZeroDivisionError), scratch_removed(spark):
+        left = staged(spark.range(3), "left")
+        1 / 0
+    assert left.count() == 3 and remove_staged(left) == 1
+
+
 def test_staged_data_can_be_removed(spark):
     df = staged(spark.range(3), "range")
     assert df.count() == 3 and remove_staged(df) == 1
