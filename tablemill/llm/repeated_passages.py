@@ -293,7 +293,8 @@ def repeated_passages(
 
     def to_relays(left: pa.Table, right: pa.Table) -> pa.Table:
         some, first = documents(left, right.column("first")), right.column("first").to_numpy()
-        rows = asked_passages(some, hashes(right.column("w")), right.column("relay").to_numpy(), size, first)
+        relay = (right.column("home").to_numpy().astype(np.int64) << 32) + right.column("number").to_numpy()
+        rows = asked_passages(some, hashes(right.column("w")), relay, size, first)
         return pa.Table.from_pylist([dict(zip(sent.names, r)) for r in rows], sent)
 
     def to_buckets(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -303,7 +304,8 @@ def repeated_passages(
     sent = pa.schema([("relay", pa.int64()), ("id", pa.int64()), ("text", pa.string())])
     answers = pa.schema([("bucket", pa.int32()), ("id", pa.int64()), ("text", pa.string())])
     homes = asked.select("relay", "w", "first").distinct().select(
-        F.shiftright("relay", 32).cast("int").alias("home"), "relay", "w", "first"
+        F.shiftright("relay", 32).cast("int").alias("home"),
+        F.col("relay").bitwiseAND(F.lit(2**32 - 1)).cast("int").alias("number"), "w", "first",
     )
     relayed = dealt.groupBy("bucket").cogroup(homes.groupBy("home")).applyInArrow(to_relays, "relay long, id long, text string")
     passages = (
